@@ -5,8 +5,9 @@ in batches; after each one the pair goes if the posterior probability (uniform p
 threshold is below the chosen miss probability. Survivors are verified on the full shingle sets.
 
 Equal sets are collapsed first. A bucket emits no pairs of its members but two stars (smallest id, and an id picked by
-hash); pairs of a bucket's members that the verified stars have not joined are compared in blocks of bounded size,
-and only survivors of the pruning leave a block.
+hash). Members that the verified stars have not joined are compared in blocks of bounded size: each emits its most
+similar survivors of the pruning, and what is then still apart is verified on full sets inside the blocks, which emit
+only links that join classes.
 """
 
 from __future__ import annotations
@@ -20,10 +21,12 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from chronolith.llm.text import keep, mixed, shingles, steps
+from chronolith.llm.text import keep, mixed as mix, shingles, steps
 from chronolith.operators.graph import components
 
 HASHES, BANDS, BATCH = 128, 32, 16
+#: Survivors that a member emits before the blocks verify on full sets, and shingles that a block may hold for that.
+BEST, BLOCK_SHINGLES = 8, 4_000_000
 _rng = np.random.default_rng(20240229)
 _XOR = _rng.integers(0, 1 << 32, HASHES, np.uint32)
 _MUL = _rng.integers(0, 1 << 32, HASHES, np.uint32) | np.uint32(1)
@@ -46,7 +49,7 @@ def band_keys(values: np.ndarray) -> np.ndarray:
     key = _BAND.copy()
     for i in range(rows.shape[1]):
         key = key * _STEP + rows[:, i]
-    return mixed(key).view(np.int64)
+    return mix(key).view(np.int64)
 
 
 def least_matches(threshold: float, miss: float) -> list[int]:
@@ -58,15 +61,15 @@ def least_matches(threshold: float, miss: float) -> list[int]:
     return [next((m for m in range(n + 1) if reach(m, n) >= miss), n + 1) for n in range(BATCH, HASHES + 1, BATCH)]
 
 
-def likely(left: np.ndarray, right: np.ndarray, least: list[int]) -> np.ndarray:
-    """Indexes of the rows of two signature matrices that outlive every batch."""
+def likely(left: np.ndarray, right: np.ndarray, least: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Indexes of the rows of two signature matrices that outlive every batch, and how many hashes are equal there."""
     alive, matches = np.arange(len(left)), np.zeros(len(left), np.int32)
     for i, need in enumerate(least):
         part = slice(i * BATCH, (i + 1) * BATCH)
         matches = matches + (left[alive, part] == right[alive, part]).sum(axis=1, dtype=np.int32)
         stay = matches >= need
         alive, matches = alive[stay], matches[stay]
-    return alive
+    return alive, matches
 
 
 def sketches(docs: DataFrame) -> DataFrame:
@@ -99,7 +102,7 @@ def pruned(pairs: DataFrame, sigs: DataFrame, threshold: float, miss: float) ->
         for batch in batches:
             if batch.num_rows:
                 x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, HASHES) for c in ("sig_a", "sig_b"))
-                yield batch.select(["a", "b"]).take(pa.array(likely(x, y, least)))
+                yield batch.select(["a", "b"]).take(pa.array(likely(x, y, least)[0]))
 
     both = pairs.join(sigs.select(F.col("doc_id").alias("a"), F.col("sig").alias("sig_a")), "a").join(sigs.select(F.col("doc_id").alias("b"), F.col("sig").alias("sig_b")), "b")
     return both.select("a", "b", "sig_a", "sig_b").mapInArrow(run, "a long, b long")
@@ -126,33 +129,81 @@ def verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
-def blocks_compared(rest: DataFrame, threshold: float, miss: float, block: int) -> DataFrame:
-    """Pairs (a, b) of one bucket and different classes that outlive the pruning.
+def _blocks(rest: DataFrame, block: int, *more: str) -> DataFrame:
+    """rest (key, doc_id, class, sig, bands, n and total: members and shingles of the bucket) dealt to pairs of blocks (p, q).
 
-    rest: key, doc_id, class, sig, n (members of the bucket). A bucket is cut into blocks of about ``block`` members by
-    a hash of the id; each pair of blocks is a group of its own, so no group grows with the bucket.
+    A bucket is cut into blocks of about ``block`` members, fewer if their sets are large, by a hash of the id.
     """
+    parts = F.greatest(F.ceil(F.col("n") / block), F.ceil(F.col("total") / BLOCK_SHINGLES)).cast("int")
+    dealt = rest.withColumn("parts", parts).withColumn("mine", F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    return dealt.select("key", "doc_id", "class", "sig", "bands", *more, "mine", F.least("mine", "other").alias("p"), F.greatest("mine", "other").alias("q"))
+
+
+class _Block:
+    """Members of one pair of blocks; ``candidates`` compares a member with those of other classes."""
+
+    def __init__(self, group: pd.DataFrame, least: list[int]):
+        group = group.drop_duplicates("doc_id").sort_values("doc_id")
+        self.group, self.least, self.one = group, least, group["p"].iat[0] == group["q"].iat[0]
+        self.ids, self.mine = group["doc_id"].to_numpy(), group["mine"].to_numpy()
+        _, self.cls = np.unique(group["class"].to_numpy(), return_inverse=True)
+        self.sig = np.frombuffer(b"".join(group["sig"]), np.uint16).reshape(-1, HASHES)
+        self.bands = np.stack(group["bands"].to_list())
+        self.band = int(np.flatnonzero(self.bands[0] == group["key"].iat[0])[0])
+
+    def outside(self) -> np.ndarray:
+        """Members outside the largest class: one of each pair of different classes."""
+        return np.flatnonzero(self.cls != np.bincount(self.cls).argmax())
+
+    def candidates(self, i: int) -> np.ndarray:
+        """Members of other classes that outlive the pruning, most similar first; a pair is left to the first band that it shares."""
+        other = np.flatnonzero((self.cls != self.cls[i]) & (True if self.one else self.mine != self.mine[i]))
+        other = other[(self.bands[other] == self.bands[i]).argmax(axis=1) == self.band]
+        alive, equal = likely(np.broadcast_to(self.sig[i], (len(other), HASHES)), self.sig[other], self.least)
+        return other[alive[np.argsort(-equal, kind="stable")]]
+
+    def pairs(self, found: list[tuple[int, int]]) -> pd.DataFrame:
+        both = np.unique(np.sort(self.ids[np.array(found, np.int64).reshape(-1, 2)], axis=1), axis=0)
+        return pd.DataFrame({"key": self.group["key"].iat[0], "a": both[:, 0], "b": both[:, 1]}, columns=["key", "a", "b"])
+
+
+def blocks_compared(rest: DataFrame, threshold: float, miss: float, block: int) -> DataFrame:
+    """key, a, b: of each member outside its bucket's largest class, the ``BEST`` pairs with other classes that outlive the pruning."""
     least = least_matches(threshold, miss)
-    parts = F.ceil(F.col("n") / block).cast("int")
-    mine = F.pmod(F.xxhash64("doc_id"), parts).cast("int")
-    dealt = rest.withColumn("parts", parts).withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    dealt = dealt.select("key", "doc_id", "class", "sig", "mine", F.least("mine", "other").alias("p"), F.greatest("mine", "other").alias("q"))
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        p, q = group["p"].iat[0], group["q"].iat[0]
-        group = group.drop_duplicates("doc_id")
-        ids, cls, mine = (group[c].to_numpy() for c in ("doc_id", "class", "mine"))
-        sig = np.frombuffer(b"".join(group["sig"]), np.uint16).reshape(-1, HASHES)
-        names, where, count = np.unique(cls, return_inverse=True, return_counts=True)
-        lone = np.flatnonzero(where != count.argmax())  # a pair of different classes has one side outside the largest
-        out = []
-        for i in lone:
-            other = np.flatnonzero((cls != cls[i]) & ((where == count.argmax()) | (ids > ids[i])) & (True if p == q else mine != mine[i]))
-            alive = other[likely(np.broadcast_to(sig[i], (len(other), HASHES)), sig[other], least)]
-            out.append(np.stack([np.minimum(ids[alive], ids[i]), np.maximum(ids[alive], ids[i])], axis=1))
-        return pd.DataFrame(np.concatenate(out) if out else np.empty((0, 2), np.int64), columns=["a", "b"])
-
-    return dealt.groupBy("key", "p", "q").applyInPandas(run, "a long, b long")
+        own = _Block(group, least)
+        return own.pairs([(i, j) for i in own.outside() for j in own.candidates(i)[:BEST]])
+
+    return _blocks(rest, block).groupBy("key", "p", "q").applyInPandas(run, "key long, a long, b long")
+
+
+def blocks_verified(rest: DataFrame, threshold: float, miss: float, block: int) -> DataFrame:
+    """key, a, b: links on the full sets of ``text`` that join the classes of each pair of blocks."""
+    least, percent = least_matches(threshold, miss), round(threshold * 100)
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        own = _Block(group, least)
+        sets = [shingles(t) for t in own.group["text"]]
+        size = np.array([len(s) for s in sets])
+        found: list[tuple[int, int]] = []
+        for i in own.outside():
+            left = own.candidates(i)
+            while len(left):
+                many = max(1, int(np.searchsorted(np.cumsum(size[left]), 1 << 18)))
+                now, left = left[:many], left[many:]
+                flat = np.concatenate([sets[j] for j in now])
+                at = np.minimum(np.searchsorted(sets[i], flat), size[i] - 1)
+                both = np.add.reduceat((sets[i][at] == flat).astype(np.int64), np.concatenate([[0], np.cumsum(size[now])[:-1]]))
+                for j in now[100 * both >= percent * (size[now] + size[i] - both)]:
+                    if own.cls[i] != own.cls[j]:
+                        found.append((i, j))
+                        own.cls[own.cls == own.cls[j]] = own.cls[i]
+                left = left[own.cls[left] != own.cls[i]]
+        return own.pairs(found)
+
+    return _blocks(rest, block, "text").groupBy("key", "p", "q").applyInPandas(run, "key long, a long, b long")
 
 
 def near_duplicates(docs: DataFrame, threshold: float = 0.75, miss: float = 1e-6, block: int = 2000) -> DataFrame:
@@ -168,7 +219,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.75, miss: float = 1e-6
     sets = sketch.where("doc_id is not null and n_shingles > 0")
     # one representative for each set; only sets that occur more than once are written
     copies = keep(sets.groupBy("set_hash").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")).where("n > 1").select("set_hash", "rep"), "copies")
-    reps = keep(sets.join(copies, "set_hash", "left").where(F.coalesce("rep", "doc_id") == F.col("doc_id")).select("doc_id", "sig", "bands").dropDuplicates(["doc_id"]), "reps")
+    reps = keep(sets.join(copies, "set_hash", "left").where(F.coalesce("rep", "doc_id") == F.col("doc_id")).select("doc_id", "n_shingles", "sig", "bands").dropDuplicates(["doc_id"]), "reps")
     banded = reps.select("doc_id", F.explode("bands").alias("key"))
     shared = keep(
         banded.groupBy("key").agg(F.min("doc_id").alias("first"), F.min(F.struct(F.xxhash64("key", "doc_id").alias("h"), "doc_id"))["doc_id"].alias("other"), F.count("*").alias("n")).where("n > 1"), "buckets"
@@ -179,13 +230,21 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.75, miss: float = 1e-6
     edges = keep(verified(keep(pruned(star, reps, threshold, miss), "likely"), docs, percent), "links")
     classes = keep(components(edges, "a", "b"), "classes")
     # what the stars left apart
-    labelled = members.where("n > 2").join(classes.withColumnRenamed("id", "doc_id"), "doc_id", "left").select("key", "doc_id", "n", F.coalesce("component", "doc_id").alias("class"))
-    apart = labelled.groupBy("key").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo < hi").select("key")
-    rest = keep(labelled.join(keep(apart, "apart"), "key", "left_semi"), "rest")
-    if not rest.isEmpty():
-        more = blocks_compared(rest.join(reps.select("doc_id", "sig"), "doc_id"), threshold, miss, block).distinct()
-        more = keep(verified(keep(more, "likely"), docs, percent), "links")
-        classes = keep(components(edges.unionByName(more), "a", "b"), "classes")
+    wide = reps.select("doc_id", "sig", "bands", "n_shingles")
+
+    def apart(rows: DataFrame) -> DataFrame:
+        labelled = rows.join(classes.withColumnRenamed("id", "doc_id"), "doc_id", "left").select("key", "doc_id", F.coalesce("component", "doc_id").alias("class")).join(wide, "doc_id")
+        sums = labelled.groupBy("key").agg(F.min("class").alias("lo"), F.max("class").alias("hi"), F.count("*").alias("n"), F.sum("n_shingles").alias("total"))
+        return labelled.join(keep(sums.where("lo < hi").select("key", "n", "total"), "apart"), "key")
+
+    found = keep(blocks_compared(apart(members.where("n > 2").select("key", "doc_id")), threshold, miss, block), "likely")
+    if not found.isEmpty():
+        edges = keep(edges.unionByName(verified(found.select("a", "b").distinct(), docs, percent)), "links")
+        classes = keep(components(edges, "a", "b"), "classes")
+        left = members.join(keep(found.select("key").distinct(), "found"), "key", "left_semi").select("key", "doc_id")
+        links = keep(blocks_verified(apart(left).join(docs, "doc_id"), threshold, miss, block).select("a", "b").distinct(), "links")
+        if not links.isEmpty():
+            classes = keep(components(edges.unionByName(links), "a", "b"), "classes")
     by_rep = classes.withColumnRenamed("id", "rep")
     out = sketch.select("doc_id", "n_shingles", "set_hash").join(copies, "set_hash", "left").withColumn("rep", F.coalesce("rep", F.when(F.col("n_shingles") > 0, F.col("doc_id"))))
     out = out.join(by_rep, "rep", "left").withColumn("component_id", F.coalesce("component", "rep", "doc_id"))

@@ -78,21 +78,34 @@ def test_near_duplicates_blocks(spark):
     assert {r["doc_id"]: r["component_id"] for r in got.collect()} == brute_classes(rows)
 
 
-def test_blocks_compared_finds_all_pairs(spark):
-    rng = np.random.default_rng(3)
-    base = rng.integers(0, 1 << 16, near_dup.HASHES).astype(np.uint16)
-    rows, sigs = [], {}
-    for i in range(50):
-        s = base.copy()
-        at = rng.choice(near_dup.HASHES, 20 if i % 2 else 60, replace=False)
-        s[at] = rng.integers(0, 1 << 16, len(at))
-        sigs[i] = s
-        rows.append((1, i, i % 5, bytearray(s.tobytes()), 50))
-    rest = spark.createDataFrame(rows, "key long, doc_id long, class long, sig binary, n long")
-    got = {(r["a"], r["b"]) for r in near_dup.blocks_compared(rest, 0.75, 1e-6, 8).collect()}
-    least = near_dup.least_matches(0.75, 1e-6)
-    want = {(i, j) for i in range(50) for j in range(i + 1, 50) if i % 5 != j % 5 and len(near_dup.likely(sigs[i][None], sigs[j][None], least))}
-    assert got == want and want
+def test_blocks_verified_joins_all(spark):
+    """Without stars: the blocks alone join every class of a bucket, whatever their size."""
+    rows, sets = [], {}
+    for i in range(40):
+        w = [f"v{k}" for k in range(80)]
+        w[i * 2 % 80] = f"y{i}"
+        if i % 4 == 0:
+            w[40:] = [f"q{i // 8}_{k}" for k in range(40)]
+        text = " ".join(w)
+        s = near_dup.shingles(text)
+        bands = np.arange(near_dup.BANDS) + 1000 * i  # the members share one band only
+        bands[3] = 77
+        sets[i] = text
+        rows.append((77, i, i, bytearray(near_dup.signature(s).astype(np.uint16).tobytes()), bands.tolist(), 40, 40 * len(s), text))
+    rest = spark.createDataFrame(rows, "key long, doc_id long, class long, sig binary, bands array<long>, n long, total long, text string")
+    links = [(r["a"], r["b"]) for r in near_dup.blocks_verified(rest, 0.75, 1e-6, 6).collect()]
+    want = brute_classes(list(sets.items()))
+    parent = {i: i for i in sets}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        p, q = sorted((find(a), find(b)))
+        parent[q] = p
+    assert {i: find(i) for i in sets} == want and len(set(want.values())) > 2
 
 
 def test_posterior_bound():
