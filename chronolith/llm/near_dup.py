@@ -26,7 +26,7 @@ from chronolith.operators.graph import components
 
 HASHES, BANDS, BATCH = 128, 32, 16
 #: Survivors that a member emits before the blocks verify on full sets, and shingles that a block may hold for that.
-BEST, BLOCK_SHINGLES = 8, 4_000_000
+BEST, BLOCK_SHINGLES = 2, 4_000_000
 _rng = np.random.default_rng(20240229)
 _XOR = _rng.integers(0, 1 << 32, HASHES, np.uint32)
 _MUL = _rng.integers(0, 1 << 32, HASHES, np.uint32) | np.uint32(1)
