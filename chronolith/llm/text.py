@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
@@ -89,7 +90,7 @@ def steps(batches: Iterable[pa.RecordBatch], text: str = "text") -> Iterator[pa.
     for batch in batches:
         if not batch.num_rows:
             continue
-        sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
+        sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
         group = np.cumsum(sizes.astype(np.int64)) // STEP_BYTES
         cuts = [0, *(np.flatnonzero(np.diff(group)) + 1), batch.num_rows]
         for a, b in zip(cuts, cuts[1:], strict=False):
