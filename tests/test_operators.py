@@ -89,19 +89,19 @@ def test_grid_and_jumps(spark):
 
 
 def test_components(spark):
-    edges = [(i, i + 1) for i in range(1, 60)] + [(100, 101), (101, 100), (7, 7), (200, 200)]
+    edges = [(i, i + 1) for i in range(1, 12)] + [(100, 101), (101, 100), (7, 7), (200, 200)]
     got = {r["id"]: r["component"] for r in G.components(spark.createDataFrame(edges, "a long, b long"), "a", "b").collect()}
-    assert got == {**{i: 1 for i in range(1, 61)}, 100: 100, 101: 100, 200: 200}
+    assert got == {**{i: 1 for i in range(1, 13)}, 100: 100, 101: 100, 200: 200}
     big = G.largest_component(spark.createDataFrame(edges, "a long, b long"), "a", "b")
-    assert {x for r in big.collect() for x in (r["a"], r["b"])} == set(range(1, 61))
+    assert {x for r in big.collect() for x in (r["a"], r["b"])} == set(range(1, 13))
 
 
 def test_ratings_recover_a_chain(spark):
     true = {1: -1.0, 2: 0.0, 3: 1.0}
     edges = [(i, j, true[i] - true[j]) for i in true for j in true if i != j for _ in range(200)]
-    got = {r["a"]: r["rating"] for r in G.ratings(spark.createDataFrame(edges, "a long, b long, g double"), "a", "b", "g", prior=0.0, rounds=12, tolerance=1e-3).collect()}
-    assert all(math.isclose(got[k], v, abs_tol=2e-2) for k, v in true.items())
-    shrunk = {r["a"]: r["rating"] for r in G.ratings(spark.createDataFrame(edges[::100], "a long, b long, g double"), "a", "b", "g", rounds=5).collect()}
+    got = {r["a"]: r["rating"] for r in G.ratings(spark.createDataFrame(edges, "a long, b long, g double"), "a", "b", "g", prior=0.0, rounds=8, tolerance=1e-2).collect()}
+    assert all(math.isclose(got[k], v, abs_tol=5e-2) for k, v in true.items())
+    shrunk = {r["a"]: r["rating"] for r in G.ratings(spark.createDataFrame(edges[::100], "a long, b long, g double"), "a", "b", "g", rounds=3).collect()}
     assert abs(shrunk[1]) < 1.0
 
 
