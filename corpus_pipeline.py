@@ -20,7 +20,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: the one with the smallest doc_id; of repeated rows one."""
+    """One document of each group of near-duplicates: the one with the smallest doc_id. Rows that repeat a doc_id stay or go together."""
     classes = near_dup.near_duplicates(docs)
     gone = keep(classes.where("not kept").select("doc_id").distinct(), "duplicates")
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
@@ -57,5 +57,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs
 
 
-#: SQL cannot give token ids; tests hold each stage against brute force.
+#: SQL cannot give token ids; tests hold each stage's operator against brute force.
 ORACLE_SQL = None
