@@ -35,20 +35,20 @@ def largest_component(edges: DataFrame, a: str, b: str) -> DataFrame:
     return edges.join(inside, a, "left_semi")
 
 
-def ratings(edges: DataFrame, a: str, b: str, gap: str, prior: float = 8.0, rounds: int = 60, damping: float = 0.5, tolerance: float = 1e-10, weight: str | None = None, by: tuple[str, ...] = ()) -> DataFrame:
+def ratings(edges: DataFrame, a: str, b: str, gap: str, prior: float | str = 8.0, rounds: int = 60, damping: float = 0.5, tolerance: float = 1e-10, weight: str | None = None, by: tuple[str, ...] = ()) -> DataFrame:
     """Shrunk ratings: d_i = sum(w * (d_j + gap)) / (sum(w) + prior) over directed edges i -> j, by damped rounds.
 
-    ``by`` columns (a fold, a replicate, a prior) key problems that are solved side by side in the same jobs. prior 0
-    recentres each round. Only the largest change of a round reaches the driver; each round's vector is checkpointed.
+    ``by`` columns (a fold, a replicate, a prior) key problems that are solved side by side in the same jobs; ``prior`` may
+    name one of them. prior 0 recentres each round. Only the largest change of a round reaches the driver; each round's vector is checkpointed.
     """
     w = F.col(weight) if weight else F.lit(1.0)
     e = edges.select(*by, F.col(a).alias("i"), F.col(b).alias("j"), (w * F.col(gap)).alias("g"), w.alias("w"))
     e = e.groupBy(*by, "i", "j").agg(F.sum("g").alias("g"), F.sum("w").alias("w")).checkpoint()
     d = e.groupBy(*by, "i").agg(F.sum("w").alias("n")).withColumn("d", F.lit(0.0)).checkpoint()
-    key = [*by, "i"]
+    key, shrink = [*by, "i"], F.col(prior) if isinstance(prior, str) else F.lit(prior)
     for k in range(rounds):
         pull = e.join(d.select(*by, F.col("i").alias("j"), "d"), [*by, "j"]).groupBy(*key).agg(F.sum(F.col("g") + F.col("w") * F.col("d")).alias("s"))
-        new = d.join(pull, key).withColumn("new", (1 - damping) * F.col("d") + damping * F.col("s") / (F.col("n") + prior))
+        new = d.join(pull, key).withColumn("new", (1 - damping) * F.col("d") + damping * F.col("s") / (F.col("n") + shrink))
         if not prior:
             new = new.withColumn("new", F.col("new") - F.avg("new").over(Window.partitionBy(*by)) if by else F.col("new") - F.avg("new").over(Window.partitionBy(F.lit(0))))
         new = new.checkpoint()  # the next round reads it twice
@@ -57,3 +57,29 @@ def ratings(edges: DataFrame, a: str, b: str, gap: str, prior: float = 8.0, roun
         if change is None or change < tolerance:
             break
     return d.select(*by, F.col("i").alias(a), F.col("d").alias("rating"), F.col("n").alias("weight"))
+
+
+def dynamic_edges(edges: DataFrame, a: str, b: str, season: str, gap: str, link: float) -> DataFrame:
+    """Edges (i, j, gap, weight) of a network whose nodes are entity * 10000 + season: the given ones, and both ways between
+    an entity's neighbouring seasons with gap 0 and weight ``link`` / seasons apart."""
+    node = lambda c: F.col(c) * 10000 + F.col(season)
+    own = edges.select(node(a).alias("i"), node(b).alias("j"), F.col(gap).alias("gap"), F.lit(1.0).alias("weight"))
+    w = Window.partitionBy(a).orderBy(season)
+    nodes = edges.select(a, season).distinct().withColumns({"_n": node(a), "_next": F.lead(node(a)).over(w), "_d": F.lead(season).over(w) - F.col(season)}).where("_next is not null")
+    ways = F.explode(F.array(F.struct(F.col("_n").alias("i"), F.col("_next").alias("j")), F.struct(F.col("_next").alias("i"), F.col("_n").alias("j"))))
+    return own.unionByName(nodes.select(ways.alias("e"), (F.lit(link) / F.col("_d")).alias("weight")).select("e.i", "e.j", F.lit(0.0).alias("gap"), "weight"))
+
+
+def backtest(edges: DataFrame, a: str, b: str, season: str, gap: str, prior: float = 8.0, rounds: int = 60) -> DataFrame:
+    """fold, n, mae and hits (share of right signs): each season is predicted by ratings fitted on the seasons before it.
+
+    All folds are solved in the same jobs. Edges whose ends were not rated before are not scored.
+    """
+    folds = edges.agg(F.collect_set(season).alias("_f"))  # one row with the seasons
+    past = edges.groupBy(season, a, b).agg(F.sum(gap).alias("_g"), F.count(gap).cast("double").alias("_w"))  # before rows are repeated
+    past = past.crossJoin(F.broadcast(folds)).withColumns({"fold": F.explode(F.filter("_f", lambda x: x > F.col(season))), "_m": F.col("_g") / F.col("_w")})
+    rated = ratings(past, a, b, "_m", prior, rounds, weight="_w", by=("fold",))
+    left, right = rated.select(F.col("fold").alias(season), a, F.col("rating").alias("_a")), rated.select(F.col("fold").alias(season), F.col(a).alias(b), F.col("rating").alias("_b"))
+    scored = edges.join(left, [season, a]).join(right, [season, b]).withColumn("_p", F.col("_a") - F.col("_b"))
+    hit = F.when((F.col(gap) > 0) == (F.col("_p") > 0), 1.0).otherwise(0.0)
+    return scored.groupBy(F.col(season).alias("fold")).agg(F.count("*").alias("n"), F.avg(F.abs(F.col(gap) - F.col("_p"))).alias("mae"), F.avg(hit).alias("hits"))

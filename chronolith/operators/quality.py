@@ -64,3 +64,28 @@ def fingerprint(df: DataFrame, by: list[str]) -> DataFrame:
             cols.append(F.coalesce((c.cast("double") if f.dataType.typeName() in ("byte", "short", "integer", "long", "float", "double") else c).cast("string"), F.lit("\0")))
     h = F.xxhash64(F.concat_ws("\1", *cols))
     return df.groupBy(*by).agg(F.count("*").alias("rows"), F.bit_xor(h).alias("xor"), F.sum(F.shiftright(h, 24)).alias("sum"))
+
+
+def thresholds(*checks: tuple[str, DataFrame, Column, float | None, float | None]) -> DataFrame:
+    """name, value, passed of (name, frame, aggregate, least, most) checks; a missing bound does not bind, a null value fails."""
+    out = []
+    for name, df, value, least, most in checks:
+        one = df.agg(value.cast("double").alias("value"))
+        ok = F.lit(True)
+        for bound in ([F.col("value") >= least] if least is not None else []) + ([F.col("value") <= most] if most is not None else []):
+            ok = ok & bound
+        out.append(one.select(F.lit(name).alias("name"), "value", F.coalesce(F.col("value").isNotNull() & ok, F.lit(False)).alias("passed")))
+    return reduce(DataFrame.unionByName, out)
+
+
+def lost_partitions(before: DataFrame, after: DataFrame, keys: list[str]) -> DataFrame:
+    """Partitions of ``before`` that ``after`` no longer has."""
+    return before.select(*keys).distinct().join(after.select(*keys).distinct(), keys, "left_anti")
+
+
+def freshness(rows: DataFrame, resource: str, t: str, limit: int) -> DataFrame:
+    """row_count, age (seconds behind the newest row of all resources) and healthy (age at most ``limit``) of each resource."""
+    seen = rows.groupBy(resource).agg(F.count("*").alias("row_count"), F.max(F.unix_micros(F.col(t).cast("timestamp"))).alias("_last"))
+    newest = seen.agg(F.max("_last").alias("_newest"))
+    aged = seen.crossJoin(F.broadcast(newest)).withColumn("age", F.floor((F.col("_newest") - F.col("_last")) / 1_000_000))  # one row
+    return aged.select(resource, "row_count", "age", (F.col("age") <= limit).alias("healthy"))
