@@ -183,7 +183,7 @@ def nr12_shrinkage_sweep(spark: S, d: str) -> DataFrame:
 @query(
     "WITH "
     + _jacobi(f"SELECT fold, i, j, g, w FROM ({_PLAIN}) JOIN (SELECT DISTINCT season AS fold FROM b_edges) ON season < fold", 3, ("fold",))
-    + " SELECT fold, count(*) AS n, round(avg(abs(pace_gap - (a.d - b.d))), 6) AS mae, round(avg(CASE WHEN (pace_gap > 0) = (a.d - b.d > 0) THEN 1.0 ELSE 0.0 END), 6) AS hits FROM b_edges JOIN s a ON a.fold = season AND a.i = driver_id JOIN s b ON b.fold = season AND b.i = teammate_id GROUP BY fold"
+    + " SELECT a.fold AS fold, count(*) AS n, round(avg(abs(pace_gap - (a.d - b.d))), 6) AS mae, round(avg(CASE WHEN (pace_gap > 0) = (a.d - b.d > 0) THEN 1.0 ELSE 0.0 END), 6) AS hits FROM b_edges JOIN s a ON a.fold = season AND a.i = driver_id JOIN s b ON b.fold = season AND b.i = teammate_id GROUP BY a.fold"
 )
 def nr10_backtest(spark: S, d: str) -> DataFrame:
     out = G.backtest(view(spark, d, "b_edges"), "driver_id", "teammate_id", "season", "pace_gap", rounds=3)
