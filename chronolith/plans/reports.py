@@ -38,11 +38,12 @@ def ca47_traffic_cost(spark: S, d: str) -> DataFrame:
     "WITH p AS (SELECT x.season, x.round, x.driver_id, x.stint, median((y.lap_time_sec - x.lap_time_sec) / (y.tyre_life - x.tyre_life)) AS slope FROM b_laps x JOIN b_laps y ON x.season = y.season AND x.round = y.round AND x.driver_id = y.driver_id AND x.stint = y.stint AND x.tyre_life < y.tyre_life GROUP BY 1, 2, 3, 4), "
     "i AS (SELECT season, round, driver_id, stint, any_value(slope) AS slope, median(lap_time_sec - slope * tyre_life) AS a, greatest(0.75, 0.01 * median(lap_time_sec)) AS lim FROM b_laps JOIN p USING (season, round, driver_id, stint) GROUP BY 1, 2, 3, 4 HAVING count(*) >= 5), "
     "r AS (SELECT season, round, driver_id, stint, slope, lim, lap_time_sec - a - slope * tyre_life AS r FROM b_laps JOIN i USING (season, round, driver_id, stint)) "
-    "SELECT season, round, driver_id, stint, count(*) AS n, round(any_value(slope), 6) AS slope, round(1.4826 * median(abs(r)), 6) AS sigma, round(quantile_cont(abs(r), 0.9), 6) AS p90, count(*) FILTER (r > lim) AS slow FROM r GROUP BY 1, 2, 3, 4"
+    "SELECT season, round, driver_id, stint, count(*) AS n, round(any_value(slope), 9) AS slope, round(1.4826 * median(abs(r)), 9) AS sigma, round(quantile_cont(abs(r), 0.9), 9) AS p90, count(*) FILTER (r > lim) AS slow FROM r GROUP BY 1, 2, 3, 4"
 )
 def ca49_pace_consistency(spark: S, d: str) -> DataFrame:
     out = E.consistency(laps(spark, d), STINT, "tyre_life", "lap_time_sec")
-    return out.select(*STINT, "n", *[F.round(c, 6).alias(c) for c in ("slope", "sigma", "p90")], "slow")
+    # nine digits: the data's own ties lie at the seventh, where engines would round apart
+    return out.select(*STINT, "n", *[F.round(c, 9).alias(c) for c in ("slope", "sigma", "p90")], "slow")
 
 
 _Z = "1.6448536269514722"
