@@ -1,8 +1,17 @@
 """Evidence operators on small frames: ties, nulls, unmatched and empty input."""
 
+import hashlib
+import math
+import os
+import statistics
+
+import pytest
 from pyspark.sql import functions as F
 
-from chronolith.operators import evidence as E, graph as G, quality as Q
+from chronolith.operators import bootstrap as B, evidence as E, graph as G, quality as Q
+from chronolith.plans import marts
+
+SF = "/root/testdata/sf0.001"
 
 
 def test_matched_baseline_needs_a_match(spark):
@@ -35,3 +44,33 @@ def test_backtest_scores_only_rated_ends(spark):
     rows = [(1, 2, 2001, 1.0), (2, 1, 2001, -1.0), (1, 2, 2002, 2.0), (1, 3, 2002, 1.0)]
     out = G.backtest(spark.createDataFrame(rows, "a long, b long, season long, gap double"), "a", "b", "season", "gap", rounds=5).collect()
     assert [(r["fold"], r["n"], r["hits"]) for r in out] == [(2002, 1, 1.0)]
+
+
+def quantile(values, q):
+    values, at = sorted(values), q * (len(values) - 1)
+    return values[math.floor(at)] + (at % 1) * (values[math.ceil(at)] - values[math.floor(at)])
+
+
+def test_cluster_bootstrap_against_brute_force(spark):
+    rows = [(g, 2000 + c // 4, c % 4, float((c * 37 + i * 11) % 50)) for g in ("a", "b") for c in range(9) for i in range(c % 3 + 1)]
+    rows += [("a", 2001, 1, None), ("a", 2001, 1, math.nan), ("a", None, 1, 7.0), ("b", 2010, 0, None), ("c", None, None, 1.0)]
+    got = {r[0]: r for r in B.cluster_bootstrap_median(spark.createDataFrame(rows, "g string, season int, round int, v double"), "g", ["season", "round"], "v").collect()}
+    for g in ("a", "b"):
+        races = {}
+        for x in rows:
+            if x[0] == g and x[1] is not None:
+                races.setdefault(x[1:3], []).extend([x[3]] if x[3] is not None and x[3] == x[3] else [])
+        m = [statistics.median(v) if v else None for _, v in sorted(races.items())]
+        drawn = [[m[int(hashlib.md5(f"7|{r}|{g}|{k}".encode()).hexdigest()[:8], 16) % len(m)] for k in range(len(m))] for r in range(1000)]
+        medians = [statistics.median(v for v in d if v is not None) for d in drawn]
+        values = [x[3] for x in rows if x[0] == g and x[3] is not None and x[3] == x[3]]
+        want = (len(values), len(m), statistics.median(values), quantile(medians, 0.05), quantile(medians, 0.95))
+        assert all(math.isclose(a, b, abs_tol=1e-9) for a, b in zip(got[g][1:], want, strict=True))
+    assert tuple(got["c"]) == ("c", 1, 0, 1.0, None, None)
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no tables")
+def test_race_bootstrap_takes_all_rows(spark):
+    out = marts.nr09_race_bootstrap(spark, SF).collect()
+    assert sum(r["n"] for r in out) == spark.read.parquet(f"{SF}/lineitem.parquet").count()
+    assert all(r["low"] <= r["high"] for r in out)
