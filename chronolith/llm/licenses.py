@@ -67,8 +67,12 @@ RULES = (
     (("mpl-2.0-notice",), "MPL-2.0"),
 )
 _WORD = re.compile(r"[a-z0-9]+(?:\.[0-9]+)*")
-#: Two ways to cut a text: sentences end at a stop, colon or semicolon before white space, or at an empty line; or also at each line's end.
-_CUTS = (re.compile(r"(?<=[.:;!?])(?=\s)|\n[ \t]*(?=\n)|\Z"), re.compile(r"(?<=[.:;!?])(?=\s)|\n|\Z"))
+#: Two ways to cut a text: sentences end at a stop, colon or semicolon before white space (but for an SPDX tag's colon), or at an empty line; or also at each line's end.
+_STOP = r"(?<!(?i:spdx-license-identifier:))(?<=[.:;!?])(?=\s)"
+_CUTS = (re.compile(rf"{_STOP}|\n[ \t]*(?=\n)|\Z"), re.compile(rf"{_STOP}|\n|\Z"))
+#: An SPDX tag with the rest of its line, and the words of the license expression that follows it.
+_TAG = re.compile(r"spdx-license-identifier:[ \t]*([^\r\n]*)", re.I)
+_TERM = re.compile(r"[a-z0-9]+(?:[.-][a-z0-9]+)*", re.I)
 #: Every known sentence has one of these, so a text without them has no known sentence.
 TRIGGERS = ("licen", "permission", "redistribut", "copyright", "warrant", "free software")
 
@@ -100,13 +104,30 @@ def _known() -> dict[str, str]:
 _BY_TEXT = _known()
 
 
+def _tags(text: str) -> list[tuple[int, int, str]]:
+    """(start, end, sentence id) of each known identifier in the license expressions of SPDX tags; the first one's span has the tag."""
+    out = []
+    for tag in _TAG.finditer(text):
+        start, joined = tag.start(), True
+        for term in _TERM.finditer(text, tag.start(1), tag.end()):
+            if term[0].upper() in ("AND", "OR", "WITH"):
+                joined, start = term[0].upper() != "WITH", -1  # an exception's name follows
+            elif joined is None:
+                break  # the expression is over
+            else:
+                if joined and (name := _BY_TEXT.get(normal(f"SPDX-License-Identifier: {term[0]}"))):
+                    out.append((start if start >= 0 else term.start(), term.end(), name))
+                joined = None
+    return out
+
+
 def sentences(text: str | None) -> list[tuple[str, int, int]]:
     """(sentence id, start, end) of each known sentence, in order, in code points; a run of one id counts once."""
     text = text or ""
     low = text.lower()
     if not any(t in low for t in TRIGGERS):
         return []
-    hits = sorted((a, b, _BY_TEXT[w]) for cut in _CUTS for w, a, b in _parts(text, cut) if w in _BY_TEXT)
+    hits = sorted([(a, b, _BY_TEXT[w]) for cut in _CUTS for w, a, b in _parts(text, cut) if w in _BY_TEXT] + _tags(text))
     out: list[tuple[str, int, int]] = []
     for a, b, name in hits:
         if out and out[-1][0] == name and (a < out[-1][2] or not text[out[-1][2] : a].strip()):

@@ -405,6 +405,32 @@ def test_licenses(spark, none):
     assert licenses.license_scan(none).count() == 0
 
 
+def test_every_license_rule_fires():
+    assert set(licenses._BY_TEXT.values()) == set(licenses.SENTENCES)
+    for rule, name in licenses.RULES:
+        text = "\n\n".join(licenses.SENTENCES[x] + "." for x in rule)
+        assert [n for n, _, _ in licenses.licenses(licenses.sentences(text))] == [name], rule
+
+
+def test_spdx_tags():
+    tag = "SPDX-License-Identifier:"
+    for text, want in (
+        (f"{tag} MIT", ["MIT"]),
+        (f"// {tag} Apache-2.0\nint main() {{}}", ["Apache-2.0"]),
+        ("/* spdx-license-identifier:GPL-3.0-only */", ["GPL-3.0-only"]),
+        (f"<!-- {tag} GPL-3.0-or-later-->\r\n<p>", ["GPL-3.0-or-later"]),
+        (f"see {tag} MIT. More prose: and so on", ["MIT"]),
+        (f"# {tag} (MIT OR Apache-2.0) AND GPL-3.0-only\n", ["MIT", "Apache-2.0", "GPL-3.0-only"]),
+        (f"# {tag} Apache-2.0 WITH MIT\n", ["Apache-2.0"]),
+        (f"# {tag} Zlib\n# MIT", []),
+        (f"# {tag} Zlib and MIT", ["MIT"]),
+        (f"# {tag} Zlib or so MIT", []),
+    ):
+        found = licenses.licenses(licenses.sentences(text))
+        assert [n for n, _, _ in found] == want, text
+    assert licenses.licenses(licenses.sentences(f"x {tag} MIT OR Apache-2.0")) == [("MIT", 2, 30), ("Apache-2.0", 34, 44)]
+
+
 def license_rows(df):
     return sorted(rows_of(licenses.license_scan(df)), key=lambda r: r["doc_id"])
 
