@@ -10,7 +10,7 @@ from chronolith.llm.text import map_texts
 
 #: Ids of license sentences and their wordings.
 SENTENCES = {
-    "apache-2.0-notice": "Licensed under the Apache License, Version 2.0",
+    "apache-2.0-notice": 'Licensed under the Apache License, Version 2.0. Licensed under the Apache License, Version 2.0 (the "License")',
     "apache-2.0-spdx": "SPDX-License-Identifier: Apache-2.0",
     "apache-2.0-may-not": "you may not use this file except in compliance with the License",
     "apache-2.0-obtain": "You may obtain a copy of the License at",
@@ -44,7 +44,9 @@ RULES = (
     (("mit-grant", "mit-keep", "mit-as-is"), "MIT"),
     (("bsd-redistribution", "bsd-source", "bsd-binary", "bsd-no-endorsement"), "BSD-3-Clause"),
     (("bsd-redistribution", "bsd-source", "bsd-binary"), "BSD-2-Clause"),
+    (("apache-2.0-notice", "apache-2.0-may-not", "apache-2.0-obtain", "apache-2.0-as-is"), "Apache-2.0"),
     (("apache-2.0-notice", "apache-2.0-as-is"), "Apache-2.0"),
+    (("apache-2.0-may-not", "apache-2.0-as-is"), "Apache-2.0"),
     (("gpl-free", "gpl-no-warranty"), "GPL-3.0-or-later"),
     (("gpl-2.0-free", "gpl-no-warranty"), "GPL-2.0-or-later"),
     (("apache-2.0-notice",), "Apache-2.0"),
@@ -67,9 +69,9 @@ RULES = (
     (("mpl-2.0-notice",), "MPL-2.0"),
 )
 _WORD = re.compile(r"[a-z0-9]+(?:\.[0-9]+)*")
-#: Two ways to cut a text: sentences end at a stop, colon or semicolon before white space (but for an SPDX tag's colon), or at an empty line; or also at each line's end.
-_STOP = r"(?<!(?i:spdx-license-identifier:))(?<=[.:;!?])(?=\s)"
-_CUTS = (re.compile(rf"{_STOP}|\n[ \t]*(?=\n)|\Z"), re.compile(rf"{_STOP}|\n|\Z"))
+#: Two ways to cut a text: sentences end at a stop, colon or semicolon before white space (but for an SPDX tag's colon and comment marks), or at a line without words; or also at each line's end.
+_STOP = r"(?<!(?i:spdx-license-identifier:))(?<!\n[;:!])(?<!\n[;:!]{2})(?<=[.:;!?])(?=\s)"
+_CUTS = (re.compile(rf"{_STOP}|\n[^\w\n]*(?=\n)|\Z"), re.compile(rf"{_STOP}|\n|\Z"))
 #: An SPDX tag with the rest of its line, and the words of the license expression that follows it.
 _TAG = re.compile(r"spdx-license-identifier:[ \t]*([^\r\n]*)", re.I)
 _TERM = re.compile(r"[a-z0-9]+(?:[.-][a-z0-9]+)*", re.I)

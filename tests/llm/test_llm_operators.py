@@ -431,6 +431,29 @@ def test_spdx_tags():
     assert licenses.licenses(licenses.sentences(f"x {tag} MIT OR Apache-2.0")) == [("MIT", 2, 30), ("Apache-2.0", 34, 44)]
 
 
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License."""
+
+
+def test_apache_header():
+    marked = {m: "\n".join((m + line).rstrip() for line in APACHE.split("\n")) for m in ("", "# ", "// ", " * ", "-- ", ";; ")}
+    for text in (*marked.values(), APACHE.replace("\n", "\r\n"), marked["# "].replace("\n", "\r\n"), f"/*\n{marked[' * ']}\n */\nint x;"):
+        assert [n for n, _, _ in licenses.sentences(text)] == ["apache-2.0-notice", "apache-2.0-may-not", "apache-2.0-obtain", "apache-2.0-as-is"], text
+        [(name, a, b)] = licenses.licenses(licenses.sentences(text))
+        assert name == "Apache-2.0" and text[:a].strip("/*# ;-\r\n") == "" and text[a:b].endswith("implied.")
+    rest = APACHE[APACHE.index("you may not") :]
+    assert [n for n, _, _ in licenses.licenses(licenses.sentences(rest))] == ["Apache-2.0"]
+
+
 def license_rows(df):
     return sorted(rows_of(licenses.license_scan(df)), key=lambda r: r["doc_id"])
 
