@@ -116,6 +116,12 @@ def nr02_ratings_four_rounds(spark: S, d: str) -> DataFrame:
     return out.select("driver_id", F.round("rating", 6).alias("rating"))
 
 
+@query(None)
+def nr02_solved_ratings(spark: S, d: str) -> DataFrame:
+    out = G.ratings(view(spark, d, "b_edges"), "driver_id", "teammate_id", "pace_gap", prior=8.0)
+    return out.select("driver_id", F.round("rating", 6).alias("rating"))
+
+
 @query(
     "WITH r AS (SELECT l_returnflag, l_extendedprice, row_number() OVER (PARTITION BY l_returnflag ORDER BY l_orderkey, l_linenumber, l_suppkey, l_shipdate) - 1 AS k, count(*) OVER (PARTITION BY l_returnflag) AS n FROM lineitem WHERE l_suppkey % 25 = l_partkey % 25), "
     "d AS (SELECT l_returnflag, k AS slot, n, unnest(range(20)) AS r FROM r), i AS (SELECT l_returnflag, r, CAST('0x' || substr(md5(concat_ws('|', '7', r, l_returnflag, slot)), 1, 8) AS BIGINT) % n AS k FROM d), "

@@ -181,6 +181,13 @@ def nr12_shrinkage_sweep(spark: S, d: str) -> DataFrame:
     return out.groupBy("prior").agg(F.count("*").alias("n"), F.round(F.avg(F.abs("rating")), 6).alias("size"))
 
 
+@query(None)
+def nr12_solved_shrinkage_sweep(spark: S, d: str) -> DataFrame:
+    edges = view(spark, d, "b_edges").withColumn("prior", F.explode(F.array(*[F.lit(p) for p in (2.0, 8.0, 32.0)])))
+    out = G.ratings(edges, "driver_id", "teammate_id", "pace_gap", prior="prior", by=("prior",))
+    return out.groupBy("prior").agg(F.count("*").alias("n"), F.round(F.avg(F.abs("rating")), 6).alias("size"))
+
+
 @query(
     "WITH "
     + _jacobi(f"SELECT fold, i, j, g, w FROM ({_PLAIN}) JOIN (SELECT DISTINCT season AS fold FROM b_edges) ON season < fold", 3, ("fold",))

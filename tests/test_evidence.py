@@ -5,6 +5,7 @@ import math
 import os
 import statistics
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -74,3 +75,58 @@ def test_race_bootstrap_takes_all_rows(spark):
     out = marts.nr09_race_bootstrap(spark, SF).collect()
     assert sum(r["n"] for r in out) == spark.read.parquet(f"{SF}/lineitem.parquet").count()
     assert all(r["low"] <= r["high"] for r in out)
+
+
+def direct(rows, prior):
+    """Ratings of (i, j, gap, weight) by a dense solve."""
+    ids = sorted({x for r in rows for x in r[:2]})
+    at, a, y = {x: k for k, x in enumerate(ids)}, np.eye(len(ids)) * prior, np.zeros(len(ids))
+    for i, j, g, w in rows:
+        a[at[i], at[i]] += w
+        a[at[i], at[j]] -= w
+        y[at[i]] += w * g
+    return dict(zip(ids, np.linalg.solve(a, y), strict=True))
+
+
+def chain(n=8):
+    """A chain, which takes many damped rounds."""
+    rows = [(i, i + 1, math.sin(i) + 1, 3.0) for i in range(n)]
+    return rows + [(j, i, -g, w) for i, j, g, w in rows]
+
+
+def test_ratings_reach_the_fixed_point(spark):
+    df = spark.createDataFrame(chain(), "a long, b long, g double, w double")
+    want = direct(chain(), 0.5)
+    got = G.ratings(df, "a", "b", "g", prior=0.5, weight="w").collect()
+    assert all(r["converged"] and math.isclose(r["rating"], want[r["a"]], abs_tol=1e-8) for r in got) and len(got) == len(want)
+    few = G.ratings(df, "a", "b", "g", prior=0.5, weight="w", rounds=2).collect()
+    assert not any(r["converged"] for r in few) and max(abs(r["rating"] - want[r["a"]]) for r in few) > 1
+
+
+def test_ratings_side_by_side(spark):
+    rows = [(*r, p) for r in chain(4) for p in (0.5, 8.0)]
+    df = spark.createDataFrame(rows, "a long, b long, g double, w double, p double")
+    want = {p: direct(chain(4), p) for p in (0.5, 8.0)}
+    got = G.ratings(df, "a", "b", "g", prior="p", weight="w", by=("p",)).collect()
+    assert len(got) == 10 and all(math.isclose(r["rating"], want[r["p"]][r["a"]], abs_tol=1e-8) for r in got)
+
+
+def test_one_way_edges_go_by_damped_rounds(spark):
+    rows = [(1, 2, 1.0, 1.0), (2, 1, -1.0, 2.0), (2, 3, 0.5, 1.0), (3, 2, 0.0, 1.0)]
+    got = G.ratings(spark.createDataFrame(rows, "a long, b long, g double, w double"), "a", "b", "g", prior=8.0, tolerance=1e-3, weight="w").collect()
+    want = direct(rows, 8.0)
+    assert all(r["converged"] and math.isclose(r["rating"], want[r["a"]], abs_tol=1e-2) for r in got)
+
+
+def test_dynamic_ratings_and_backtest_reach_the_fixed_point(spark):
+    rows = [(i, j, s, 0.3 * (i - j) + 0.1 * (s - 2001) * (i + j) * (1 if i < j else -1)) for s in (2001, 2002, 2004) for i in range(1, 5) for j in range(1, 5) if i != j]
+    df = spark.createDataFrame(rows, "a long, b long, season long, gap double")
+    net = [(a * 10000 + s, b * 10000 + s, g, 1.0) for a, b, s, g in rows]
+    net += [(x, y, 0.0, 2.0 / abs(s - t)) for a in range(1, 5) for s, t in ((2001, 2002), (2002, 2004)) for x, y in ((a * 10000 + s, a * 10000 + t), (a * 10000 + t, a * 10000 + s))]
+    want = direct(net, 8.0)
+    got = G.ratings(G.dynamic_edges(df, "a", "b", "season", "gap", 2.0), "i", "j", "gap", weight="weight").collect()
+    assert len(got) == len(want) and all(math.isclose(r["rating"], want[r["i"]], abs_tol=1e-8) for r in got)
+    for r in G.backtest(df, "a", "b", "season", "gap").collect():
+        d = direct([(a, b, g, 1.0) for a, b, s, g in rows if s < r["fold"]], 8.0)
+        errors = [abs(g - d[a] + d[b]) for a, b, s, g in rows if s == r["fold"]]
+        assert r["n"] == len(errors) and math.isclose(r["mae"], sum(errors) / len(errors), abs_tol=1e-8)
