@@ -58,6 +58,11 @@ def pr07_guards(spark: S, d: str) -> DataFrame:
     return table(spark, d, "events").where(C.finite(F.col("value")).isNotNull() & (F.col("value") > 0) & (F.floor("value") % 2 == 0)).agg(F.count("*").alias("n"))
 
 
+@query("SELECT count(*) AS n FROM events WHERE isfinite(value) AND value > 0 AND value % 1 = 0")
+def pr07_integer_guards(spark: S, d: str) -> DataFrame:
+    return table(spark, d, "events").where(C.finite(F.col("value")).isNotNull() & (F.col("value") > 0) & (F.col("value") % 1 == 0)).agg(F.count("*").alias("n"))
+
+
 _MID = "SELECT *, min(lap_number) OVER w AS lo, max(lap_number) OVER w AS hi FROM b_laps WHERE track_status = '1' WINDOW w AS (PARTITION BY season, round, driver_id, stint)"
 
 
