@@ -16,7 +16,7 @@ from collections.abc import Callable, Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from chronolith.llm.text import keep
+from chronolith.llm.text import keep, map_in_arrow
 
 TURN, SAYS, END = "<|turn|>", "<|says|>", "<|end|>"
 #: Control strings of this template and of common others; none may appear inside a text.
@@ -251,7 +251,7 @@ def formatted(conversations: DataFrame, template: str = TEMPLATE, piece: int = P
 
     rows = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn"), F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text"))
     ordered = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text").select("conv_id", "role", "text")
-    return ordered.mapInArrow(run, "conv_id long, piece long, formatted string, loss_starts array<long>, loss_ends array<long>")
+    return map_in_arrow(ordered, run, "conv_id long, piece long, formatted string, loss_starts array<long>, loss_ends array<long>")
 
 
 def read_back(output: DataFrame) -> DataFrame:
@@ -281,7 +281,7 @@ def read_back(output: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=names)
 
     ordered = output.repartition("conv_id").sortWithinPartitions("conv_id", "piece")
-    return ordered.mapInArrow(run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+    return map_in_arrow(ordered, run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
 
 
 def written(conversations: DataFrame, template: str = TEMPLATE) -> DataFrame:

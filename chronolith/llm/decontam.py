@@ -8,14 +8,15 @@ from __future__ import annotations
 
 import hashlib
 import re
+import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
-from chronolith.llm.text import HASHES, keep, map_texts, steps, windows
+from chronolith.llm.text import keep, map_in_arrow, map_rows, map_texts, steps, windows, word_hashes
 
 SIZE = 13
 _WORD = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -41,7 +42,7 @@ def benchmark_windows(benchmark: DataFrame, size: int = SIZE) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(n, pa.int32()), pa.array(joined, pa.binary()), pa.array(ids, pa.string())], names=["n", "words", "item_id"])
 
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text"))
-    return items.mapInArrow(run, "n int, words binary, item_id string").groupBy("n", "words").agg(F.sort_array(F.collect_set("item_id")).alias("items"))
+    return map_in_arrow(items, run, "n int, words binary, item_id string").groupBy("n", "words").agg(F.sort_array(F.collect_set("item_id")).alias("items"))
 
 
 class Finder:
@@ -52,11 +53,11 @@ class Finder:
         self.filters: dict[int, np.ndarray] = {}
         for n, w, _ in rows:
             mask = self.filters.setdefault(n, np.zeros(1 << _FILTER_BITS, bool))
-            mask[windows(HASHES.of(w.split()), n) & np.uint64((1 << _FILTER_BITS) - 1)] = True
+            mask[windows(word_hashes(w.split()), n) & np.uint64((1 << _FILTER_BITS) - 1)] = True
 
     def occurrences(self, words: list[bytes]) -> Iterator[tuple[int, int, list[str]]]:
         """(start, length, items) of each window that occurs, in words."""
-        hashes = HASHES.of(words)
+        hashes = word_hashes(words)
         for n, mask in self.filters.items():
             for i in np.flatnonzero(mask[windows(hashes, n) & np.uint64((1 << _FILTER_BITS) - 1)]).tolist():
                 if (items := self.items.get(b" ".join(words[i : i + n]))) is not None:
@@ -86,12 +87,24 @@ _RESULT = "n_words long, n_hit long, n_items long, items_sha256 string, contamin
 def _table(docs: DataFrame, benchmark: DataFrame, size: int, broadcast_bytes: int) -> tuple[DataFrame, Callable[[], Finder] | None]:
     """The benchmark's windows and, if their measured size allows a broadcast, what gives a worker its finder."""
     table = keep(benchmark_windows(benchmark, size), "windows")
-    cost = table.agg(F.sum(F.octet_length("words") + 64 + F.aggregate("items", F.lit(0), lambda a, x: a + F.octet_length(x) + 64))).first()[0] or 0
+    # what a worker holds: a row's tuple, words, list, texts of ids and dictionary entry, and a filter for each length
+    cost = table.agg(F.sum(F.octet_length("words") + 320 + F.aggregate("items", F.lit(0), lambda a, x: a + F.octet_length(x) + 72))).first()[0] or 0
     if cost > broadcast_bytes:
         return table, None
     rows = docs.sparkSession.sparkContext.broadcast([(r.n, bytes(r.words), list(r["items"])) for r in table.collect()])
-    made: dict[int, Finder] = {}
-    return table, lambda: made.get(0) or made.setdefault(0, Finder(rows.value))
+    name = uuid.uuid4().hex
+    return table, lambda: _finder(name, rows)
+
+
+_made: dict[str, Finder] = {}
+
+
+def _finder(name: str, rows: Broadcast) -> Finder:
+    """One finder for each Python worker: that of the latest broadcast table."""
+    if name not in _made:
+        _made.clear()
+        _made[name] = Finder(rows.value)
+    return _made[name]
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, broadcast_bytes: int = 64 << 20) -> DataFrame:
@@ -129,44 +142,61 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, remove: str = "documen
         marked = docs.join(found, F.sha2(F.coalesce(docs["text"], F.lit("")), 256) == F.col(own + "key"), "left").drop(own + "key")
     else:
 
-        def verdicts(texts: pd.Series) -> pd.DataFrame:
-            out = []
-            for text in texts:
+        def change(batch: pa.RecordBatch) -> pa.RecordBatch:
+            found = []
+            for text in batch.column("text").to_pylist():
                 words = item_words(text)
-                out.append(result(len(words), finder().occurrences(words))[-2:])
-            return pd.DataFrame(out, columns=["contaminated", "spans"])
-
-        marked = docs.withColumn(own, F.pandas_udf(verdicts, "contaminated boolean, spans array<long>")(F.col("text").cast("string")))
+                found.append(result(len(words), finder().occurrences(words))[-2:])
+            if remove == "documents":
+                return batch.filter(pa.array([not hit for hit, _ in found]))
+            at = batch.schema.names.index("text")
+            texts = [without_spans(t, s) if hit else t for t, (hit, s) in zip(batch.column(at).to_pylist(), found, strict=True)]
+            return batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
+
+        return map_rows(docs, change)
     if remove == "documents":
         return marked.where(~F.col(own)["contaminated"]).drop(own)
-    cut = F.pandas_udf(lambda t, s: pd.Series([without_spans(a, list(b)) if a and len(b) else a for a, b in zip(t, s, strict=True)], dtype=object), "string")
+    cut = F.udf(lambda t, s: without_spans(t, list(s)) if t and s else t, "string", useArrow=True)
     return marked.withColumn("text", F.when(F.col(own)["contaminated"], cut("text", F.col(own)["spans"])).otherwise(F.col("text"))).drop(own)
 
 
+#: Bits of the filter that drops windows before the shuffle.
+JOIN_FILTER_BITS = 1 << 24
+
+
 def _joined(docs: DataFrame, table: DataFrame, size: int) -> DataFrame:
     """Results by text (key: its sha2) through a shuffle join on window hashes, for a benchmark that is too large to broadcast."""
 
     def hashed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = [int(windows(HASHES.of(w.split()), n).view(np.int64)[0]) for n, w in zip(batch.column("n").to_pylist(), batch.column("words").to_pylist(), strict=True)]
+            out = [int(windows(word_hashes(w.split()), n).view(np.int64)[0]) for n, w in zip(batch.column("n").to_pylist(), batch.column("words").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.int64())], names=["n", "words", "items", "h"])
 
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.zeros(JOIN_FILTER_BITS // 64, np.uint64)
+        at, word = np.array(rows.value, np.int64).reshape(-1, 2).T
+        bits[at] = word.view(np.uint64)
         for batch in steps(batches):
             for key, text in zip(batch.column("key").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                hashes = HASHES.of(item_words(text))
-                for n in range(1, min(size, len(hashes)) + 1):
-                    w = windows(hashes, n).view(np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array([key] * len(w)), pa.array([n] * len(w), pa.int32()), pa.array(np.arange(len(w))), pa.array(w)], names=["key", "n", "at", "h"])
+                hashes = word_hashes(item_words(text))
+                for n in lengths:
+                    w = windows(hashes, n)
+                    place = w % np.uint64(JOIN_FILTER_BITS)
+                    hit = np.flatnonzero(bits[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63)) & np.uint64(1))
+                    yield pa.RecordBatch.from_arrays([pa.array([key] * len(hit), pa.string()), pa.array([n] * len(hit), pa.int32()), pa.array(hit, pa.int64()), pa.array(w[hit].view(np.int64))], names=["key", "n", "at", "h"])
 
     def check(key: str, hits: list | None, text: str | None) -> tuple:
         words = item_words(text)
         return key, *result(len(words), ((x["at"], x["n"], x["items"]) for x in hits or () if b" ".join(words[x["at"] : x["at"] + x["n"]]) == x["words"]))
 
     keyed = docs.withColumn("key", F.sha2(F.coalesce("text", F.lit("")), 256))
-    items = table.mapInArrow(hashed, "n int, words binary, items array<string>, h long")
+    items = keep(map_in_arrow(table, hashed, "n int, words binary, items array<string>, h long"), "hashed")
+    lengths = sorted(r["n"] for r in items.select("n").distinct().collect())  # at most ``size``
+    place = F.pmod("h", F.lit(JOIN_FILTER_BITS))  # 2 ** 64 is a multiple: signed and unsigned hashes have one place
+    bits = items.groupBy(F.shiftright(place, 6).alias("at")).agg(F.expr("bit_or(shiftleft(1L, cast(pmod(h, 64) as int)))").alias("word"))
+    rows = docs.sparkSession.sparkContext.broadcast([tuple(r) for r in bits.collect()])  # at most JOIN_FILTER_BITS / 64 rows
     texts = keyed.select("key", F.coalesce("text", F.lit("")).alias("text")).dropDuplicates(["key"])
-    hits = texts.mapInArrow(scan, "key string, n int, at long, h long").join(items, ["n", "h"]).groupBy("key").agg(F.collect_list(F.struct("at", "n", "words", "items")).alias("hits"))
+    hits = map_in_arrow(texts, scan, "key string, n int, at long, h long").join(items, ["n", "h"]).groupBy("key").agg(F.collect_list(F.struct("at", "n", "words", "items")).alias("hits"))
     return map_texts(texts.join(hits, "key", "left"), check, f"key string, {_RESULT}", "key", "hits", "text")
 
 

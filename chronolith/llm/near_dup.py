@@ -5,9 +5,10 @@ in batches; after each one the pair goes if the posterior probability (uniform p
 threshold is below the chosen miss probability. Survivors are verified on the full shingle sets.
 
 Equal sets are collapsed first. A bucket emits no pairs of its members but two stars (smallest id, and an id picked by
-hash). Members that the verified stars have not joined are compared in blocks of bounded size: each emits its most
-similar survivors of the pruning, and what is then still apart is verified on full sets inside the blocks, which emit
-only links that join classes.
+hash). The members that the verified stars have left outside their bucket's largest class are compared with all of its
+members, in blocks of bounded size and by signatures: each emits its most similar survivors of the pruning. What is then
+still apart is verified on full sets inside the blocks; only members with a survivor take their text there, and a block
+emits only links that join classes.
 """
 
 from __future__ import annotations
@@ -16,17 +17,16 @@ from collections.abc import Iterable, Iterator
 from math import comb
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from chronolith.llm.text import keep, mixed as mix, shingles, steps
+from chronolith.llm.text import Tables, map_in_arrow, mixed as mix, shingles, steps
 from chronolith.operators.graph import components
 
 HASHES, BANDS, BATCH = 128, 32, 16
-#: Survivors that a member emits before the blocks verify on full sets, and shingles that a block may hold for that.
-BEST, BLOCK_SHINGLES = 2, 4_000_000
+#: Survivors that a member emits before the blocks verify on full sets, and shingles that a block of texts may hold for that.
+BEST, BLOCK_SHINGLES = 2, 1_000_000
 _rng = np.random.default_rng(20240229)
 _XOR = _rng.integers(0, 1 << 32, HASHES, np.uint32)
 _MUL = _rng.integers(0, 1 << 32, HASHES, np.uint32) | np.uint32(1)
@@ -91,7 +91,7 @@ def sketches(docs: DataFrame) -> DataFrame:
                 names=["doc_id", "n_shingles", "set_hash", "sig", "bands"],
             )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
+    return map_in_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), run, schema)
 
 
 def pruned(pairs: DataFrame, sigs: DataFrame, threshold: float, miss: float) -> DataFrame:
@@ -105,7 +105,7 @@ def pruned(pairs: DataFrame, sigs: DataFrame, threshold: float, miss: float) ->
                 yield batch.select(["a", "b"]).take(pa.array(likely(x, y, least)[0]))
 
     both = pairs.join(sigs.select(F.col("doc_id").alias("a"), F.col("sig").alias("sig_a")), "a").join(sigs.select(F.col("doc_id").alias("b"), F.col("sig").alias("sig_b")), "b")
-    return both.select("a", "b", "sig_a", "sig_b").mapInArrow(run, "a long, b long")
+    return map_in_arrow(both.select("a", "b", "sig_a", "sig_b"), run, "a long, b long")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
@@ -113,11 +113,11 @@ def verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, left = None, None
-        for batch in batches:
-            stay = []
-            for i, (a, x, y) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("a", "text_a", "text_b")), strict=True)):
+        for batch in steps(batches, "text_b"):
+            stay, texts_a = [], batch.column("text_a")
+            for i, (a, y) in enumerate(zip(batch.column("a").to_pylist(), batch.column("text_b").to_pylist(), strict=True)):
                 if a != last or left is None:
-                    last, left = a, shingles(x)
+                    last, left = a, shingles(texts_a[i].as_py())
                 right = shingles(y)
                 both = len(np.intersect1d(left, right, assume_unique=True))
                 if 100 * both >= percent * (len(left) + len(right) - both):
@@ -126,69 +126,99 @@ def verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
 
     t = texts.select("doc_id", "text")
     both = pairs.join(t.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b").join(t.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
-
+    return map_in_arrow(both.select("a", "b", "text_a", "text_b"), run, "a long, b long")
 
-def _blocks(rest: DataFrame, block: int, *more: str) -> DataFrame:
-    """rest (key, doc_id, class, sig, bands, n and total: members and shingles of the bucket) dealt to pairs of blocks (p, q).
-
-    A bucket is cut into blocks of about ``block`` members, fewer if their sets are large, by a hash of the id.
-    """
-    parts = F.greatest(F.ceil(F.col("n") / block), F.ceil(F.col("total") / BLOCK_SHINGLES)).cast("int")
-    dealt = rest.withColumn("parts", parts).withColumn("mine", F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    return dealt.select("key", "doc_id", "class", "sig", "bands", *more, "mine", F.least("mine", "other").alias("p"), F.greatest("mine", "other").alias("q"))
 
+def apart(members: DataFrame, classes: DataFrame, reps: DataFrame) -> DataFrame:
+    """Members (key, doc_id) of buckets with several classes: with class, sketch and ``out`` (outside the bucket's largest class), and the bucket's sums."""
+    labelled = members.join(classes.withColumnRenamed("id", "doc_id"), "doc_id", "left").select("key", "doc_id", F.coalesce("component", "doc_id").alias("class")).join(reps, "doc_id")
+    sizes = labelled.groupBy("key", "class").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("total"))
+    top = sizes.groupBy("key").agg(F.max(F.struct("n", -F.col("class"), F.col("class").alias("c"), "total")).alias("t"), F.sum("n").alias("n"), F.sum("total").alias("total"), F.count("*").alias("k")).where("k > 1")
+    top = top.select("key", F.col("t.c").alias("top"), "n", "total", (F.col("n") - F.col("t.n")).alias("n_out"), (F.col("total") - F.col("t.total")).alias("total_out"))
+    return labelled.join(top, "key").withColumn("out", F.col("class") != F.col("top")).drop("top")
 
-class _Block:
-    """Members of one pair of blocks; ``candidates`` compares a member with those of other classes."""
 
-    def __init__(self, group: pd.DataFrame, least: list[int]):
-        group = group.drop_duplicates("doc_id").sort_values("doc_id")
-        self.group, self.least, self.one = group, least, group["p"].iat[0] == group["q"].iat[0]
-        self.ids, self.mine = group["doc_id"].to_numpy(), group["mine"].to_numpy()
-        _, self.cls = np.unique(group["class"].to_numpy(), return_inverse=True)
-        self.sig = np.frombuffer(b"".join(group["sig"]), np.uint16).reshape(-1, HASHES)
-        self.bands = np.stack(group["bands"].to_list())
-        self.band = int(np.flatnonzero(self.bands[0] == group["key"].iat[0])[0])
+def dealt(rows: DataFrame, block: int, shingles_a_block: int | None = None) -> DataFrame:
+    """Each bucket's members outside the largest class against all of its members, as pairs of blocks (key, r, s); a member's ``role`` tells its side.
 
-    def outside(self) -> np.ndarray:
-        """Members outside the largest class: one of each pair of different classes."""
-        return np.flatnonzero(self.cls != np.bincount(self.cls).argmax())
+    A side is cut into blocks of about ``block`` members, and of ``shingles_a_block`` if given, by a hash of the id. So a
+    member is copied once for each block of the other side: a bucket with few members outside is read once.
+    """
+    many = lambda n, total: F.greatest(F.ceil(F.col(n) / block), F.ceil(F.col(total) / shingles_a_block) if shingles_a_block else F.lit(1)).cast("int")
+    rows = rows.withColumns({"_s": many("n", "total"), "_r": many("n_out", "total_out"), "_h": F.xxhash64("doc_id")})
+    mine = lambda parts: F.pmod(F.col("_h"), F.col(parts)).cast("int")
+    every = F.transform(F.sequence(F.lit(0), F.col("_r") - 1), lambda r: F.struct(F.lit(False).alias("role"), r.alias("r"), mine("_s").alias("s")))
+    outer = F.transform(F.sequence(F.lit(0), F.col("_s") - 1), lambda s: F.struct(F.lit(True).alias("role"), mine("_r").alias("r"), s.alias("s")))
+    copies = rows.withColumn("_c", F.explode(F.when(F.col("out"), F.concat(every, outer)).otherwise(every)))
+    return copies.select("_c.*", *[c for c in rows.columns if c not in ("_s", "_r", "_h", "n", "total", "n_out", "total_out")])
+
+
+class Block:
+    """One pair of blocks: ``ask`` are members outside the largest class, ``all_`` members of the bucket; both as places in the group."""
+
+    def __init__(self, group: pa.Table, least: list[int]):
+        self.group, self.least, self.key = group, least, group.column("key")[0].as_py()
+        self.ids, role = group.column("doc_id").to_numpy(), group.column("role").to_numpy()
+        self.ask, self.all_, self.out = np.flatnonzero(role), np.flatnonzero(~role), group.column("out").to_numpy()
+        self.cls = np.unique(group.column("class").to_numpy(), return_inverse=True)[1]
+        self.sig = np.frombuffer(b"".join(group.column("sig").to_pylist()), np.uint16).reshape(-1, HASHES)
+        self.bands = np.array(group.column("bands").combine_chunks().flatten()).reshape(-1, BANDS)
+        self.band = int(np.flatnonzero(self.bands[0] == self.key)[0])
 
     def candidates(self, i: int) -> np.ndarray:
-        """Members of other classes that outlive the pruning, most similar first; a pair is left to the first band that it shares."""
-        other = np.flatnonzero((self.cls != self.cls[i]) & (True if self.one else self.mine != self.mine[i]))
-        other = other[(self.bands[other] == self.bands[i]).argmax(axis=1) == self.band]
-        alive, equal = likely(np.broadcast_to(self.sig[i], (len(other), HASHES)), self.sig[other], self.least)
-        return other[alive[np.argsort(-equal, kind="stable")]]
+        """Places of members of other classes that outlive the pruning, most similar first.
+
+        A pair is left to the first band that it shares; of two members that are both outside, the one with the smaller id asks.
+        """
+        j = self.all_
+        j = j[(self.cls[j] != self.cls[i]) & (~self.out[j] | (self.ids[j] > self.ids[i]))]
+        j = j[(self.bands[j] == self.bands[i]).argmax(axis=1) == self.band]
+        alive, equal = likely(np.broadcast_to(self.sig[i], (len(j), HASHES)), self.sig[j], self.least)
+        return j[alive[np.argsort(-equal, kind="stable")]]
 
-    def pairs(self, found: list[tuple[int, int]]) -> pd.DataFrame:
+    def pairs(self, found: list[tuple[int, int]]) -> pa.Table:
         both = np.unique(np.sort(self.ids[np.array(found, np.int64).reshape(-1, 2)], axis=1), axis=0)
-        return pd.DataFrame({"key": self.group["key"].iat[0], "a": both[:, 0], "b": both[:, 1]}, columns=["key", "a", "b"])
+        return pa.table({"key": np.full(len(both), self.key, np.int64), "a": both[:, 0], "b": both[:, 1]})
 
 
-def blocks_compared(rest: DataFrame, threshold: float, miss: float, block: int) -> DataFrame:
+def blocks_compared(rows: DataFrame, threshold: float, miss: float, block: int) -> DataFrame:
     """key, a, b: of each member outside its bucket's largest class, the ``BEST`` pairs with other classes that outlive the pruning."""
     least = least_matches(threshold, miss)
 
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        own = _Block(group, least)
-        return own.pairs([(i, j) for i in own.outside() for j in own.candidates(i)[:BEST]])
+    def run(group: pa.Table) -> pa.Table:
+        own = Block(group, least)
+        return own.pairs([(i, j) for i in own.ask for j in own.candidates(i)[:BEST]])
 
-    return _blocks(rest, block).groupBy("key", "p", "q").applyInPandas(run, "key long, a long, b long")
+    return dealt(rows.drop("n_shingles"), block).groupBy("key", "r", "s").applyInArrow(run, "key long, a long, b long")
 
 
-def blocks_verified(rest: DataFrame, threshold: float, miss: float, block: int) -> DataFrame:
+def blocks_left(rows: DataFrame, threshold: float, miss: float, block: int) -> DataFrame:
+    """The members of each pair of blocks that have a survivor of the pruning in another class; blocks are small enough to take their texts."""
+    least = least_matches(threshold, miss)
+
+    def run(group: pa.Table) -> pa.Table:
+        own = Block(group, least)
+        stay = np.zeros(len(own.ids), bool)
+        for i in own.ask:
+            j = own.candidates(i)
+            stay[j], stay[i] = True, stay[i] or len(j) > 0
+        return group.filter(pa.array(stay))
+
+    found = dealt(rows, block, BLOCK_SHINGLES)
+    return found.groupBy("key", "r", "s").applyInArrow(run, found.schema)
+
+
+def blocks_verified(rows: DataFrame, threshold: float, miss: float) -> DataFrame:
     """key, a, b: links on the full sets of ``text`` that join the classes of each pair of blocks."""
     least, percent = least_matches(threshold, miss), round(threshold * 100)
 
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        own = _Block(group, least)
-        sets = [shingles(t) for t in own.group["text"]]
+    def run(group: pa.Table) -> pa.Table:
+        own = Block(group, least)
+        texts = group.column("text")
+        sets = [shingles(t.as_py()) for t in texts]
         size = np.array([len(s) for s in sets])
         found: list[tuple[int, int]] = []
-        for i in own.outside():
+        for i in own.ask:
             left = own.candidates(i)
             while len(left):
                 many = max(1, int(np.searchsorted(np.cumsum(size[left]), 1 << 18)))
@@ -203,48 +233,51 @@ def blocks_verified(rest: DataFrame, threshold: float, miss: float, block: int)
                 left = left[own.cls[left] != own.cls[i]]
         return own.pairs(found)
 
-    return _blocks(rest, block, "text").groupBy("key", "p", "q").applyInPandas(run, "key long, a long, b long")
+    return rows.groupBy("key", "r", "s").applyInArrow(run, "key long, a long, b long")
 
 
 def near_duplicates(docs: DataFrame, threshold: float = 0.75, miss: float = 1e-6, block: int = 2000) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for each row of ``docs`` (doc_id, text; further columns are not read).
 
     Null or blank text: an empty set, linked with nothing. Null doc_id: component_id is null and the row is kept.
-    Rows that repeat a doc_id share its class. An empty table gives no rows. Candidates are missed with probability
-    (1 - s**4)**32 at similarity s (5e-6 at 0.75) and by pruning with ``miss`` at each of eight batches.
+    Rows that repeat a doc_id share its class; of their different texts, that with the largest set is the one compared by
+    signatures. An empty table gives no rows. Candidates are missed with probability (1 - s**4)**32 at similarity s (5e-6
+    at 0.75) and by pruning with ``miss`` at each of eight batches.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    percent = round(threshold * 100)
-    sketch = keep(sketches(docs), "sketches")
+    percent, at = round(threshold * 100), Tables(docs.sparkSession)
+    sketch = at.keep(sketches(docs), "sketches")
     sets = sketch.where("doc_id is not null and n_shingles > 0")
     # one representative for each set; only sets that occur more than once are written
-    copies = keep(sets.groupBy("set_hash").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")).where("n > 1").select("set_hash", "rep"), "copies")
-    reps = keep(sets.join(copies, "set_hash", "left").where(F.coalesce("rep", "doc_id") == F.col("doc_id")).select("doc_id", "n_shingles", "sig", "bands").dropDuplicates(["doc_id"]), "reps")
+    copies = at.keep(sets.groupBy("set_hash").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")).where("n > 1").select("set_hash", "rep"), "copies")
+    largest = F.max_by(F.struct("n_shingles", "sig", "bands"), F.struct("n_shingles", "set_hash")).alias("x")
+    reps = sets.join(copies, "set_hash", "left").where(F.coalesce("rep", "doc_id") == F.col("doc_id"))
+    reps = at.keep(reps.groupBy("doc_id").agg(largest).select("doc_id", "x.*"), "reps")
     banded = reps.select("doc_id", F.explode("bands").alias("key"))
-    shared = keep(
+    shared = at.keep(
         banded.groupBy("key").agg(F.min("doc_id").alias("first"), F.min(F.struct(F.xxhash64("key", "doc_id").alias("h"), "doc_id"))["doc_id"].alias("other"), F.count("*").alias("n")).where("n > 1"), "buckets"
     )
-    members = keep(banded.join(shared, "key"), "members")
+    members = at.keep(banded.join(shared, "key"), "members")
     star = members.select("doc_id", F.explode(F.array_distinct(F.array("first", "other"))).alias("hub")).where("doc_id <> hub")
     star = star.select(F.least("doc_id", "hub").alias("a"), F.greatest("doc_id", "hub").alias("b")).distinct()
-    edges = keep(verified(keep(pruned(star, reps, threshold, miss), "likely"), docs, percent), "links")
-    classes = keep(components(edges, "a", "b"), "classes")
+    likely_ = at.keep(pruned(star, reps, threshold, miss), "likely")
+    edges = at.keep(verified(likely_, docs, percent), "links")
+    at.drop(shared, likely_)
+    classes = at.keep(components(edges, "a", "b"), "classes")
     # what the stars left apart
-    wide = reps.select("doc_id", "sig", "bands", "n_shingles")
-
-    def apart(rows: DataFrame) -> DataFrame:
-        labelled = rows.join(classes.withColumnRenamed("id", "doc_id"), "doc_id", "left").select("key", "doc_id", F.coalesce("component", "doc_id").alias("class")).join(wide, "doc_id")
-        sums = labelled.groupBy("key").agg(F.min("class").alias("lo"), F.max("class").alias("hi"), F.count("*").alias("n"), F.sum("n_shingles").alias("total"))
-        return labelled.join(keep(sums.where("lo < hi").select("key", "n", "total"), "apart"), "key")
-
-    found = keep(blocks_compared(apart(members.where("n > 2").select("key", "doc_id")), threshold, miss, block), "likely")
+    rest = at.keep(apart(members.where("n > 2").select("key", "doc_id"), classes, reps), "apart")
+    found = at.keep(blocks_compared(rest, threshold, miss, block), "likely")
+    at.drop(rest)
     if not found.isEmpty():
-        edges = keep(edges.unionByName(verified(found.select("a", "b").distinct(), docs, percent)), "links")
-        classes = keep(components(edges, "a", "b"), "classes")
-        left = members.join(keep(found.select("key").distinct(), "found"), "key", "left_semi").select("key", "doc_id")
-        links = keep(blocks_verified(apart(left).join(docs, "doc_id"), threshold, miss, block).select("a", "b").distinct(), "links")
+        edges = at.keep(edges.unionByName(verified(found.select("a", "b").distinct(), docs, percent)), "links")
+        classes = at.keep(components(edges, "a", "b"), "classes")
+        again = members.join(found.select("key").distinct(), "key", "left_semi").select("key", "doc_id")
+        left = at.keep(blocks_left(apart(again, classes, reps), threshold, miss, block), "left")
+        links = at.keep(blocks_verified(left.join(docs, "doc_id"), threshold, miss).select("a", "b").distinct(), "links")
+        at.drop(left)
         if not links.isEmpty():
-            classes = keep(components(edges.unionByName(links), "a", "b"), "classes")
+            classes = at.keep(components(edges.unionByName(links), "a", "b"), "classes")
+    at.drop(members, found, reps, edges)
     by_rep = classes.withColumnRenamed("id", "rep")
     out = sketch.select("doc_id", "n_shingles", "set_hash").join(copies, "set_hash", "left").withColumn("rep", F.coalesce("rep", F.when(F.col("n_shingles") > 0, F.col("doc_id"))))
     out = out.join(by_rep, "rep", "left").withColumn("component_id", F.coalesce("component", "rep", "doc_id"))

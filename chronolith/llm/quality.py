@@ -6,28 +6,28 @@ versioned set of rules that reject; it is applied to the ledger, and ablations c
 
 from __future__ import annotations
 
-import re
+from collections.abc import Callable
 from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from chronolith.llm.text import HASHES, map_texts, windows
+from chronolith.llm.text import map_rows, windows, word_hashes
 
 WINDOW = 8
 _SPACE, _SYMBOLS = " \t\n\v\f\r", "#*$%&|<>"
+Measure = Callable[[str], Column]
 MEASURES = "n_words long, word_chars long, n_symbols long, n_lines long, n_dup_lines long, n_repeat_words long"
 
-#: (name, condition under which a document fails); a rule's bit is its place. Rules are only appended.
-RULES = (
-    ("too_few_words", "n_words < 20"),
-    ("repeated_windows", "100 * n_repeat_words > 30 * n_words"),
-    ("symbols", "n_symbols > n_words"),
-    ("duplicate_lines", "n_lines >= 4 and 2 * n_dup_lines > n_lines"),
-    ("long_words", "word_chars > 40 * n_words"),
-    ("short_words", "word_chars < 2 * n_words"),
+#: (name, condition on the measurements under which a document fails); a rule's bit is its place. Rules are only appended.
+RULES: tuple[tuple[str, Callable[[Measure], Column]], ...] = (
+    ("too_few_words", lambda m: m("n_words") < 20),
+    ("repeated_windows", lambda m: 100 * m("n_repeat_words") > 30 * m("n_words")),
+    ("symbols", lambda m: m("n_symbols") > m("n_words")),
+    ("duplicate_lines", lambda m: (m("n_lines") >= 4) & (2 * m("n_dup_lines") > m("n_lines"))),
+    ("long_words", lambda m: m("word_chars") > 40 * m("n_words")),
+    ("short_words", lambda m: m("word_chars") < 2 * m("n_words")),
 )
 
 
@@ -58,7 +58,7 @@ def measures(text: str | None) -> tuple[int, int, int, int, int, int]:
     lines = [x for x in data.split(b"\n") if x.strip()]
     repeated = 0
     if len(words) > WINDOW:
-        _, where, count = np.unique(windows(HASHES.of(words), WINDOW), return_inverse=True, return_counts=True)
+        _, where, count = np.unique(windows(word_hashes(words), WINDOW), return_inverse=True, return_counts=True)
         if len(count) < len(where):
             starts = np.flatnonzero(count[where] > 1)
             edge = np.bincount(starts, minlength=len(words) + 1) - np.bincount(starts + WINDOW, minlength=len(words) + 1)
@@ -66,22 +66,33 @@ def measures(text: str | None) -> tuple[int, int, int, int, int, int]:
     return len(words), len(text) - sum(map(text.count, _SPACE)), sum(map(text.count, _SYMBOLS)), len(lines), len(lines) - len(set(lines)), repeated
 
 
+def measured(docs: DataFrame, prefix: str = "", drop: tuple[str, ...] = ()) -> DataFrame:
+    """``docs`` (but for ``drop``) with the measurements of each text and fail_bits (bit i: rule i of ``RULES`` failed), under ``prefix``."""
+    kinds = [c.split() for c in MEASURES.split(", ")]
+
+    def change(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found = zip(*map(measures, batch.column("text").to_pylist()), strict=True)
+        return pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(x, pa.int64()) for x in found)], names=[*batch.schema.names, *(prefix + n for n, _ in kinds)])
+
+    rows = map_rows(docs, change, ", ".join(f"`{prefix}{n}` {kind}" for n, kind in kinds), drop)
+    bits = F.lit(0).cast("long")
+    for i, (_, failed) in enumerate(RULES):
+        bits = bits + F.when(failed(lambda n: F.col(f"`{prefix}{n}`")), F.lit(1 << i)).otherwise(0)
+    return rows.withColumn(prefix + "fail_bits", bits)
+
+
 def ledger(docs: DataFrame) -> DataFrame:
     """doc_id, the measurements and fail_bits (bit i: rule i of ``RULES`` failed) for each row of ``docs``.
 
     Null or empty text: all measurements are 0, so only ``too_few_words`` fails. Ids may be null or repeated; columns
-    other than doc_id and text are not read; an empty table gives no rows.
+    other than doc_id and text are not read; an empty table gives no rows. Store it: policies and ablations read the
+    ledger, not the texts.
     """
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = map_texts(docs.select("doc_id", F.col("text").cast("string").alias("text")), lambda doc_id, text: (doc_id, *measures(text)), f"doc_id {kind}, {MEASURES}", "doc_id", "text")
-    bits = F.lit(0).cast("long")
-    for i, (_, condition) in enumerate(RULES):
-        bits = bits + F.when(F.expr(condition), F.lit(1 << i)).otherwise(0)
-    return rows.withColumn("fail_bits", bits)
+    return measured(docs.select("doc_id", "text"), drop=("text",))
 
 
-def passes(policy: Policy) -> Column:
-    return F.col("fail_bits").bitwiseAND(F.lit(policy.mask)) == 0
+def passes(policy: Policy, bits: str = "fail_bits") -> Column:
+    return F.col(f"`{bits}`").bitwiseAND(F.lit(policy.mask)) == 0
 
 
 def verdicts(book: DataFrame, policy: Policy = STANDARD) -> DataFrame:
@@ -105,8 +116,5 @@ def ablations(book: DataFrame, policy: Policy = STANDARD) -> DataFrame:
 def filtered(docs: DataFrame, policy: Policy = STANDARD) -> DataFrame:
     """Rows of ``docs`` that a policy keeps, with all their columns; a null text fails as an empty one does."""
     own = "quality" + "_" * (1 + max(map(len, docs.columns)))
-    names = [c.split()[0] for c in MEASURES.split(", ")]
-    measure = F.pandas_udf(lambda texts: pd.DataFrame([measures(t) for t in texts], columns=names), MEASURES)
-    marked = docs.withColumn(own, measure(F.col("text").cast("string")))
-    failed = [F.expr(re.sub(r"\b([a-z]+_[a-z_]+)\b", rf"{own}.\1", condition)) for name, condition in RULES if name in policy.rules or name in BASE.rules]
-    return marked.where(~reduce(lambda a, b: a | b, failed)).drop(own)
+    bits = own + "fail_bits"
+    return measured(docs, own).where(passes(policy, bits) & passes(BASE, bits)).select(*[F.col(f"`{c}`") for c in docs.columns])

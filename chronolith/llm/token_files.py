@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.window import Window
 
-from chronolith.llm.text import keep, shared_folder, steps
+from chronolith.llm.text import keep, map_in_arrow, shared_folder, steps
 from chronolith.llm.vocab import encoder
 
 LIMIT, STEP, BLOCK = 16, 256, 1 << 16
@@ -123,7 +123,7 @@ def _tokens(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([part] * len(ids), pa.int32()), pa.array(starts[:-1]), batch.column("doc_id"), pa.array(ids, pa.binary())], names=["part", "at", "doc_id", "ids"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text").mapInArrow(run, "part int, at long, doc_id long, ids binary")
+    return map_in_arrow(rows.repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text"), run, "part int, at long, doc_id long, ids binary")
 
 
 def _counts(tokens: DataFrame) -> np.ndarray:
@@ -140,7 +140,7 @@ def _counts(tokens: DataFrame) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(total[used])], names=["id", "n"])
 
     out = np.zeros(1 << 16, np.int64)
-    for r in tokens.select("ids").mapInArrow(run, "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).collect():
+    for r in map_in_arrow(tokens.select("ids"), run, "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).collect():
         out[r["id"]] = r["n"]
     return out
 
@@ -179,7 +179,7 @@ def write_tokens(docs: DataFrame, vocabulary: str, folder: str, end_id: int = 2)
     spark.createDataFrame([(i, int(n)) for i, n in enumerate(lengths) if n], "id int, length int").coalesce(1).write.parquet(f"{folder}/code")
     sums = tokens.groupBy("part").agg(F.sum(F.octet_length("ids") / 2).cast("long").alias("n"))
     sums.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("start")).write.parquet(f"{folder}/parts")  # a row for each part
-    tokens.mapInArrow(run, _BLOCKS).write.partitionBy("part").option("compression", "uncompressed").parquet(f"{folder}/blocks")
+    map_in_arrow(tokens, run, _BLOCKS).write.partitionBy("part").option("compression", "uncompressed").parquet(f"{folder}/blocks")
 
 
 def read_tokens(spark: SparkSession, folder: str, digest: bool = False) -> DataFrame:
@@ -208,7 +208,7 @@ def read_tokens(spark: SparkSession, folder: str, digest: bool = False) -> DataF
 
     last = "ids_crc32" if digest else "ids"
     blocks = spark.read.schema(_BLOCKS).parquet(f"{folder}/blocks")
-    rows = blocks.select("part", "at", "doc_ids", "n_tokens", "offsets", "bits").mapInArrow(run, f"part int, at long, doc_id long, n_tokens long, {last} {'long' if digest else 'binary'}")
+    rows = map_in_arrow(blocks.select("part", "at", "doc_ids", "n_tokens", "offsets", "bits"), run, f"part int, at long, doc_id long, n_tokens long, {last} {'long' if digest else 'binary'}")
     starts = spark.read.schema("part int, start long").parquet(f"{folder}/parts").withColumnRenamed("start", "before")
     return rows.join(starts, "part").select("doc_id", (F.col("before") + F.col("at")).alias("start"), "n_tokens", last)
 
