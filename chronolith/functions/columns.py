@@ -107,3 +107,29 @@ def marker(message: Column) -> Column:
     kind = F.when(text.contains("VIRTUAL SAFETY CAR") | text.rlike(r"\bVSC\b"), "VSC").when(text.contains("SAFETY CAR"), "SC").when(text.contains("RED FLAG"), "RED")
     edge = F.when(text.rlike("DEPLOYED|RED FLAG"), "start").when(text.rlike("ENDING|IN THIS LAP|WITHDRAWN"), "end")
     return F.struct(kind.alias("kind"), edge.alias("edge"))
+
+
+def preferred(c: Column, unknown: str = "UNKNOWN") -> Column:
+    """Aggregate: the largest known value, else the unknown one."""
+    return F.coalesce(F.max(F.when(c != unknown, c)), F.lit(unknown))
+
+
+def freshness(age: Column, fresh: int, ageing: int) -> Column:
+    """fresh, ageing or stale by an age in days."""
+    return F.when(age <= fresh, "fresh").when(age <= ageing, "ageing").otherwise("stale")
+
+
+def rms(*parts: Column) -> Column:
+    """Root of the mean square."""
+    total = parts[0] * parts[0]
+    for p in parts[1:]:
+        total = total + p * p
+    return F.sqrt(total / len(parts))
+
+
+def score(*parts: tuple[float, Column]) -> Column:
+    """Weighted sum, clipped to 0..1."""
+    total = F.lit(0.0)
+    for weight, c in parts:
+        total = total + weight * c
+    return F.least(F.greatest(total, F.lit(0.0)), F.lit(1.0))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
@@ -12,11 +14,13 @@ from chronolith.operators import robust as R
 def matched_baseline(rows: DataFrame, keys: list[str], treated: Column, value: str, x: str, within: float, ident: list[str]) -> DataFrame:
     """Treated rows with ``matched`` and ``baseline``: count and median of untreated rows of equal ``keys`` whose ``x`` is at most ``within`` away.
 
-    Rows without a match are left out. Columns: ``ident``, ``keys``, ``value``, ``matched``, ``baseline``.
+    Rows without a match are left out. Columns: ``ident``, ``keys``, ``value``, ``matched``, ``baseline``. Rows meet in
+    buckets of ``x`` as wide as the band, so that a key's rows are not all paired.
     """
     flagged = rows.select(*dict.fromkeys([*keys, *ident]), x, value, treated.alias("_treated"))
     clean = flagged.where(~F.col("_treated")).select(*keys, F.col(x).alias("_x"), F.col(value).alias("_v"))
-    both = flagged.where("_treated").join(clean, keys).where(F.abs(F.col(x) - F.col("_x")) <= within)
+    clean = clean.withColumn("_b", F.explode(F.array(*[F.floor(F.col("_x") / within) + d for d in (-1, 0, 1)])))
+    both = flagged.where("_treated").withColumn("_b", F.floor(F.col(x) / within)).join(clean, [*keys, "_b"]).where(F.abs(F.col(x) - F.col("_x")) <= within)
     return both.groupBy(*dict.fromkeys([*ident, *keys]), value).agg(F.count("*").alias("matched"), F.percentile("_v", 0.5).alias("baseline"))
 
 
@@ -61,10 +65,11 @@ def with_context(rows: DataFrame, context: DataFrame, keys: list[str]) -> DataFr
 
 
 def marker_intervals(markers: DataFrame, by: list[str], order: list[str], t: str, edge: str) -> DataFrame:
-    """Intervals of start and end markers: a start opens one if none is open, an end closes it; an unclosed one has no end."""
+    """Intervals of start and end markers: a start opens one if none is open, an end closes it; an unclosed one has no end, one of no length is none."""
     w = Window.partitionBy(*by).orderBy(*order)
     turns = markers.where(F.col(edge).isin("start", "end")).withColumn("_p", F.lag(edge).over(w)).where(~F.col(edge).eqNullSafe(F.col("_p")))
-    return turns.withColumn("end", F.lead(t).over(w)).where(F.col(edge) == "start").select(*by, F.col(t).alias("start"), "end")
+    pairs = turns.withColumn("end", F.lead(t).over(w)).where(F.col(edge) == "start").select(*by, F.col(t).alias("start"), "end")
+    return pairs.where(F.col("end").isNull() | (F.col("end") > F.col("start")))
 
 
 def air_state(traffic: Column, clean: Column, coverage: Column) -> Column:
@@ -73,10 +78,14 @@ def air_state(traffic: Column, clean: Column, coverage: Column) -> Column:
 
 
 def event_pairs(events: DataFrame, group: list[str], entity: str, number: str, t: str, most: float) -> DataFrame:
-    """Pairs of different entities whose events of equal ``number`` are apart by more than 0 and at most ``most``: the earlier one first."""
-    a, b = events.alias("a"), events.alias("b")
+    """Pairs of different entities whose events of equal ``number`` are apart by more than 0 and at most ``most``: the earlier one first.
+
+    Events meet in buckets of ``most`` seconds: the earlier one goes to its own and the next.
+    """
+    bucket = F.floor(F.col(t) / most)
+    a, b = events.withColumn("_b", F.explode(F.array(bucket, bucket + 1))).alias("a"), events.withColumn("_b", bucket).alias("b")
     wait = F.col(f"b.{t}") - F.col(f"a.{t}")
-    on = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in (*group, number)] + [F.col(f"a.{entity}") != F.col(f"b.{entity}"), wait > 0, wait <= most]
+    on = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in (*group, number, "_b")] + [F.col(f"a.{entity}") != F.col(f"b.{entity}"), wait > 0, wait <= most]
     return a.join(b, on).select(*[F.col(f"a.{c}") for c in (*group, number)], F.col(f"a.{entity}").alias("first"), F.col(f"b.{entity}").alias("second"), wait.alias("wait"))
 
 
@@ -126,3 +135,87 @@ def dense_order(rows: DataFrame, tick: list[str], progress: str, ties: list[str]
     w = Window.partitionBy(*tick)
     whole = F.count(progress).over(w) == F.count(F.lit(1)).over(w)
     return rows.withColumn(out, F.when(whole, F.row_number().over(w.orderBy(F.desc(progress), *ties))).cast("long"))
+
+
+def sign_agreement(rows: DataFrame, group: list[str], value: str) -> DataFrame:
+    """agreement: percent of a group's values that have the sign of its median."""
+    medians = rows.groupBy(*group).agg(F.percentile(value, 0.5).alias("_m"))
+    same = F.count_if(F.signum(value) == F.signum("_m"))
+    return rows.join(medians, group).groupBy(*group).agg((100.0 * same / F.count(value)).alias("agreement"))
+
+
+def classified(rows: DataFrame, features: dict[str, tuple[float, str]], other: str, out: str) -> DataFrame:
+    """Label of the first feature that reaches its global quantile: {feature: (quantile, label)}."""
+    limits = rows.agg(*[F.percentile(c, q).alias(f"_q_{c}") for c, (q, _) in features.items()])
+    label = C.first_reason(*[(F.col(c) >= F.col(f"_q_{c}"), name) for c, (_, name) in features.items()])
+    return rows.crossJoin(F.broadcast(limits)).withColumn(out, F.coalesce(label, F.lit(other))).drop(*[f"_q_{c}" for c in features])  # one row
+
+
+def section_coverage(parts: dict[str, tuple[DataFrame, Column]], entity: str, race: list[str], season: str) -> DataFrame:
+    """A ledger row for each section: n, entities, races, usable rows and the latest season."""
+    out = None
+    for name, (rows, usable) in parts.items():
+        one = rows.agg(F.count("*").alias("n"), F.count_distinct(entity).alias("entities"), F.count_distinct(F.struct(*race)).alias("races"), F.count_if(usable).alias("usable"), F.max(season).alias("latest")).select(F.lit(name).alias("section"), "*")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def error_metrics(rows: DataFrame, group: list[str], actual: str, predicted: str, radius: str) -> DataFrame:
+    """n, mae, rmse, sign_accuracy, r, skill against zero, covered (share within ``radius``) and width of predictions."""
+    y, p, e = F.col(actual), F.col(predicted), F.abs(F.col(actual) - F.col(predicted))
+    share = lambda c: F.avg(F.when(c, 1.0).otherwise(0.0))
+    return rows.groupBy(*group).agg(
+        F.count("*").alias("n"), F.avg(e).alias("mae"), F.sqrt(F.avg(e * e)).alias("rmse"), share(F.signum(y) == F.signum(p)).alias("sign_accuracy"), F.corr(actual, predicted).alias("r"),
+        (1 - F.try_divide(F.avg(e), F.avg(F.abs(y)))).alias("skill"), share(e <= F.col(radius)).alias("covered"), F.avg(2 * F.col(radius)).alias("width"),
+    )
+
+
+def confusion(rows: DataFrame, group: list[str], truth: str, found: str) -> DataFrame:
+    """tp, fp, fn, precision and recall of flags."""
+    t, f = F.col(truth), F.col(found)
+    out = rows.groupBy(*group).agg(F.count_if(t & f).alias("tp"), F.count_if(~t & f).alias("fp"), F.count_if(t & ~f).alias("fn"))
+    return out.withColumns({"precision": F.try_divide("tp", F.col("tp") + F.col("fp")), "recall": F.try_divide("tp", F.col("tp") + F.col("fn"))})
+
+
+def between_spread(rows: DataFrame, group: list[str], entity: str, value: str) -> DataFrame:
+    """spread: the population deviation of the entities' medians."""
+    return rows.groupBy(*group, entity).agg(F.percentile(value, 0.5).alias("_m")).groupBy(*group).agg(F.stddev_pop("_m").alias("spread"))
+
+
+def centred(rows: DataFrame, group: list[str], value: str, eligible: Column, out: str) -> DataFrame:
+    """Value minus the median of the group's eligible rows; null for the others."""
+    known = rows.withColumn("_e", F.coalesce(eligible, F.lit(False)))
+    middle = known.where("_e").groupBy(*group).agg(F.percentile(value, 0.5).alias("_m"))
+    return known.join(middle, group, "left").withColumn(out, F.when(F.col("_e"), F.col(value) - F.col("_m"))).drop("_e", "_m")
+
+
+def evidence_summary(parts: dict[str, tuple[DataFrame, Column]], race: list[str]) -> DataFrame:
+    """name, candidates, eligible and races of each analysis."""
+    out = None
+    for name, (rows, eligible) in parts.items():
+        one = rows.agg(F.count("*").alias("candidates"), F.count_if(eligible).alias("eligible"), F.count_distinct(F.struct(*race)).alias("races")).select(F.lit(name).alias("name"), "*")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def sequence_matches(truth: DataFrame, found: DataFrame, group: list[str], label: str, at: str, within: int) -> DataFrame:
+    """matched, truth and found of each group: the most pairs of equal labels, at most ``within`` apart, that keep both orders.
+
+    Alignment is sequential, so a group (a window of one race) is one task: it has to be bounded by nature.
+    """
+    both = truth.select(*group, F.col(label).alias("_l"), F.col(at).cast("double").alias("_at"), F.lit(True).alias("_truth")).unionByName(found.select(*group, F.col(label).alias("_l"), F.col(at).cast("double").alias("_at"), F.lit(False).alias("_truth")))
+    schema = ", ".join([*(f"`{g}` {both.schema[g].dataType.simpleString()}" for g in group), "matched long, truth long, found long"])
+
+    def run(key: tuple, g: pa.Table) -> pa.Table:
+        side = g.column("_truth").to_numpy()
+        label_, place = np.array(g.column("_l").to_pylist()), g.column("_at").to_numpy()
+        a, b = np.flatnonzero(side), np.flatnonzero(~side)
+        a, b = a[np.lexsort((label_[a], place[a]))], b[np.lexsort((label_[b], place[b]))]
+        best = np.zeros(len(b) + 1, np.int64)  # the most pairs with the first j found ones
+        for i in a:
+            ok = (label_[b] == label_[i]) & (np.abs(place[b] - place[i]) <= within)
+            best = np.maximum.accumulate(np.maximum(best, np.concatenate([[0], np.where(ok, best[:-1] + 1, 0)])))
+        row = {n: [k.as_py()] for n, k in zip(group, key, strict=True)} | {"matched": [int(best[-1])], "truth": [len(a)], "found": [len(b)]}
+        return pa.table(row).cast(pa.schema([*(g.schema.field(n) for n in group), *(pa.field(n, pa.int64()) for n in ("matched", "truth", "found"))]))
+
+    return both.groupBy(*group).applyInArrow(run, schema)

@@ -70,7 +70,8 @@ def _damped(e: DataFrame, d: DataFrame, by: tuple[str, ...], shrink: Column, rou
     for k in range(rounds):
         new = d.join(_pull(e, d, by, "d", F.col("g")), key).withColumn("new", (1 - damping) * F.col("d") + damping * F.col("_s") / (F.col("n") + shrink))
         if recentre:
-            new = new.withColumn("new", F.col("new") - F.avg("new").over(Window.partitionBy(*by)) if by else F.col("new") - F.avg("new").over(Window.partitionBy(F.lit(0))))
+            means = F.broadcast(new.groupBy(*by).agg(F.avg("new").alias("_mean")))  # a row for each problem
+            new = (new.join(means, list(by)) if by else new.crossJoin(means)).withColumn("new", F.col("new") - F.col("_mean")).drop("_mean")
         new = new.checkpoint()  # the next round reads it twice
         change = new.agg(F.max(F.abs(F.col("new") - F.col("d")))).first()[0]
         d = new.select(*key, "n", F.col("new").alias("d"))
@@ -138,17 +139,83 @@ def dynamic_edges(edges: DataFrame, a: str, b: str, season: str, gap: str, link:
     return own.unionByName(nodes.select(ways.alias("e"), (F.lit(link) / F.col("_d")).alias("weight")).select("e.i", "e.j", F.lit(0.0).alias("gap"), "weight"))
 
 
-def backtest(edges: DataFrame, a: str, b: str, season: str, gap: str, prior: float = 8.0, rounds: int | None = None) -> DataFrame:
-    """fold, n, mae and hits (share of right signs): each season is predicted by ratings fitted on the seasons before it, to the
-    fixed point or for ``rounds`` damped rounds.
+def joint_edges(edges: DataFrame, a: str, b: str, season: str, gaps: dict[str, Column], across: float, link: float) -> DataFrame:
+    """Edges (i, j, gap, weight) between nodes entity * 100000 + season * 10 + discipline.
 
-    All folds are solved in the same jobs. Edges whose ends were not rated before are not scored.
+    ``gaps``: {gap column: weight}, a discipline each, in order; directed rows both count, so weights are doubled. An
+    entity's disciplines of a season are linked with weight ``across``, its neighbouring seasons with ``link`` / seasons apart.
     """
+    node = lambda c, k: F.col(c) * 100000 + F.col(season) * 10 + k
+    out = None
+    for k, (gap, w) in enumerate(gaps.items()):
+        own = edges.select(node(a, k).alias("i"), node(b, k).alias("j"), F.col(gap).alias("gap"), (2 * w).alias("weight"))
+        out = own if out is None else out.unionByName(own)
+    seasons = edges.select(a, season).distinct()
+    pairs = [(x, y) for x in range(len(gaps)) for y in range(len(gaps)) if x != y]
+    cross = seasons.select(F.explode(F.array(*[F.struct(node(a, x).alias("i"), node(a, y).alias("j")) for x, y in pairs])).alias("e"))
+    out = out.unionByName(cross.select("e.i", "e.j", F.lit(0.0).alias("gap"), F.lit(float(across)).alias("weight")))
+    w = Window.partitionBy(a).orderBy(season)
+    steps = seasons.withColumn("_next", F.lead(season).over(w)).where("_next is not null")
+    ends = lambda k: (F.col(a) * 100000 + F.col(season) * 10 + k, F.col(a) * 100000 + F.col("_next") * 10 + k)
+    ways = [F.struct(x.alias("i"), y.alias("j")) for k in range(len(gaps)) for x, y in (ends(k), ends(k)[::-1])]
+    return out.unionByName(steps.select(F.explode(F.array(*ways)).alias("e"), (F.lit(link) / (F.col("_next") - F.col(season))).alias("weight")).select("e.i", "e.j", F.lit(0.0).alias("gap"), "weight"))
+
+
+def _folds(edges: DataFrame, a: str, b: str, season: str, gap: str) -> DataFrame:
+    """Sums of each pair and season, repeated for every later season (fold)."""
     folds = edges.agg(F.collect_set(season).alias("_f"))  # one row with the seasons
     past = edges.groupBy(season, a, b).agg(F.sum(gap).alias("_g"), F.count(gap).cast("double").alias("_w"))  # before rows are repeated
-    past = past.crossJoin(F.broadcast(folds)).withColumns({"fold": F.explode(F.filter("_f", lambda x: x > F.col(season))), "_m": F.col("_g") / F.col("_w")})
-    rated = ratings(past, a, b, "_m", prior, rounds, weight="_w", by=("fold",))
-    left, right = rated.select(F.col("fold").alias(season), a, F.col("rating").alias("_a")), rated.select(F.col("fold").alias(season), F.col(a).alias(b), F.col("rating").alias("_b"))
-    scored = edges.join(left, [season, a]).join(right, [season, b]).withColumn("_p", F.col("_a") - F.col("_b"))
-    hit = F.when((F.col(gap) > 0) == (F.col("_p") > 0), 1.0).otherwise(0.0)
-    return scored.groupBy(F.col(season).alias("fold")).agg(F.count("*").alias("n"), F.avg(F.abs(F.col(gap) - F.col("_p"))).alias("mae"), F.avg(hit).alias("hits"))
+    return past.crossJoin(F.broadcast(folds)).withColumns({"fold": F.explode(F.filter("_f", lambda x: x > F.col(season))), "_m": F.col("_g") / F.col("_w")}).drop("_f")
+
+
+def _scored(edges: DataFrame, rated: DataFrame, a: str, b: str, season: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """Edges with ``predicted`` from the ratings (fold, by, entity, rating) of the fold that is their season; unrated ends are not scored."""
+    left = rated.select(F.col("fold").alias(season), *by, F.col("entity").alias(a), F.col("rating").alias("_a"))
+    right = rated.select(F.col("fold").alias(season), *by, F.col("entity").alias(b), F.col("rating").alias("_b"))
+    return edges.join(left, [season, a]).join(right, [season, b, *by]).withColumns({"predicted": F.col("_a") - F.col("_b"), "fold": F.col(season)}).drop("_a", "_b")
+
+
+def predictions(edges: DataFrame, a: str, b: str, season: str, gap: str, prior: float = 8.0, rounds: int | None = None) -> DataFrame:
+    """Edges with fold (their season) and ``predicted``, by ratings fitted on the seasons before it. All folds are solved in the same jobs."""
+    rated = ratings(_folds(edges, a, b, season, gap), a, b, "_m", prior, rounds, weight="_w", by=("fold",))
+    return _scored(edges, rated.select("fold", F.col(a).alias("entity"), "rating"), a, b, season)
+
+
+def dynamic_predictions(edges: DataFrame, a: str, b: str, season: str, gap: str, link: float, prior: float = 8.0) -> DataFrame:
+    """As ``predictions``, by the dynamic ratings: each entity's latest node before the fold."""
+    folds = edges.agg(F.collect_set(season).alias("_f"))
+    means = edges.groupBy(a, b, season).agg(F.avg(gap).alias("_m"), F.count(gap).cast("double").alias("_w"))
+    node = lambda c: F.col(c) * 10000 + F.col(season)
+    links = dynamic_edges(edges, a, b, season, gap, link).where((F.col("gap") == 0) & (F.floor(F.col("i") / 10000) == F.floor(F.col("j") / 10000)))
+    whole = means.select(node(a).alias("i"), node(b).alias("j"), F.col("_m").alias("gap"), F.col("_w").alias("weight")).unionByName(links)
+    past = whole.crossJoin(F.broadcast(folds)).withColumn("fold", F.explode(F.filter("_f", lambda x: x > F.greatest(F.col("i") % 10000, F.col("j") % 10000)))).drop("_f")  # one row
+    rated = ratings(past, "i", "j", "gap", prior, weight="weight", by=("fold",))
+    latest = rated.groupBy("fold", F.floor(F.col("i") / 10000).alias("entity")).agg(F.max_by("rating", F.col("i") % 10000).alias("rating"))
+    return _scored(edges, latest, a, b, season)
+
+
+def backtest(edges: DataFrame, a: str, b: str, season: str, gap: str, prior: float = 8.0, rounds: int | None = None) -> DataFrame:
+    """fold, n, mae, rmse, hits (share of right signs), r and skill against zero of ``predictions``: each season by the seasons before it."""
+    y, p = F.col(gap), F.col("predicted")
+    e = F.abs(y - p)
+    return predictions(edges, a, b, season, gap, prior, rounds).groupBy("fold").agg(
+        F.count("*").alias("n"), F.avg(e).alias("mae"), F.sqrt(F.avg(e * e)).alias("rmse"), F.avg(F.when(F.signum(y) == F.signum(p), 1.0).otherwise(0.0)).alias("hits"), F.corr(gap, "predicted").alias("r"), (1 - F.avg(e) / F.avg(F.abs(y))).alias("skill")
+    )
+
+
+def tuned(edges: DataFrame, a: str, b: str, season: str, gap: str, priors: tuple[float, ...], quantile: float, least_covered: float) -> DataFrame:
+    """One row: the prior with the least error on the inner folds, its error and interval on the last season, and whether it is promoted.
+
+    radius is the quantile of the inner folds' absolute errors; promotion asks for a smaller error than that of zero and
+    for enough coverage. All folds and priors are solved in the same jobs; a row for each prior is compared.
+    """
+    grid = _folds(edges, a, b, season, gap).withColumn("prior", F.explode(F.array(*[F.lit(float(p)) for p in priors])))
+    rated = ratings(grid, a, b, "_m", prior="prior", weight="_w", by=("fold", "prior")).select("fold", "prior", F.col(a).alias("entity"), "rating")
+    scored = _scored(edges, rated, a, b, season, ("prior",)).withColumn("_e", F.abs(F.col(gap) - F.col("predicted")))
+    last = scored.agg(F.max("fold").alias("_last"))
+    scored = scored.crossJoin(F.broadcast(last)).checkpoint()  # one row
+    inner = scored.where("fold < _last").groupBy("prior").agg(F.avg("_e").alias("inner_mae"), F.percentile("_e", quantile).alias("radius"))
+    best = inner.orderBy(F.round("inner_mae", 9), "prior").limit(1)
+    held = scored.where("fold = _last").join(F.broadcast(best), "prior")
+    out = held.groupBy("prior", "inner_mae", "radius").agg(F.avg("_e").alias("holdout_mae"), F.avg(F.when(F.col("_e") <= F.col("radius"), 1.0).otherwise(0.0)).alias("covered"), F.avg(F.abs(gap)).alias("_zero"))
+    return out.withColumn("promoted", (F.col("holdout_mae") < F.col("_zero")) & (F.col("covered") >= least_covered)).drop("_zero")

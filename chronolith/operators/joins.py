@@ -10,9 +10,10 @@ def asof(left: DataFrame, right: DataFrame, keys: list[str], t: str, values: lis
     """Left rows with ``values`` of the last right row at or before ``t`` (before, if ``strict``).
 
     One shuffle and one sort by (keys, t). ``or_first``: else the first right row of the keys. ``max_age``: values older are null.
+    Right rows without a time are none; left rows without a time match nothing (but take the first row with ``or_first``).
     """
     names = left.columns
-    right = right.select(*keys, t, *values)
+    right = right.select(*keys, t, *values).where(F.col(t).isNotNull())
     mine = left.select(*keys, F.col(t), F.struct(*[F.col(c) for c in names]).alias("_l"), F.lit(None).cast("double").alias("_t"), F.lit(0 if strict else 1).alias("_o"), *[F.lit(None).cast(right.schema[v].dataType).alias(f"_r_{v}") for v in values])
     theirs = right.select(*keys, F.col(t), F.lit(None).cast(mine.schema["_l"].dataType).alias("_l"), F.col(t).cast("double").alias("_t"), F.lit(1 if strict else 0).alias("_o"), *[F.col(v).alias(f"_r_{v}") for v in values])
     w = Window.partitionBy(*keys).orderBy(F.col(t).asc_nulls_first(), "_o").rowsBetween(Window.unboundedPreceding, 0)
@@ -40,14 +41,14 @@ def exactly(df: DataFrame, group: list[str], entity: str, k: int) -> DataFrame:
 
 def interval(points: DataFrame, spans: DataFrame, keys: list[str], t: str, start: str, end: str, width: float, how: str = "inner", closed: bool = False) -> DataFrame:
     """Points in [start, end) (or [start, end]) of spans with equal keys, by buckets of ``width``: each span goes to the buckets that it meets."""
-    p = points.withColumn("_b", F.floor(F.col(t) / width))
-    s = spans.withColumn("_b", F.explode(F.sequence(F.floor(F.col(start) / width), F.floor(F.col(end) / width))))
-    inside = (p[t] >= s[start]) & ((p[t] <= s[end]) if closed else (p[t] < s[end]))
-    on = [p[k] == s[k] for k in keys] + [p["_b"] == s["_b"], inside]
-    out = p.join(s, on, how)
+    p = points.withColumn("_b", F.floor(F.col(t) / width)).alias("p")
+    s = spans.withColumn("_b", F.explode(F.sequence(F.floor(F.col(start) / width), F.floor(F.col(end) / width)))).alias("s")
+    at, first, last = F.col(f"p.{t}"), F.col(f"s.{start}"), F.col(f"s.{end}")
+    inside = (at >= first) & ((at <= last) if closed else (at < last))
+    out = p.join(s, [F.col(f"p.{k}") == F.col(f"s.{k}") for k in (*keys, "_b")] + [inside], how)
     if how in ("left_semi", "left_anti"):
         return out.drop("_b")
-    return out.select(*[p[c] for c in points.columns], *[s[c] for c in spans.columns if c not in keys])
+    return out.select(*[F.col(f"p.{c}") for c in points.columns], *[F.col(f"s.{c}") for c in spans.columns if c not in keys])
 
 
 def nearest(left: DataFrame, right: DataFrame, keys: list[str], t: str, values: list[str], within: float, ident: list[str]) -> DataFrame:
@@ -78,3 +79,59 @@ def require_unique(df: DataFrame, keys: list[str]) -> DataFrame:
     """The frame, whose rows raise an error if a key occurs twice."""
     n = F.count("*").over(Window.partitionBy(*keys))
     return df.withColumn("_n", n).where(F.assert_true(F.col("_n") == 1, F.lit(f"{keys} not unique")).isNull()).drop("_n")
+
+
+def either(left: DataFrame, right: DataFrame, keys: list[str], sides: list[tuple[str, str]], match: list[str]) -> DataFrame:
+    """Right rows that equal one of a left row's sides in ``match``: each side is a row of its own, so that the join has equal keys."""
+    rows = None
+    for side in sides:
+        one = left.select(*keys, *[F.col(c).alias(m) for c, m in zip(side, match, strict=True)])
+        rows = one if rows is None else rows.unionByName(one)
+    return rows.join(right, [*keys, *match])
+
+
+def bracketed(left: DataFrame, right: DataFrame, keys: list[str], x: str, values: list[str], widest: float | None = None) -> DataFrame:
+    """Left rows with ``values`` at ``x``, linear between the right rows (unique by keys and x) before and after; null outside them.
+
+    With ``widest`` a gap that is longer gives null; at a right row's own x its value is taken. One shuffle and one sort.
+    """
+    names = left.columns
+    mine = left.select(*keys, F.col(x).cast("double").alias("_x"), F.struct(*[F.col(c) for c in names]).alias("_l"), *[F.lit(None).cast("double").alias(f"_v_{v}") for v in values])
+    theirs = right.where(F.col(x).isNotNull()).select(*keys, F.col(x).cast("double").alias("_x"), F.lit(None).cast(mine.schema["_l"].dataType).alias("_l"), *[F.col(v).cast("double").alias(f"_v_{v}") for v in values])
+    knot = F.when(F.col("_l").isNull(), F.struct("_x", *[f"_v_{v}" for v in values]))
+    order = Window.partitionBy(*keys).orderBy(F.col("_x").asc_nulls_first())
+    near = mine.unionByName(theirs).withColumns({"_a": F.last(knot, ignorenulls=True).over(order.rangeBetween(Window.unboundedPreceding, 0)), "_b": F.first(knot, ignorenulls=True).over(order.rangeBetween(0, Window.unboundedFollowing))})
+    wide = F.col("_b._x") - F.col("_a._x")
+    between = F.lit(True) if widest is None else wide <= widest
+    out = lambda v: F.when(F.col("_a._x") == F.col("_x"), F.col(f"_a._v_{v}")).when(between, F.col(f"_a._v_{v}") + F.try_divide(F.col("_x") - F.col("_a._x"), wide) * (F.col(f"_b._v_{v}") - F.col(f"_a._v_{v}")))
+    return near.where("_l is not null").select("_l.*", *[out(v).alias(v) for v in values])
+
+
+def best_pair(df: DataFrame, group: list[str], entity: str, order: str, within: int, bad: Column, score: Column) -> DataFrame:
+    """The best pair of rows of two entities in each group: rows at most ``within`` apart in ``order``; not ``bad`` (0 or 1), then the least ``score``, then the first ones.
+
+    Both may compare ``a.x`` with ``b.x``. Rows meet in buckets of ``order``.
+    """
+    bucket = F.floor(F.col(order) / (within + 1))
+    a, b = df.withColumn("_b", F.explode(F.array(*[bucket + i for i in (-1, 0, 1)]))).alias("a"), df.withColumn("_b", bucket).alias("b")
+    on = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in (*group, "_b")] + [F.col(f"a.{entity}") < F.col(f"b.{entity}"), F.abs(F.col(f"a.{order}") - F.col(f"b.{order}")) <= within]
+    least = F.min(F.struct(bad.alias("bad"), score.alias("score"), F.col(f"a.{order}").alias(order), F.col(f"b.{order}").alias(f"other_{order}"), F.col(f"a.{entity}").alias(entity), F.col(f"b.{entity}").alias(f"other_{entity}"))).alias("x")
+    return a.join(b, on).groupBy(*[F.col(f"a.{g}").alias(g) for g in group]).agg(least).select(*group, "x.*")
+
+
+def one_to_one(left: DataFrame, right: DataFrame, keys: list[str], left_id: str, right_id: str, start: str, end: str, t: str) -> DataFrame:
+    """Greedy matches (left_id, right_id): each left interval, by start, takes the earliest unused right event in [start, end] with equal keys.
+
+    Rounds of mutual firsts: an interval proposes its earliest free event, an event takes the interval that starts first.
+    What a round settles leaves; rounds are as many as the longest chain of overlapping intervals of one key.
+    """
+    both = left.select(*keys, left_id, F.col(start).alias("_s"), F.col(end).alias("_e")).join(right.select(*keys, right_id, F.col(t).alias("_t")), keys).where("_t between _s and _e")
+    open_ = both.select(*keys, left_id, "_s", right_id, "_t").checkpoint()
+    done = None
+    while not open_.isEmpty():
+        by_left, by_right = Window.partitionBy(left_id).orderBy("_t", right_id), Window.partitionBy(right_id).orderBy("_s", left_id)
+        # an interval may take an event only if no interval before it could still claim that event
+        first = open_.withColumns({"_i": F.row_number().over(by_left), "_j": F.row_number().over(by_right)}).where("_i = 1 and _j = 1").select(left_id, right_id).checkpoint()
+        done = first if done is None else done.unionByName(first)
+        open_ = open_.join(first.select(left_id), left_id, "left_anti").join(first.select(right_id), right_id, "left_anti").checkpoint()
+    return done if done is not None else open_.select(left_id, right_id)

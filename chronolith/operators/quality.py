@@ -5,6 +5,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.window import Window
 
 
 def _rule(name: str, bad: DataFrame) -> DataFrame:
@@ -60,8 +61,11 @@ def fingerprint(df: DataFrame, by: list[str]) -> DataFrame:
     cols = []
     for f in sorted(df.schema, key=lambda f: f.name):
         if f.name not in by:
-            c = F.col(f.name)
-            cols.append(F.coalesce((c.cast("double") if f.dataType.typeName() in ("byte", "short", "integer", "long", "float", "double") else c).cast("string"), F.lit("\0")))
+            c = F.col(f"`{f.name}`")
+            if f.dataType.typeName() in ("float", "double"):
+                whole = (c == F.floor(c)) & (F.abs(c) < 2.0**62)
+                c = F.when(whole, c.try_cast("long").cast("string")).otherwise(c.cast("string"))
+            cols.append(F.coalesce(c.cast("string"), F.lit("\0")))
     h = F.xxhash64(F.concat_ws("\1", *cols))
     return df.groupBy(*by).agg(F.count("*").alias("rows"), F.bit_xor(h).alias("xor"), F.sum(F.shiftright(h, 24)).alias("sum"))
 
@@ -89,3 +93,57 @@ def freshness(rows: DataFrame, resource: str, t: str, limit: int) -> DataFrame:
     newest = seen.agg(F.max("_last").alias("_newest"))
     aged = seen.crossJoin(F.broadcast(newest)).withColumn("age", F.floor((F.col("_newest") - F.col("_last")) / 1_000_000))  # one row
     return aged.select(resource, "row_count", "age", (F.col("age") <= limit).alias("healthy"))
+
+
+def must(df: DataFrame, condition: Column, message: str) -> DataFrame:
+    """The frame, whose rows raise an error where a condition is not true."""
+    return df.where(F.assert_true(F.coalesce(condition, F.lit(False)), F.lit(message)).isNull())
+
+
+def unique_or_fail(df: DataFrame, keys: list[str]) -> DataFrame:
+    """The frame, whose rows raise an error if a key occurs twice."""
+    n = F.count("*").over(Window.partitionBy(*keys))
+    return df.withColumn("_n", n).where(F.assert_true(F.col("_n") == 1, F.lit(f"{keys} not unique")).isNull()).drop("_n")
+
+
+def contract(tables: dict[str, DataFrame], wanted: dict[str, dict[str, str]], partition: str, first: int, last: int) -> DataFrame:
+    """A row for each required column (1 if it is missing or of another type) and table (rows of partitions out of range)."""
+    out = []
+    for name, columns in wanted.items():
+        df = tables[name]
+        kinds = dict(df.dtypes)
+        one = df.sparkSession.range(1)
+        out += [one.select(F.lit(f"{name}.{c}").alias("rule"), F.lit(int(kinds.get(c) != kind)).cast("long").alias("violations")) for c, kind in columns.items()]
+        out.append(_rule(f"{name} partitions", df.where(~F.col(partition).between(first, last))))
+    return report(*out)
+
+
+def receipts(receipt: DataFrame, now: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, rows, current (the partition's fingerprint is still that of its receipt) and receipts (how many it has)."""
+    many = receipt.groupBy(*keys).agg(F.count("*").alias("receipts"), F.first("xor").alias("_x"), F.first("sum").alias("_s"), F.first("rows").alias("_r"))
+    both = now.join(many, keys, "full_outer")
+    same = (F.col("xor") == F.col("_x")) & (F.col("sum") == F.col("_s")) & (F.col("rows") == F.col("_r"))
+    return both.select(*keys, F.coalesce("rows", F.lit(0)).alias("rows"), F.coalesce(same & (F.col("receipts") == 1), F.lit(False)).alias("current"), F.coalesce("receipts", F.lit(0)).alias("receipts"))
+
+
+def reconciled(markers: DataFrame, events: DataFrame, by: str, ident: str, t: str, within: int) -> DataFrame:
+    """starts, met, events, back and status of each group: markers and events that have one of the other at most ``within`` away."""
+
+    def near(a: DataFrame, b: DataFrame) -> DataFrame:
+        other = b.select(by, F.col(t).alias("_t")).withColumn("_b", F.explode(F.array(*[F.floor(F.col("_t") / within) + i for i in (-1, 0, 1)])))
+        return a.withColumn("_b", F.floor(F.col(t) / within)).join(other, [by, "_b"]).where(F.abs(F.col(t) - F.col("_t")) <= within).select(ident).distinct().withColumn("_near", F.lit(True))
+
+    def side(a: DataFrame, b: DataFrame, n: str, met: str) -> DataFrame:
+        return a.join(near(a, b), ident, "left").groupBy(by).agg(F.count("*").alias(n), F.count("_near").alias(met))
+
+    both = side(markers, events, "starts", "met").join(side(events, markers, "events", "back"), by, "full_outer")
+    status = F.when(F.col("starts").isNull(), "no markers").when(F.col("events").isNull(), "no events").when(F.col("starts") > F.col("met"), "marker without event").when(F.col("events") > F.col("back"), "event without marker").otherwise("reconciled")
+    return both.select(by, *[F.coalesce(c, F.lit(0)).alias(c) for c in ("starts", "met", "events", "back")], status.alias("status"))
+
+
+def validated(cases: DataFrame, covered: DataFrame, found: DataFrame, keys: list[str], at: str, found_at: str, within: int) -> DataFrame:
+    """Cases with covered (the marts have their keys) and matched (something was found at most ``within`` away)."""
+    seen = covered.select(*keys).distinct().withColumn("covered", F.lit(True))
+    spread = found.select(*keys, F.explode(F.sequence(F.col(found_at) - within, F.col(found_at) + within)).alias(at)).distinct().withColumn("matched", F.lit(True))
+    out = cases.join(seen, keys, "left").join(spread, [*keys, at], "left")
+    return out.withColumns({"covered": F.coalesce("covered", F.lit(False)), "matched": F.coalesce("matched", F.lit(False))})

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
@@ -34,19 +35,30 @@ def coverage(samples: DataFrame, by: list[str], t: str, window: float, least: fl
 
 
 def drop_jumps(samples: DataFrame, by: list[str], t: str, x: str, y: str, max_speed: float) -> DataFrame:
-    """Without (0, 0) sentinels and points that are too fast from the last point kept.
+    """Without (0, 0) sentinels and points that are too fast from the last point kept; a point whose time does not advance stays.
 
-    The comparison with the last *kept* point is sequential: each entity's series is one group, a session long.
+    The comparison with the last *kept* point is sequential, so each group (an entity's session) is one task: it has to be
+    bounded by nature. Points that are near enough to the point before them need no search, so only jumps are walked.
     """
-    schema = samples.schema
-
-    def run(g: pd.DataFrame) -> pd.DataFrame:
-        g = g[~((g[x] == 0) & (g[y] == 0))].sort_values(t)
-        stay, last = [], None
-        for i, (now, a, b) in enumerate(zip(g[t], g[x], g[y], strict=True)):
-            if last is None or ((a - last[1]) ** 2 + (b - last[2]) ** 2) ** 0.5 <= max_speed * (now - last[0]):
-                stay.append(i)
-                last = (now, a, b)
-        return g.iloc[stay]
-
-    return samples.groupBy(*by).applyInPandas(run, schema)
+
+    def run(g: pa.Table) -> pa.Table:
+        px, py, at = (g.column(c).to_numpy().astype(float) for c in (x, y, t))
+        rows = np.flatnonzero(~((px == 0) & (py == 0)))
+        rows = rows[np.argsort(at[rows], kind="stable")]
+        px, py, at = px[rows], py[rows], at[rows]
+        stay = np.ones(len(rows), bool)
+        fast = lambda i, j: at[j] > at[i] and np.hypot(px[j] - px[i], py[j] - py[i]) > max_speed * (at[j] - at[i])
+        with np.errstate(invalid="ignore"):
+            jumps = np.flatnonzero((np.diff(at) > 0) & (np.hypot(np.diff(px), np.diff(py)) > max_speed * np.diff(at))) + 1
+        done = 0
+        for j in jumps.tolist():
+            if j < done:
+                continue
+            last = j - 1  # kept: the points since the jump before it are near to one another
+            while j < len(rows) and fast(last, j):
+                stay[j] = False
+                j += 1
+            done = j + 1
+        return g.take(pa.array(rows[stay]))
+
+    return samples.groupBy(*by).applyInArrow(run, samples.schema)

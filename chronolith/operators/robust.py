@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.window import Window
+
+from chronolith.operators import windows as W
 
 #: Fixed value: the MAD of a normal distribution is its standard deviation divided by this.
 MAD_SCALE = 1.4826
@@ -11,15 +12,30 @@ MAD_SCALE = 1.4826
 
 def mad(df: DataFrame, group: list[str], value: str) -> DataFrame:
     """n, median, mad and sigma (1.4826 * MAD) of each group."""
-    centred = df.where(F.col(value).isNotNull()).withColumn("_m", F.percentile(value, 0.5).over(Window.partitionBy(*group)))
+    known = df.where(F.col(value).isNotNull()).select(*group, value)
+    medians = known.groupBy(*group).agg(F.percentile(value, 0.5).alias("_m"))
+    centred = known.join(medians, group)
     return centred.groupBy(*group).agg(F.count("*").alias("n"), F.max("_m").alias("median"), F.percentile(F.abs(F.col(value) - F.col("_m")), 0.5).alias("mad")).withColumn("sigma", MAD_SCALE * F.col("mad"))
 
 
+def quantiles(df: DataFrame, group: list[str], value: str, **at: float) -> DataFrame:
+    """Exact quantiles (linear between neighbours) of few, large groups, from counts of distinct values: no group meets in one task."""
+    c = W.running_counts(df, group, value)
+    out = []
+    for name, q in at.items():
+        place = q * (F.col("total") - 1)
+        hit = lambda k: F.max(F.when((F.col("before") <= k) & (k < F.col("before") + F.col("times")), F.col(value)))
+        out.append((hit(F.floor(place)) + (F.max(place) - F.floor(F.max(place))) * (hit(F.ceil(place)) - hit(F.floor(place)))).alias(name))
+    return c.groupBy(*group).agg(F.max("total").alias("n"), *out)
+
+
 def robust_z(df: DataFrame, group: list[str], value: str, out: str) -> DataFrame:
-    """(x - median) / sigma of the group; 0 where sigma is 0."""
-    stats = mad(df, group, value).select(*group, "median", "sigma")
+    """(x - median) / sigma of the group; 0 where sigma is 0. For few, large groups (a metric each)."""
+    centre = quantiles(df, group, value, median=0.5).select(*group, "median")
+    away = df.join(F.broadcast(centre), group).select(*group, F.abs(F.col(value) - F.col("median")).alias("_d"))  # a row for each metric
+    stats = centre.join(quantiles(away, group, "_d", mad=0.5).select(*group, (MAD_SCALE * F.col("mad")).alias("sigma")), group)
     z = F.when(F.col("sigma") == 0, F.lit(0.0)).otherwise(F.try_divide(F.col(value) - F.col("median"), F.col("sigma")))
-    return df.join(stats, group, "left").withColumn(out, z).drop("median", "sigma")
+    return df.join(F.broadcast(stats), group, "left").withColumn(out, z).drop("median", "sigma")
 
 
 def theil_sen(df: DataFrame, group: list[str], x: str, y: str, least: int = 3) -> DataFrame:

@@ -53,11 +53,6 @@ def pr06_range_cleaning(spark: S, d: str) -> DataFrame:
     )
 
 
-@query("SELECT count(*) AS n FROM events WHERE isfinite(value) AND value > 0 AND floor(value) % 2 = 0")
-def pr07_guards(spark: S, d: str) -> DataFrame:
-    return table(spark, d, "events").where(C.finite(F.col("value")).isNotNull() & (F.col("value") > 0) & (F.floor("value") % 2 == 0)).agg(F.count("*").alias("n"))
-
-
 @query("SELECT count(*) AS n FROM events WHERE isfinite(value) AND value > 0 AND value % 1 = 0")
 def pr07_integer_guards(spark: S, d: str) -> DataFrame:
     return table(spark, d, "events").where(C.finite(F.col("value")).isNotNull() & (F.col("value") > 0) & (F.col("value") % 1 == 0)).agg(F.count("*").alias("n"))
@@ -134,9 +129,9 @@ def jn02_left_enrichment(spark: S, d: str) -> DataFrame:
     return out.select("o_orderkey", "c_name", "n_name", "r_name")
 
 
-@query("SELECT a.season, a.round, a.driver_id, b.driver_id AS other_driver_id, a.speed, b.speed AS other_speed FROM b_laps a JOIN b_laps b ON a.season = b.season AND a.round = b.round AND a.team = b.team AND a.lap_number = b.lap_number AND a.driver_id <> b.driver_id")
+@query("SELECT a.season, a.round, a.team, a.lap_number, a.driver_id, b.driver_id AS other_driver_id, a.speed, b.speed AS other_speed FROM b_laps a JOIN b_laps b ON a.season = b.season AND a.round = b.round AND a.team = b.team AND a.lap_number = b.lap_number AND a.driver_id <> b.driver_id")
 def jn04_pairs(spark: S, d: str) -> DataFrame:
-    return J.pairs(laps(spark, d), ["season", "round", "team", "lap_number"], "driver_id", ["speed"]).select("season", "round", "driver_id", "other_driver_id", "speed", "other_speed")
+    return J.pairs(laps(spark, d), ["season", "round", "team", "lap_number"], "driver_id", ["speed"])
 
 
 @query("SELECT season, round, team, count(*) AS n FROM b_laps GROUP BY season, round, team HAVING count(DISTINCT driver_id) = 2")
@@ -361,9 +356,8 @@ def ag28_undirected(spark: S, d: str) -> DataFrame:
 )
 def ag33_spearman(spark: S, d: str) -> DataFrame:
     rows = table(spark, d, "lineitem").groupBy("l_suppkey").agg(F.avg("l_extendedprice").alias("a"), F.avg("l_quantity").alias("b"))
-    # ranks of entities, of which there are few: counts of smaller values by a sorted join would serve more
-    rank = lambda c: F.rank().over(Window.orderBy(c)) + (F.count("*").over(Window.partitionBy(c)) - 1) / 2
-    return rows.select(rank("a").alias("ra"), rank("b").alias("rb")).agg(F.round(F.corr("ra", "rb"), 6).alias("spearman"))
+    places = W.ranked(W.ranked(rows, "a").withColumnRenamed("mean_rank", "ra").drop("rank", "dense_rank"), "b")
+    return places.agg(F.round(F.corr("ra", "mean_rank"), 6).alias("spearman"))
 
 
 @query("SELECT * EXCLUDE (n) FROM (SELECT l_orderkey, l_linenumber, l_partkey, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC, l_suppkey, l_partkey) AS n FROM lineitem) WHERE n = 1")
@@ -374,8 +368,8 @@ def wn02_keep_last(spark: S, d: str) -> DataFrame:
 
 @query("SELECT user_id, CAST(rank() OVER (ORDER BY n DESC NULLS LAST) AS BIGINT) AS r, CAST(dense_rank() OVER (ORDER BY n DESC NULLS LAST) AS BIGINT) AS dr FROM (SELECT user_id, count(*) AS n FROM events GROUP BY user_id)")
 def wn03_ranks(spark: S, d: str) -> DataFrame:
-    w = Window.orderBy(F.desc_nulls_last("n"))
-    return table(spark, d, "events").groupBy("user_id").agg(F.count("*").alias("n")).select("user_id", F.rank().over(w).cast("long").alias("r"), F.dense_rank().over(w).cast("long").alias("dr"))
+    counts = table(spark, d, "events").groupBy("user_id").agg(F.count("*").alias("n"))
+    return W.ranked(counts, "n", descending=True).select("user_id", F.col("rank").alias("r"), F.col("dense_rank").alias("dr"))
 
 
 @query(
@@ -397,8 +391,8 @@ def wn05_loo_mean(spark: S, d: str) -> DataFrame:
 @query("SELECT a.season, a.round, a.driver_id, a.lap_number, CASE WHEN count(*) >= 3 THEN round(median(b.lap_time_sec), 6) END AS peers FROM b_laps a JOIN b_laps b ON a.season = b.season AND a.round = b.round AND a.lap_number = b.lap_number AND a.driver_id <> b.driver_id GROUP BY 1, 2, 3, 4")
 def wn06_loo_median(spark: S, d: str) -> DataFrame:
     rows = laps(spark, d)
-    several = rows.withColumn("n", F.count("*").over(Window.partitionBy("season", "round", "lap_number"))).where("n > 1")
-    return W.loo_median(several, ["season", "round", "lap_number"], "lap_time_sec", ["driver_id"], "peers").select("season", "round", "driver_id", "lap_number", F.round("peers", 6).alias("peers"))
+    several = rows.join(rows.groupBy("season", "round", "lap_number").agg(F.count("*").alias("n")).where("n > 1"), ["season", "round", "lap_number"])
+    return W.loo_median(several, ["season", "round", "lap_number"], "lap_time_sec", "peers").select("season", "round", "driver_id", "lap_number", F.round("peers", 6).alias("peers"))
 
 
 @query("SELECT event_id, t_s - lag(t_s) OVER w AS since, lead(value) OVER w AS next_value, round(sum(value) OVER (w ROWS UNBOUNDED PRECEDING), 6) AS running FROM b_ticks WINDOW w AS (PARTITION BY user_id, day ORDER BY t_s, event_id)")

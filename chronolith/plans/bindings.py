@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
@@ -19,18 +21,26 @@ SELECT season, round, driver_id, team, CAST(lap_number AS BIGINT) AS lap_number,
 FROM b_laps1"""
 TICKS = """
 SELECT event_id, user_id, CAST(CAST(ts AS DATE) AS STRING) AS day, CAST(hour(ts) * 3600 + minute(ts) * 60 + second(ts) AS BIGINT) AS t_s, event_type, value FROM events"""
+TIMED = """
+SELECT season, round, driver_id, team, lap_number, stint, tyre_life, compound, track_status, speed, lap_ms, end_ms - lap_ms AS start_ms, end_ms
+FROM (SELECT *, CAST(sum(lap_ms) OVER (PARTITION BY season, round, driver_id ORDER BY lap_number ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS end_ms FROM (SELECT *, CAST(round(lap_time_sec * 1000) AS BIGINT) AS lap_ms FROM b_laps))"""
 EDGES = """
 SELECT a.l_suppkey AS driver_id, b.l_suppkey AS teammate_id, CAST(year(a.l_shipdate) AS BIGINT) AS season,
   100 * (ln(a.l_extendedprice / a.l_quantity) - ln(b.l_extendedprice / b.l_quantity)) AS pace_gap
 FROM lineitem a JOIN lineitem b ON a.l_orderkey = b.l_orderkey AND a.l_suppkey <> b.l_suppkey"""
 
-VIEWS = {"b_laps0": _LAPS0, "b_laps1": _LAPS1, "b_laps": LAPS, "b_ticks": TICKS, "b_edges": EDGES}
-_NEEDS = {"b_laps": ("b_laps0", "b_laps1", "b_laps"), "b_ticks": ("b_ticks",), "b_edges": ("b_edges",)}
+SEASON_EDGES = """
+SELECT a.l_suppkey AS driver_id, b.l_suppkey AS teammate_id, CAST(year(a.l_shipdate) AS BIGINT) AS season, CAST(quarter(a.l_shipdate) AS BIGINT) AS round,
+  100 * (ln(a.l_extendedprice / a.l_quantity) - ln(b.l_extendedprice / b.l_quantity)) AS pace_gap, 100 * (ln(a.l_quantity) - ln(b.l_quantity)) AS quali_gap
+FROM lineitem a JOIN lineitem b ON a.l_orderkey = b.l_orderkey AND a.l_suppkey <> b.l_suppkey AND year(a.l_shipdate) = year(b.l_shipdate) AND quarter(a.l_shipdate) = quarter(b.l_shipdate)"""
+
+VIEWS = {"b_laps0": _LAPS0, "b_laps1": _LAPS1, "b_laps": LAPS, "b_timed": TIMED, "b_ticks": TICKS, "b_edges": EDGES, "b_season_edges": SEASON_EDGES}
+_NEEDS = {"b_laps": ("b_laps0", "b_laps1", "b_laps"), "b_timed": ("b_laps0", "b_laps1", "b_laps", "b_timed"), "b_ticks": ("b_ticks",), "b_edges": ("b_edges",), "b_season_edges": ("b_season_edges",)}
 
 
 def with_views(sql: str) -> str:
     """``sql`` for the oracle, with the views that it names in front."""
-    names = [n for v, own in _NEEDS.items() if v in sql for n in own]
+    names = list(dict.fromkeys(n for v, own in _NEEDS.items() if re.search(rf"\b{v}\b", sql) for n in own))
     if not names:
         return sql
     head = ", ".join(f"{n} AS ({VIEWS[n]})" for n in names)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from chronolith.functions import columns as C
-from chronolith.operators import bootstrap as B, graph as G, joins as J, quality as Q, resample as RS, robust as R, windows as W
+from chronolith.operators import joins as J, quality as Q, resample as RS, robust as R, windows as W
 from chronolith.plans.basics import laps, mid_stint
 from chronolith.plans.bindings import table, view
 from chronolith.plans.registry import query
@@ -96,52 +96,6 @@ def ca29_coverage(spark: S, d: str) -> DataFrame:
     return RS.coverage(view(spark, d, "b_ticks"), ["user_id"], "t_s", 86400).withColumn("covered", F.round("covered", 6))
 
 
-@query("SELECT DISTINCT l_suppkey AS id, (SELECT min(l_suppkey) FROM lineitem) AS component FROM lineitem")
-def nr01_components(spark: S, d: str) -> DataFrame:
-    return G.components(view(spark, d, "b_edges"), "driver_id", "teammate_id")
-
-
-_JACOBI = """
-WITH RECURSIVE e AS MATERIALIZED (SELECT driver_id AS i, teammate_id AS j, sum(pace_gap) AS g, CAST(count(*) AS DOUBLE) AS w FROM b_edges GROUP BY 1, 2),
-n AS (SELECT i, sum(w) AS n FROM e GROUP BY i),
-s0 AS (SELECT i, 0.0::DOUBLE AS d FROM n)"""
-for _k in range(1, 5):
-    _JACOBI += f", s{_k} AS MATERIALIZED (SELECT e.i, any_value(a.d) * 0.5 + 0.5 * sum(e.g + e.w * b.d) / (any_value(n.n) + 8) AS d FROM e JOIN s{_k - 1} a ON a.i = e.i JOIN s{_k - 1} b ON b.i = e.j JOIN n ON n.i = e.i GROUP BY e.i)"
-_JACOBI += " SELECT i AS driver_id, round(d, 6) AS rating FROM s4"
-
-
-@query(_JACOBI)
-def nr02_ratings_four_rounds(spark: S, d: str) -> DataFrame:
-    out = G.ratings(view(spark, d, "b_edges"), "driver_id", "teammate_id", "pace_gap", prior=8.0, rounds=4)
-    return out.select("driver_id", F.round("rating", 6).alias("rating"))
-
-
-@query(None)
-def nr02_solved_ratings(spark: S, d: str) -> DataFrame:
-    out = G.ratings(view(spark, d, "b_edges"), "driver_id", "teammate_id", "pace_gap", prior=8.0)
-    return out.select("driver_id", F.round("rating", 6).alias("rating"))
-
-
-@query(
-    "WITH r AS (SELECT l_returnflag, l_extendedprice, row_number() OVER (PARTITION BY l_returnflag ORDER BY l_orderkey, l_linenumber, l_suppkey, l_shipdate) - 1 AS k, count(*) OVER (PARTITION BY l_returnflag) AS n FROM lineitem WHERE l_suppkey % 25 = l_partkey % 25), "
-    "d AS (SELECT l_returnflag, k AS slot, n, unnest(range(20)) AS r FROM r), i AS (SELECT l_returnflag, r, CAST('0x' || substr(md5(concat_ws('|', '7', r, l_returnflag, slot)), 1, 8) AS BIGINT) % n AS k FROM d), "
-    "m AS (SELECT i.l_returnflag, i.r, median(l_extendedprice) AS m FROM i JOIN r USING (l_returnflag, k) GROUP BY 1, 2) "
-    "SELECT l_returnflag, (SELECT count(*) FROM r WHERE r.l_returnflag = m.l_returnflag) AS n, round((SELECT median(l_extendedprice) FROM r WHERE r.l_returnflag = m.l_returnflag), 6) AS median, round(quantile_cont(m, 0.05), 6) AS low, round(quantile_cont(m, 0.95), 6) AS high FROM m GROUP BY l_returnflag"
-)
-def nr09_bootstrap(spark: S, d: str) -> DataFrame:
-    # a part of the rows and few replicates, which SQL can repeat row by row; nr09_race_bootstrap is the whole job
-    rows = table(spark, d, "lineitem").where("l_suppkey % 25 = l_partkey % 25")
-    out = B.bootstrap_median(rows, "l_returnflag", "l_extendedprice", ["l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate"], 20)
-    return out.select("l_returnflag", "n", *[F.round(c, 6).alias(c) for c in ("median", "low", "high")])
-
-
-@query(None)
-def nr09_race_bootstrap(spark: S, d: str) -> DataFrame:
-    races = table(spark, d, "lineitem").select("l_returnflag", "l_extendedprice", F.year("l_shipdate").alias("season"), F.quarter("l_shipdate").alias("round"))
-    out = B.cluster_bootstrap_median(races, "l_returnflag", ["season", "round"], "l_extendedprice")
-    return out.select("l_returnflag", "n", "clusters", *[F.round(c, 6).alias(c) for c in ("median", "low", "high")])
-
-
 @query(
     "SELECT 'accepted:o_orderstatus' AS rule, count(*) FILTER (o_orderstatus NOT IN ('F', 'O')) AS violations FROM orders UNION ALL SELECT 'not_null:o_custkey', count(*) FILTER (o_custkey IS NULL) FROM orders UNION ALL "
     "SELECT 'range:o_totalprice', count(*) FILTER (o_totalprice < 1000 OR o_totalprice > 400000) FROM orders UNION ALL SELECT 'unique:l_orderkey+l_linenumber', count(*) FROM (SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1) UNION ALL "

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.window import Window
 
-from chronolith.operators import evidence as E, graph as G, joins as J, quality as Q, robust as R, windows as W
+from chronolith.operators import evidence as E, joins as J, quality as Q, robust as R, windows as W
 from chronolith.plans.basics import laps
 from chronolith.plans.bindings import table, view
 from chronolith.plans.registry import query
@@ -146,58 +146,6 @@ def jn29_clock_zero(spark: S, d: str) -> DataFrame:
     return E.clock_zero(view(spark, d, "b_ticks").join(utc, "event_id"), ["day"], "user_id", "utc", "t_s")
 
 
-def _jacobi(edges: str, rounds: int, by: tuple[str, ...] = (), prior: str = "8") -> str:
-    """SQL of ``rounds`` rounds of ``operators.graph.ratings`` over the query ``edges`` (by, i, j, g, w); the last one is ``s``."""
-    b = "".join(f"{c}, " for c in by)
-    using = ", ".join([*by, "i"])
-    sql = f"e AS MATERIALIZED (SELECT {b}i, j, sum(w * g) AS g, CAST(sum(w) AS DOUBLE) AS w FROM ({edges}) GROUP BY ALL), n AS (SELECT {b}i, sum(w) AS n FROM e GROUP BY ALL), s0 AS (SELECT {b}i, CAST(0 AS DOUBLE) AS d FROM n)"
-    for k in range(1, rounds + 1):
-        other = " AND ".join(f"b.{c} = e.{c}" for c in by) or "true"
-        mine = ", ".join(f"e.{c}" for c in (*by, "i"))
-        name = "s" if k == rounds else f"s{k}"
-        sql += f", p{k} AS MATERIALIZED (SELECT {mine}, sum(e.g + e.w * b.d) AS s FROM e JOIN s{k - 1} b ON {other} AND b.i = e.j GROUP BY ALL), {name} AS MATERIALIZED (SELECT {b}i, 0.5 * a.d + 0.5 * p.s / (n + {prior}) AS d FROM s{k - 1} a JOIN p{k} p USING ({using}) JOIN n USING ({using}))"
-    return sql
-
-
-_PLAIN = "SELECT season, driver_id AS i, teammate_id AS j, pace_gap AS g, 1 AS w FROM b_edges"
-_LINKS = "SELECT x AS i, y AS j, CAST(0 AS DOUBLE) AS g, 2.0 / dist AS w FROM (SELECT node AS x, lead(node) OVER v AS y, lead(season) OVER v - season AS dist FROM nodes WINDOW v AS (PARTITION BY driver_id ORDER BY season)) WHERE y IS NOT NULL"
-_NODES = "nodes AS (SELECT DISTINCT driver_id, season, driver_id * 10000 + season AS node FROM b_edges)"
-
-
-@query(
-    f"WITH {_NODES}, l AS ({_LINKS}), "
-    + _jacobi("SELECT driver_id * 10000 + season AS i, teammate_id * 10000 + season AS j, pace_gap AS g, CAST(1 AS DOUBLE) AS w FROM b_edges UNION ALL SELECT i, j, g, w FROM l UNION ALL SELECT j, i, g, w FROM l", 3)
-    + " SELECT i AS node, round(d, 6) AS rating FROM s"
-)
-def nr03_dynamic_ratings(spark: S, d: str) -> DataFrame:
-    edges = G.dynamic_edges(view(spark, d, "b_edges"), "driver_id", "teammate_id", "season", "pace_gap", 2.0)
-    return G.ratings(edges, "i", "j", "gap", rounds=3, weight="weight").select(F.col("i").alias("node"), F.round("rating", 6).alias("rating"))
-
-
-@query("WITH " + _jacobi(f"SELECT prior, i, j, g, w FROM ({_PLAIN}), (SELECT CAST(unnest([2, 8, 32]) AS DOUBLE) AS prior)", 3, ("prior",), "prior") + " SELECT prior, count(*) AS n, round(avg(abs(d)), 6) AS size FROM s GROUP BY prior")
-def nr12_shrinkage_sweep(spark: S, d: str) -> DataFrame:
-    edges = view(spark, d, "b_edges").withColumn("prior", F.explode(F.array(*[F.lit(p) for p in (2.0, 8.0, 32.0)])))
-    out = G.ratings(edges, "driver_id", "teammate_id", "pace_gap", prior="prior", rounds=3, by=("prior",))
-    return out.groupBy("prior").agg(F.count("*").alias("n"), F.round(F.avg(F.abs("rating")), 6).alias("size"))
-
-
-@query(None)
-def nr12_solved_shrinkage_sweep(spark: S, d: str) -> DataFrame:
-    edges = view(spark, d, "b_edges").withColumn("prior", F.explode(F.array(*[F.lit(p) for p in (2.0, 8.0, 32.0)])))
-    out = G.ratings(edges, "driver_id", "teammate_id", "pace_gap", prior="prior", by=("prior",))
-    return out.groupBy("prior").agg(F.count("*").alias("n"), F.round(F.avg(F.abs("rating")), 6).alias("size"))
-
-
-@query(
-    "WITH "
-    + _jacobi(f"SELECT fold, i, j, g, w FROM ({_PLAIN}) JOIN (SELECT DISTINCT season AS fold FROM b_edges) ON season < fold", 3, ("fold",))
-    + " SELECT a.fold AS fold, count(*) AS n, round(avg(abs(pace_gap - (a.d - b.d))), 6) AS mae, round(avg(CASE WHEN (pace_gap > 0) = (a.d - b.d > 0) THEN 1.0 ELSE 0.0 END), 6) AS hits FROM b_edges JOIN s a ON a.fold = season AND a.i = driver_id JOIN s b ON b.fold = season AND b.i = teammate_id GROUP BY a.fold"
-)
-def nr10_backtest(spark: S, d: str) -> DataFrame:
-    out = G.backtest(view(spark, d, "b_edges"), "driver_id", "teammate_id", "season", "pace_gap", rounds=3)
-    return out.select("fold", "n", F.round("mae", 6).alias("mae"), F.round("hits", 6).alias("hits"))
-
-
 @query(
     "WITH k AS (SELECT *, row_number() OVER (PARTITION BY season, round, driver_id, stint ORDER BY lap_number) AS k FROM b_laps), f AS (SELECT season, round, driver_id, stint, regr_slope(lap_time_sec, tyre_life) AS b, regr_intercept(lap_time_sec, tyre_life) AS a, median(lap_time_sec) AS m FROM k WHERE k <= 5 GROUP BY 1, 2, 3, 4 HAVING count(*) = 5) "
     "SELECT season, round, driver_id, stint, count(*) AS scored, round(avg(abs(lap_time_sec - a - b * tyre_life)), 6) AS mae, round(avg(abs(lap_time_sec - m)), 6) AS baseline_mae FROM k JOIN f USING (season, round, driver_id, stint) WHERE k > 5 GROUP BY 1, 2, 3, 4"
@@ -225,7 +173,7 @@ def dq03_thresholds(spark: S, d: str) -> DataFrame:
 @query("SELECT count(*) AS compared, CAST(0 AS BIGINT) AS violations FROM (SELECT season, round, lap_number FROM b_laps), (SELECT 1)")
 def dq07_recomputed_median(spark: S, d: str) -> DataFrame:
     key, rows = ["season", "round", "lap_number"], laps(spark, d).select("season", "round", "lap_number", "driver_id", "lap_time_sec")
-    stored = W.loo_median(rows, key, "lap_time_sec", ["driver_id"], "peers")
+    stored = W.loo_median(rows, key, "lap_time_sec", "peers")
     other = J.pairs(rows, key, "driver_id", ["lap_time_sec"]).groupBy(*key, "driver_id").agg(F.when(F.count("*") >= 3, F.percentile("other_lap_time_sec", 0.5)).alias("again"))
     both = stored.join(other, [*key, "driver_id"], "left")
     same = F.col("peers").eqNullSafe(F.col("again")) | (F.abs(F.col("peers") - F.col("again")) <= 1e-9)

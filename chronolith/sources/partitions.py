@@ -3,11 +3,21 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from datetime import date
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: ``spark.checkpoint.dir``, else the context's. Without one nothing can be kept."""
+    at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not at:
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return at
+
+
 def scan(spark: SparkSession, path: str, schema: T.StructType | None = None, **keys) -> DataFrame:
     """Rows of a partitioned Parquet table, pruned to the given partition values."""
     df = (spark.read.schema(schema) if schema else spark.read).parquet(path)
@@ -54,17 +64,27 @@ def replaced_partition(existing: DataFrame, incoming: DataFrame, **key) -> DataF
 
 
 def write_bundle(frames: dict[str, DataFrame], root: str) -> str:
-    """Write frames to a new version; one pointer row, written last, publishes them all."""
-    version = uuid.uuid4().hex
+    """Write frames to a new version; one pointer row, added last, publishes them all. Readers take the newest pointer, so none is ever missing."""
+    version, spark = uuid.uuid4().hex, next(iter(frames.values())).sparkSession
     for name, df in frames.items():
         df.write.parquet(f"{root}/{version}/{name}")
-    spark = next(iter(frames.values())).sparkSession
-    spark.createDataFrame([(version,)], "version string").coalesce(1).write.mode("overwrite").parquet(f"{root}/current")
+    last = _pointers(spark, root).agg(F.coalesce(F.max("turn"), F.lit(0))).first()[0]
+    spark.createDataFrame([(version, last + 1)], _POINTER).coalesce(1).write.mode("append").parquet(f"{root}/pointers")
     return version
 
 
+_POINTER = "version string, turn long"
+
+
+def _pointers(spark: SparkSession, root: str) -> DataFrame:
+    try:
+        return spark.read.schema(_POINTER).parquet(f"{root}/pointers")
+    except AnalysisException:  # nothing published yet
+        return spark.createDataFrame([], _POINTER)
+
+
 def read_bundle(spark: SparkSession, root: str, name: str) -> DataFrame:
-    version = spark.read.schema("version string").parquet(f"{root}/current").first()["version"]
+    version = _pointers(spark, root).orderBy(F.desc("turn"), "version").first()["version"]
     return spark.read.parquet(f"{root}/{version}/{name}")
 
 
@@ -89,6 +109,71 @@ def stale_keys(source: DataFrame, target: DataFrame, keys: list[str], loaded_at:
     return s.join(t, keys, "left").where(F.col("_t").isNull() | (F.col("_s") > F.col("_t"))).select(*keys)
 
 
+def latest_completed(races: DataFrame, day: str, as_of: date | str) -> DataFrame:
+    """The last partition before a day."""
+    return races.where(F.col(day) < F.lit(as_of).cast("date")).orderBy(F.desc(day)).limit(1)
+
+
+def refresh(source: DataFrame, path: str, keys: list[str], build: Callable[[DataFrame], DataFrame], loaded_at: str = "loaded_at") -> None:
+    """Recompute and replace only the mart partitions whose source was loaded after them. The mart then equals a full rebuild."""
+    stale = stale_keys(source, source.sparkSession.read.parquet(path), keys, loaded_at).checkpoint()  # the mart is replaced below
+    write_touched(build(source.join(F.broadcast(stale), keys, "left_semi")), path, keys)  # a row for each partition
+
+
+def restore(rows: DataFrame, path: str, **key) -> None:
+    """Write one partition back; rows of another one, or none at all, are refused before anything is written."""
+    inside = F.lit(True)
+    for k, v in key.items():
+        inside = inside & F.col(k).eqNullSafe(F.lit(v))
+    n, bad = rows.agg(F.count("*"), F.count_if(~inside)).first()
+    if not n or bad:
+        raise ValueError(f"{n} rows to restore, of which {bad} are not of {key}")
+    write_touched(rows, path, list(key))
+
+
+def fill_columns(own: DataFrame, donor: DataFrame, keys: list[str], unchanged: list[str], fill: list[str], tolerance: float = 1e-6) -> DataFrame:
+    """Nulls of ``fill`` from a donor of the same keys; an error if a key is missing on either side, an ``unchanged`` value differs or filled values conflict."""
+    both = own.withColumn("_l", F.lit(True)).alias("a").join(donor.withColumn("_r", F.lit(True)).alias("b"), [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys], "full_outer")
+    ok = F.coalesce(F.col("_l") & F.col("_r"), F.lit(False))
+    for c in unchanged:
+        ok = ok & (F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) | F.coalesce(F.abs(F.col(f"a.{c}") - F.col(f"b.{c}")) <= tolerance, F.lit(False)))
+    for c in fill:
+        ok = ok & (F.col(f"a.{c}").isNull() | F.col(f"b.{c}").isNull() | (F.col(f"a.{c}") == F.col(f"b.{c}")))
+    checked = both.where(F.assert_true(ok, F.lit("the donor does not fit")).isNull())
+    return checked.select(*[F.coalesce(f"a.{c}", f"b.{c}").alias(c) if c in fill else F.col(f"a.{c}") for c in own.columns])
+
+
+def _counted(spark: SparkSession, counts: dict[str, str]) -> DataFrame:
+    out = None
+    for name, path in counts.items():
+        one = spark.read.parquet(path).agg(F.count("*").alias("rows")).select(F.lit(name).alias("name"), "rows")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def snapshot(tables: dict[str, DataFrame], path: str, allowed: list[str], season: str, first: int, last: int) -> DataFrame:
+    """Write the allowed tables, without seasons out of range, and give name and rows of what was written."""
+    for name in allowed:
+        df = tables[name]
+        (df.where(F.col(season).between(first, last)) if season in df.columns else df).write.parquet(f"{path}/{name}")
+    return _counted(tables[allowed[0]].sparkSession, {n: f"{path}/{n}" for n in allowed})
+
+
+def export_sorted(df: DataFrame, path: str, keys: list[str], order: list[str], schema: str) -> None:
+    """Typed, narrowed columns, one directory for each partition, sorted inside its files."""
+    rows = with_columns(df, T.StructType.fromDDL(schema)).select(*T.StructType.fromDDL(schema).names)
+    rows.repartition(*keys).sortWithinPartitions(*keys, *order).write.partitionBy(*keys).parquet(path)
+
+
+def subset(tables: dict[str, DataFrame], path: str, **key) -> DataFrame:
+    """Write each table, cut to one partition where it has the keys, and give name and rows of what was written."""
+    for name, df in tables.items():
+        for k, v in key.items():
+            df = df.where(F.col(k) == v) if k in df.columns else df
+        df.write.parquet(f"{path}/{name}")
+    return _counted(next(iter(tables.values())).sparkSession, {n: f"{path}/{n}" for n in tables})
+
+
 def with_columns(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Additive evolution: missing columns as typed nulls, in the schema's order; further columns stay behind them."""
     have = set(df.columns)

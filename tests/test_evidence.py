@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from chronolith.operators import bootstrap as B, evidence as E, graph as G, quality as Q
-from chronolith.plans import marts
+from chronolith.plans import ratings
 
 SF = "/root/testdata/sf0.001"
 
@@ -72,7 +72,7 @@ def test_cluster_bootstrap_against_brute_force(spark):
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no tables")
 def test_race_bootstrap_takes_all_rows(spark):
-    out = marts.nr09_race_bootstrap(spark, SF).collect()
+    out = ratings.nr09_race_bootstrap(spark, SF).collect()
     assert sum(r["n"] for r in out) == spark.read.parquet(f"{SF}/lineitem.parquet").count()
     assert all(r["low"] <= r["high"] for r in out)
 

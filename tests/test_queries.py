@@ -6,7 +6,7 @@ import os
 import duckdb
 import pytest
 
-from chronolith.plans import basics, marts, reports  # noqa: F401
+from chronolith.plans import basics, checks, lake, marts, neutral, pits, ratings, replays, reports, serving, small, streams, technique  # noqa: F401
 from chronolith.plans.registry import ORACLE, QUERIES
 
 SF = "/root/testdata/sf0.001"
