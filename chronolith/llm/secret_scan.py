@@ -12,16 +12,21 @@ import binascii
 import hashlib
 import json
 import re
+from bisect import bisect_right
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from chronolith.llm.text import map_texts
+from chronolith.llm.text import map_rows, map_texts
 
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A | re.I)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{16,}")  # leftmost maximal runs, as [0-9a-f]+ with the short ones dropped
-_PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----([A-Za-z0-9+/=\s:,-]*?)-----END \1-----")
-_JWT = re.compile(r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]*\.[A-Za-z0-9_-]*")
+_PEM_MARK = re.compile(r"-----(BEGIN|END) ([A-Z0-9 ]{0,40}PRIVATE KEY)-----")
+_PEM_HEADER = re.compile(r"^([A-Za-z-]+):[ \t]*(.*)$", re.M)
+#: Block sizes of the ciphers that an encrypted PEM body may name.
+_BLOCKS = {"DES-CBC": 8, "DES-EDE3-CBC": 8, "BF-CBC": 8, "RC2-CBC": 8, "IDEA-CBC": 8, "AES-128-CBC": 16, "AES-192-CBC": 16, "AES-256-CBC": 16, "CAMELLIA-256-CBC": 16, "SEED-CBC": 16}
+_TOKEN = re.compile(r"[A-Za-z0-9_.-]{20,}")
 _BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])M[A-Za-z0-9+/_-]{39,}={0,2}")  # DER of a key starts with 0x30, so its text starts with M
 _HEX_ANY = re.compile(r"(?<![0-9A-Fa-f])30[0-9A-Fa-f]{62,}")
 #: Base kinds, then those that need confirmation; ties at one start are listed in this order.
@@ -98,6 +103,52 @@ def _json_object(part: str) -> dict | None:
     return found if isinstance(found, dict) else None
 
 
+def _pem_spans(text: str) -> list[tuple[int, int, int]]:
+    """Confirmed PEM and OpenSSH keys: a BEGIN mark and the next mark, if it is the END of the same label. Bodies do not overlap."""
+    out, open_ = [], None
+    for m in _PEM_MARK.finditer(text):
+        if m[1] == "END" and open_ and open_[2] == m[2]:
+            body = text[open_.end() : m.start()].replace("\\r", "").replace("\\n", "\n")  # line ends may be escaped in a string
+            headers = {h[1].lower(): h[2].strip() for h in _PEM_HEADER.finditer(body)}
+            data = _decoded(_PEM_HEADER.sub("", body))
+            if data and _ssh_key(data):
+                out.append((open_.start(), 4, m.end()))
+            elif data and (der_key(data) or "ENCRYPTED" in m[2] and data[0] == 0x30 or _enciphered(headers, data)):
+                out.append((open_.start(), 3, m.end()))
+        open_ = m if m[1] == "BEGIN" else None
+    return out
+
+
+def _enciphered(headers: dict[str, str], data: bytes) -> bool:
+    """True for a body under Proc-Type 4,ENCRYPTED whose length and initial vector fit the cipher that it names."""
+    if "".join(headers.get("proc-type", "").split()).upper() != "4,ENCRYPTED":
+        return False
+    cipher, _, start = headers.get("dek-info", "").partition(",")
+    block = _BLOCKS.get(cipher.strip().upper())
+    return block is not None and len(data) % block == 0 and re.fullmatch(rf"[0-9A-Fa-f]{{{2 * block}}}|[0-9A-Fa-f]{{16}}", start.strip()) is not None
+
+
+def _jwt_spans(text: str) -> list[tuple[int, int, int]]:
+    """Signed tokens: three parts between dots in a run of their alphabet, whose first two hold JSON objects."""
+    out = []
+    for run in _TOKEN.finditer(text):
+        if "eyJ" not in run[0]:
+            continue
+        parts, at, i = run[0].split("."), run.start(), 0
+        places = [at]
+        for p in parts:
+            places.append(places[-1] + len(p) + 1)
+        while i + 2 < len(parts):
+            head = parts[i].find("eyJ")
+            if head >= 0 and parts[i + 1].startswith("eyJ"):
+                names = _json_object(parts[i][head:])
+                if names and isinstance(names.get("alg"), str) and _json_object(parts[i + 1]) is not None:
+                    out.append((places[i] + head, 5, places[i + 2] + len(parts[i + 2])))
+                    i += 2
+            i += 1
+    return out
+
+
 def spans(text: str | None) -> list[tuple[int, int, int]]:
     """(start, kind's place in ``KINDS``, end) of each secret, in code points, by start, then kind. Base spans always stay."""
     text = text or ""
@@ -105,23 +156,13 @@ def spans(text: str | None) -> list[tuple[int, int, int]]:
     if "AKIA" in text:
         out += [(m.start(), 1, m.end()) for m in _ACCESS.finditer(text) if m.end() - m.start() >= 18]
     out += [(m.start(), 2, m.end()) for m in _HEX.finditer(text)]
-    if "PRIVATE KEY-----" in text:
-        for m in _PEM.finditer(text):
-            body = re.sub(r"^[A-Za-z-]+:.*$", "", m[2], flags=re.M)
-            data = _decoded(body)
-            if data and _ssh_key(data):
-                out.append((m.start(), 4, m.end()))
-            elif data and (der_key(data) or "ENCRYPTED" in m[0] and data[0] == 0x30):
-                out.append((m.start(), 3, m.end()))
-    if "eyJ" in text:
-        for m in _JWT.finditer(text):
-            head, body, _ = m[0].split(".")
-            if (h := _json_object(head)) and isinstance(h.get("alg"), str) and _json_object(body) is not None:
-                out.append((m.start(), 5, m.end()))
-    pem = [(a, b) for a, k, b in out if k in (3, 4)]
+    pem = _pem_spans(text) if "PRIVATE KEY-----" in text else []
+    out += pem + (_jwt_spans(text) if "eyJ" in text else [])
+    starts = [a for a, _, _ in pem]
     for kind, pattern, decode in ((6, _BASE64, _decoded), (7, _HEX_ANY, lambda s: bytes.fromhex(s[: len(s) // 2 * 2]))):
         for m in pattern.finditer(text):
-            if not any(a <= m.start() < b for a, b in pem) and (data := decode(m[0])) and der_key(data):
+            near = bisect_right(starts, m.start()) - 1
+            if not (near >= 0 and m.start() < pem[near][2]) and (data := decode(m[0])) and der_key(data):
                 out.append((m.start(), kind, m.end()))
     return sorted(out)
 
@@ -167,8 +208,12 @@ def hidden(text: str | None) -> str | None:
 
 def redacted(docs: DataFrame) -> DataFrame:
     """``docs`` with the secrets in their texts hidden; all rows and columns stay, and n_chars, if there, follows the text."""
-    hide = F.pandas_udf(lambda texts: texts.map(hidden, na_action="ignore"), "string")
-    out = docs.withColumn("text", hide(F.col("text").cast("string")))
+
+    def change(batch: pa.RecordBatch) -> pa.RecordBatch:
+        at = batch.schema.names.index("text")
+        return batch.set_column(at, batch.schema.field(at), pa.array(map(hidden, batch.column(at).to_pylist()), batch.schema.field(at).type))
+
+    out = map_rows(docs, change)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.coalesce(F.char_length("text").cast(docs.schema["n_chars"].dataType), "n_chars"))
     return out
