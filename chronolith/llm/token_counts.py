@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import DataFrame
 
-from chronolith.llm.text import map_texts
+from chronolith.llm.text import map_rows
 from chronolith.llm.vocab import encoder
 
 
@@ -13,10 +14,12 @@ def token_counts(docs: DataFrame, vocabulary: str, limit: int = 512) -> DataFram
 
     Null or empty text: 0 bytes and tokens. Ids may be null or repeated; other columns are not read; an empty table gives no rows.
     """
-    kind = docs.schema["doc_id"].dataType.simpleString()
 
-    def row(doc_id, text: str | None) -> tuple:
-        n = encoder(vocabulary).count(text)
-        return doc_id, len((text or "").encode()), n, n > limit
+    def change(batch: pa.RecordBatch) -> pa.RecordBatch:
+        texts = batch.column("text").to_pylist()
+        n = encoder(vocabulary).counts(texts)
+        size = [len((t or "").encode()) for t in texts]
+        more = [pa.array(size, pa.int64()), pa.array(n, pa.int64()), pa.array([x > limit for x in n], pa.bool_())]
+        return pa.RecordBatch.from_arrays([*batch.columns, *more], names=[*batch.schema.names, "n_bytes", "n_tokens", "over_limit"])
 
-    return map_texts(docs.select("doc_id", F.col("text").cast("string").alias("text")), row, f"doc_id {kind}, n_bytes long, n_tokens long, over_limit boolean", "doc_id", "text")
+    return map_rows(docs.select("doc_id", "text"), change, "n_bytes long, n_tokens long, over_limit boolean", ("text",))

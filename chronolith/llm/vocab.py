@@ -11,12 +11,14 @@ import os
 import re
 import sys
 from array import array
-from collections.abc import Callable
+from collections.abc import Iterator
 
 import numpy as np
 
-#: Pieces that a worker remembers before it starts afresh.
-PIECES_KEPT = 600_000
+from chronolith.llm.text import Memo
+
+#: Bytes of pieces, and of words inside them, that a worker remembers before it starts afresh.
+PIECE_BYTES, WORD_BYTES = 64 << 20, 48 << 20
 #: Characters for which letters, digits, white space and case are the same in every Unicode version in use.
 _UNSURE = re.compile("[^\t-\r -~¡-įı-ɏ]")
 _L, _N = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼-¾"
@@ -38,6 +40,8 @@ def sure(text: str) -> bool:
 #: A place where a byte-level text can always be parted: before one space between two characters that are not white space.
 _SAFE = re.compile(r"(?<=\S)(?= \S)")
 LONG = 1 << 16
+#: Characters that one call of the library encodes.
+BATCH_CHARS = 1 << 18
 
 
 def byte_alphabet() -> dict[int, str]:
@@ -47,17 +51,6 @@ def byte_alphabet() -> dict[int, str]:
     return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
-class _Pieces(dict):
-    def __init__(self, make: Callable[[str], object]):
-        self.make = make
-
-    def __missing__(self, piece: str) -> object:
-        if len(self) >= PIECES_KEPT:
-            self.clear()
-        value = self[piece] = self.make(piece)
-        return value
-
-
 class Encoder:
     """ids(text) as little-endian uint16 bytes and count(text), without added special tokens; special strings inside texts as the library takes them."""
 
@@ -73,7 +66,7 @@ class Encoder:
         tokens = self.library.get_added_tokens_decoder()
         self.special = {t.content: np.array([i], "<u2").tobytes() for i, t in tokens.items()}
         self.cut_special = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
-        self.words, self.made, self.counted = _Pieces(self._of_word), _Pieces(self._of_piece), _Pieces(lambda p: len(self.made[p]) // 2)
+        self.words, self.made = Memo(self._of_word, WORD_BYTES), Memo(self._of_piece, PIECE_BYTES)
         self.model, self.cut = self.library.model, (_WORD if self.lower else _BYTE).findall
 
     def _of_word(self, word: str) -> bytes:
@@ -117,17 +110,33 @@ class Encoder:
         pieces = self._plain(text)
         return b"".join(self._whole(text) if pieces is None else map(self.made.__getitem__, pieces))
 
-    def count(self, text: str | None) -> int:
-        if not text:
-            return 0
-        if "<|" in text and self.cut_special and self.cut_special.search(text):
-            return sum(1 if p in self.special else self.count(p) for p in self.cut_special.split(text))
-        out = 0
-        for part in self._parts(text):
-            pieces = self._plain(part)
-            out += sum(len(x) for x in self._whole(part)) // 2 if pieces is None else sum(map(self.counted.__getitem__, pieces))
+    def counts(self, texts: list[str | None]) -> list[int]:
+        """Numbers of ids of ``texts``: their parts go to the library as batches of about ``BATCH_CHARS`` characters."""
+        out, batch, owners, room = [0] * len(texts), [], [], BATCH_CHARS
+
+        def done() -> None:
+            for i, e in zip(owners, self.library.encode_batch_fast(batch, add_special_tokens=False), strict=True):
+                out[i] += len(e)
+            batch.clear(), owners.clear()
+
+        for i, text in enumerate(texts):
+            for part in self._split(text or ""):
+                batch.append(part), owners.append(i)
+                room -= len(part)
+                if room <= 0:
+                    done()
+                    room = BATCH_CHARS
+        done()
         return out
 
+    def _split(self, text: str) -> Iterator[str]:
+        """``text``, or a long one's parts at safe boundaries; special strings are never parted."""
+        if len(text) <= LONG or "<|" not in text or not self.cut_special or not self.cut_special.search(text):
+            yield from self._parts(text)
+        else:
+            for p in self.cut_special.split(text):
+                yield from [p] if p in self.special else self._parts(p)
+
 
 _encoders: dict[str, Encoder] = {}
 
