@@ -2,23 +2,23 @@
 
 A piece of length n belongs to class k = capacity // n: k pieces of the class always fit into one sequence. Documents
 are cut into whole sequences, then into pieces of just under the largest class size that fits, so that each class fills
-its sequences with k pieces and little padding. Workers fill the sequences of their share of a class independently; the
-fewer than k pieces that a share leaves over meet once by class and the fewer than k of each class, whose number is
-bounded by the capacity alone, are packed best-fit.
+its sequences with k pieces and little padding. Workers fill the sequences of their share of a class independently. The
+fewer than k pieces that a share leaves over are dealt to shares again, until one share holds a class's; the fewer than k
+of each class that are left then, whose number is bounded by the capacity alone, are packed best-fit.
 """
 
 from __future__ import annotations
 
 import zlib
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from chronolith.llm.text import keep, steps
+from chronolith.llm.text import keep, map_in_arrow, steps
 from chronolith.llm.vocab import encoder
 
 CAPACITY = 2048
@@ -59,42 +59,50 @@ def pieces(docs: DataFrame, vocabulary: str, end_id: int, capacity: int = CAPACI
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=names)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, ", ".join(f"{n} long" for n in names))
+    return map_in_arrow(rows, run, ", ".join(f"{n} long" for n in names))
 
 
-def _filled(rows: DataFrame, capacity: int) -> tuple[DataFrame, DataFrame]:
+def _filled(rows: DataFrame, round_: int) -> tuple[DataFrame, DataFrame]:
     """Pieces in whole sequences of (k, share), and those left over."""
     by = Window.partitionBy("k", "share")
-    order = by.orderBy("doc_id", "start", "length", "ids_crc32")
+    order = by.orderBy("doc_id", "start", "row")
     bins = rows.withColumns({"bin": F.floor((F.row_number().over(order) - 1) / F.col("k")), "rows": F.count("*").over(by)})
     # a bin's window has (k, share) in its keys and follows their partitioning: no further shuffle
-    inside = Window.partitionBy("k", "share", "bin").orderBy("doc_id", "start", "length", "ids_crc32").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("k", "share", "bin").orderBy("doc_id", "start", "row").rowsBetween(Window.unboundedPreceding, -1)
     bins = bins.withColumn("offset", F.coalesce(F.sum("length").over(inside), F.lit(0)))
     whole = (F.col("bin") + 1) * F.col("k") <= F.col("rows")
-    sequence = F.shiftleft("k", 50) + F.shiftleft("share", 34) + F.col("bin")
+    sequence = F.shiftleft("k", 51) + F.shiftleft(F.lit(round_).cast("long"), 48) + F.shiftleft("share", 17) + F.col("bin")
     return bins.where(whole).withColumn("sequence_id", sequence), bins.where(~whole)
 
 
 def packed(docs: DataFrame, vocabulary: str, end_id: int = 1, capacity: int = CAPACITY, share: int = SHARE) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset for each piece of ``docs`` (doc_id, text).
 
-    A null or empty text is the end id alone. Ids may be null; repeated rows are packed as rows of their own. An empty
-    table gives no rows. Columns other than doc_id and text are not read. Sequences are padded to the capacity.
+    A null or empty text is the end id alone. Ids may be null; pieces are dealt by a number of their row, so that repeated
+    rows and rows without an id are packed as rows of their own. An empty table gives no rows. Columns other than doc_id
+    and text are not read. Sequences are padded to the capacity.
     """
     out = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
-    rows = keep(pieces(docs, vocabulary, end_id, capacity), "pieces")
-    many = {r["k"]: r["n"] for r in rows.groupBy("k").agg(F.count("*").alias("n")).collect()}  # a row for each class
-    if not many:
+    rows = keep(pieces(docs, vocabulary, end_id, capacity).withColumn("row", F.monotonically_increasing_id()), "pieces")
+    done, left, round_ = [], rows, 0
+    while True:
+        many = {r["k"]: r["n"] for r in left.groupBy("k").agg(F.count("*").alias("n")).collect()}  # a row for each class
+        if not many:
+            break
+        shares = {k: -(-n // max(share, 2 * k)) for k, n in many.items()}
+        deal = F.create_map(*[F.lit(x) for item in shares.items() for x in item])[F.col("k")]
+        full, left = _filled(left.withColumn("share", F.pmod(F.xxhash64("row", F.lit(round_)), deal).cast("long")), round_)
+        done.append(full.select(*out))
+        if max(shares.values()) == 1:
+            break
+        left, round_ = keep(left.select(*rows.columns), "left"), round_ + 1
+    if not done:
         return rows.withColumns({"sequence_id": F.lit(0).cast("long"), "offset": F.lit(0).cast("long")}).select(*out)
-    shares = F.create_map(*[F.lit(x) for k, n in many.items() for x in (k, min(1 << 15, -(-n // max(share, k))))])[F.col("k")]
-    dealt = rows.withColumn("share", F.pmod(F.xxhash64("doc_id", "start"), shares).cast("long"))
-    first, left = _filled(dealt, capacity)
-    second, left = _filled(keep(left.select(*rows.columns, F.lit(1 << 15).cast("long").alias("share")), "left"), capacity)
 
-    def best_fit(rest: pd.DataFrame) -> pd.DataFrame:
-        rest = rest.sort_values(["length", "doc_id", "start"], ascending=[False, True, True])
+    def best_fit(rest: pa.Table) -> pa.Table:
+        rest = rest.sort_by([("length", "descending"), ("doc_id", "ascending"), ("start", "ascending")])
         free, number, offset = np.zeros(0, np.int64), [], []
-        for n in rest["length"]:
+        for n in rest.column("length").to_pylist():
             room = np.where(free >= n, free, capacity + 1)
             i = int(room.argmin()) if len(room) else 0
             if not len(room) or room[i] > capacity:
@@ -102,8 +110,8 @@ def packed(docs: DataFrame, vocabulary: str, end_id: int = 1, capacity: int = CA
             number.append(i)
             offset.append(capacity - int(free[i]))
             free[i] -= n
-        return rest.assign(sequence_id=np.array(number, np.int64), offset=np.array(offset, np.int64))[out]
+        return rest.append_column("sequence_id", pa.array(number, pa.int64())).append_column("offset", pa.array(offset, pa.int64())).select(out)
 
     schema = ", ".join(f"{n} long" for n in out)
-    rest = left.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", F.lit(0).alias("all")).groupBy("all").applyInPandas(best_fit, schema)  # bounded by the capacity
-    return first.select(*out).unionByName(second.select(*out)).unionByName(rest)
+    rest = left.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", F.lit(0).alias("all")).groupBy("all").applyInArrow(best_fit, schema)  # bounded by the capacity
+    return reduce(DataFrame.unionByName, [*done, rest])
