@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from chronolith.llm import chat, decontam, kd_shards, licenses, near_dup, packing, quality, secret_scan, token_counts, token_files
+from chronolith.llm.text import keep
 
 _BYTES, _WORDS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
 
@@ -34,7 +35,7 @@ def op4_huffman_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_quality_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.verdicts(quality.ledger(_table(spark, sf_dir, "documents")))
+    return quality.verdicts(keep(quality.ledger(_table(spark, sf_dir, "documents")), "ledger"))
 
 
 def op6_chat_templates(spark: SparkSession, sf_dir: str) -> DataFrame:

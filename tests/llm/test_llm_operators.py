@@ -4,6 +4,7 @@ import base64
 import hashlib
 import json
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -91,9 +92,12 @@ def test_blocks_verified_joins_all(spark):
         bands = np.arange(near_dup.BANDS) + 1000 * i  # the members share one band only
         bands[3] = 77
         sets[i] = text
-        rows.append((77, i, i, bytearray(near_dup.signature(s).astype(np.uint16).tobytes()), bands.tolist(), 40, 40 * len(s), text))
-    rest = spark.createDataFrame(rows, "key long, doc_id long, class long, sig binary, bands array<long>, n long, total long, text string")
-    links = [(r["a"], r["b"]) for r in near_dup.blocks_verified(rest, 0.75, 1e-6, 6).collect()]
+        rows.append((77, i, bytearray(near_dup.signature(s).astype(np.uint16).tobytes()), bands.tolist(), len(s), text))
+    rest = spark.createDataFrame(rows, "key long, doc_id long, sig binary, bands array<long>, n_shingles long, text string")
+    none = spark.createDataFrame([], "id long, component long")
+    alone = near_dup.apart(rest.select("key", "doc_id"), none, rest.select("doc_id", "n_shingles", "sig", "bands"))
+    left = near_dup.blocks_left(alone, 0.75, 1e-6, 6)
+    links = [(r["a"], r["b"]) for r in near_dup.blocks_verified(left.join(rest.select("doc_id", "text"), "doc_id"), 0.75, 1e-6).collect()]
     want = brute_classes(list(sets.items()))
     parent = {i: i for i in sets}
 
@@ -179,8 +183,16 @@ def test_kd_shards_balance(spark):
     assert sorted(Counter(r["shard"] for r in same).values()) == [100] * 5
 
 
+def test_kd_shards_repeated_rows(spark):
+    """Equal rows, with and without ids, are parted like others."""
+    for rows in ([(i % 2, f"text {i % 2}", 5) for i in range(600)], [(None, f"text {i % 2}", None) for i in range(600)], [(7, "only one", 3)] * 600):
+        got = rows_of(kd_shards.kd_shards(spark.createDataFrame(rows, "doc_id long, text string, n_chars long").repartition(3), 6))
+        assert sorted(Counter(r["shard"] for r in got).values()) == [100] * 6
+        assert sorted((r["shard"], r["slot"]) for r in got) == [(s, k) for s in range(6) for k in range(100)]
+
+
 def test_slots_in_parts(spark):
-    got = kd_shards._slotted(spark.range(1000).selectExpr("id doc_id", "1L size", "2L text_crc32", "cast(id % 3 as int) shard"), rows_a_part=50).collect()
+    got = kd_shards._slotted(spark.range(1000).selectExpr("id doc_id", "1L size", "2L text_crc32", "id row", "cast(id % 3 as int) shard"), rows_a_part=50).collect()
     for s in range(3):
         n = sorted(r["slot"] for r in got if r["shard"] == s)
         assert n == list(range(len(n)))
@@ -231,7 +243,7 @@ def test_encoder_is_the_library(path, texts):
     encoder, library = Encoder(path), Tokenizer.from_file(path)
     for t in [*odd, *(t for t in texts if t)]:
         ids = library.encode(t, add_special_tokens=False).ids
-        assert np.frombuffer(encoder.ids(t), "<u2").tolist() == ids and encoder.count(t) == len(ids)
+        assert np.frombuffer(encoder.ids(t), "<u2").tolist() == ids and encoder.counts([t, None, t]) == [len(ids), 0, len(ids)]
 
 
 # quality
@@ -371,6 +383,84 @@ def test_secrets_confirmed():
         assert [x for x in secret_scan.spans(text) if x[1] >= 3] == []
 
 
+def brute_base(text):
+    """Base spans as the contract words them: all matches of each pattern, short ones dropped afterwards."""
+    low = text.translate(LOWER)
+    out, at = [], 0
+    while m := re.compile(r"""(password|passwd|secret|token|api_?key)["']?[ ]*[:=][ ]*["']?([a-z0-9+/_.=-]+)""").search(low, at):
+        out += [(m.start(), 0, m.end())] if len(m[2]) >= 12 else []
+        at = m.end()
+    for kind, head, alphabet, least in ((1, "AKIA", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", 18), (2, "", "0123456789abcdef", 16)):
+        at = 0
+        while at < len(text):
+            end = at + len(head)
+            if text.startswith(head, at) and end < len(text) and text[end] in alphabet:
+                while end < len(text) and text[end] in alphabet:
+                    end += 1
+                out += [(at, kind, end)] if end - at >= least else []
+                at = end
+            else:
+                at += 1
+    return sorted(out)
+
+
+def brute_confirmed(text):
+    """Keys and tokens that a plain search for their frames and a decoder apart from the scanner confirm."""
+    out = []
+    for label in ("RSA PRIVATE KEY", "PRIVATE KEY"):
+        begin, end = f"-----BEGIN {label}-----", f"-----END {label}-----"
+        for a in range(len(text)):
+            if text.startswith(begin, a):
+                b = text.find("-----", a + len(begin))
+                if b >= 0 and text.startswith(end, b):
+                    body = "".join(text[a + len(begin) : b].split())
+                    try:
+                        data = base64.b64decode(body, validate=True)
+                    except ValueError:
+                        continue
+                    if data == RSA:
+                        out.append((a, 3, b + len(end)))
+    for a in range(len(text)):
+        for jwt in (JWT,):
+            if text.startswith(jwt, a):
+                out.append((a, 5, a + len(jwt)))
+    return sorted(out)
+
+
+JWT = ".".join(base64.urlsafe_b64encode(json.dumps(o).encode()).decode().rstrip("=") for o in ({"alg": "HS256"}, {"sub": 1})) + ".c2ln"
+
+
+def test_secrets_against_brute_force(spark):
+    rng = np.random.default_rng(8)
+    pem = f"-----BEGIN RSA PRIVATE KEY-----\n{base64.b64encode(RSA).decode()}\n-----END RSA PRIVATE KEY-----"
+    parts = ["password", "PassWord", "token", "api_key", "apikey", "secret", "=", ": ", " ", "'", '"', "abcdef0123456789", "ABCDEFGHIJKL", "AKIA", "AKIAAKIA", "Q7X9Q7X9Q7X9Q7", "deadbeef", "é", "\n", pem, JWT, "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----", " eyJ.eyJ.x ", "-"]
+    rows = [(i, "".join(rng.choice(parts, rng.integers(0, 30)))) for i in range(400)]
+    got = {r["doc_id"]: r for r in rows_of(secret_scan.scanned(spark.createDataFrame(rows, "doc_id long, text string")))}
+    for i, text in rows:
+        spans = [tuple(x.split(":")) for x in got[i]["spans"].split(",") if x]
+        assert [x for x in spans if x[0] in secret_scan.KINDS[:3]] == [(secret_scan.KINDS[k], str(a), str(b)) for a, k, b in brute_base(text)], text
+        assert [x for x in spans if x[0] == "pem"] == [("pem", str(a), str(b)) for a, k, b in brute_confirmed(text) if k == 3], text
+        clean = [(a, b) for a, k, b in brute_confirmed(text) if k == 5 and not re.search(r"[A-Za-z0-9_.-]", text[a - 1 : a] + text[b : b + 1])]
+        assert {("jwt", str(a), str(b)) for a, b in clean} <= set(spans), text
+
+
+def test_secrets_hostile_texts():
+    for text in ("-----BEGIN RSA PRIVATE KEY-----\n" * 32000, "eyJ" * 350000, "eyJabc.eyJabc." * 70000, "token" + " " * 1000000, "password='" * 100000, "M" + "A" * 1000000, "30" * 500000, "-----BEGIN " * 90000):
+        began = time.process_time()
+        secret_scan.spans(text)
+        assert time.process_time() - began < 8, text[:40]
+
+
+def test_secrets_in_strings_and_ciphers():
+    b64 = base64.b64encode(RSA).decode()
+    one_line = json.dumps({"private_key": f"-----BEGIN PRIVATE KEY-----\n{b64[:60]}\n{b64[60:]}\n-----END PRIVATE KEY-----\n"})
+    assert [secret_scan.KINDS[k] for _, k, _ in secret_scan.spans(one_line)] == ["pem"]
+    head = "-----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,"
+    for iv, size, want in (("0" * 32, 64, ["pem"]), ("0" * 32, 63, []), ("xyz", 64, []), ("", 64, [])):
+        text = f"{head}{iv}\n\n{base64.b64encode(bytes(range(100, 100 + size))).decode()}\n-----END RSA PRIVATE KEY-----"
+        assert [secret_scan.KINDS[k] for _, k, _ in secret_scan.spans(text) if k > 2] == want, (iv, size)
+
+
 def test_secret_frames(docs, none):
     texts = dict(source(docs))
     for r in rows_of(secret_scan.scanned(docs)):
@@ -412,6 +502,52 @@ def test_every_license_rule_fires():
         assert [n for n, _, _ in licenses.licenses(licenses.sentences(text))] == [name], rule
 
 
+def brute_licenses(found):
+    """Rules in order, each as often as it matches; every choice of sentences is tried from the front."""
+    left, out = list(enumerate(found)), []
+    for rule, name in licenses.RULES:
+        again = True
+        while again:
+            again = False
+            for first in [x for x in left if x[1][0] == rule[0]]:
+                taken = [first]
+                for want in rule[1:]:
+                    later = [x for x in left if x[1][0] == want and x[0] > taken[-1][0]]
+                    if not later or later[0][1][1] - taken[-1][1][2] > licenses.GAP:
+                        break
+                    taken.append(later[0])
+                if len(taken) == len(rule):
+                    out.append((name, taken[0][1][1], taken[-1][1][2]))
+                    left = [x for x in left if x not in taken]
+                    again = True
+                    break
+    return sorted(out, key=lambda x: (x[1], x[2], x[0]))
+
+
+def test_license_rules_against_brute_force():
+    rng = np.random.default_rng(3)
+    names = [x for rule, _ in licenses.RULES[:14] for x in rule]
+    for _ in range(300):
+        at, found = 0, []
+        for x in rng.choice(names, rng.integers(0, 25)):
+            at += int(rng.choice([1, 40, 1500, 2500]))
+            found.append((str(x), at, at + 60))
+            at += 60
+        assert licenses.licenses(found) == brute_licenses(found), found
+
+
+def test_license_frame_and_long_texts(docs):
+    texts = dict(source(docs))
+    for r in rows_of(licenses.license_scan(docs)):
+        found = licenses.sentences(texts[r["doc_id"]])
+        assert r["n_sentences"] == len(found) and r["spans"] == ",".join(f"{n}:{a}:{b}" for n, a, b in brute_licenses(found))
+    began = time.process_time()
+    for line in (licenses.SENTENCES["mit-grant"] + "\n", "Licensed under the MIT License. ", "SPDX-License-Identifier: MIT OR ", "licen. ", "license" * 5, "\n;;"):
+        licenses.licenses(licenses.sentences(line * (1_000_000 // len(line))))
+    assert time.process_time() - began < 60
+    assert licenses.licenses([("mit-grant", 0, 9), ("mit-keep", 9_000, 9_009), ("mit-as-is", 9_010, 9_020)]) == [("MIT", 0, 9)]
+
+
 def test_spdx_tags():
     tag = "SPDX-License-Identifier:"
     for text, want in (
@@ -422,9 +558,9 @@ def test_spdx_tags():
         (f"see {tag} MIT. More prose: and so on", ["MIT"]),
         (f"# {tag} (MIT OR Apache-2.0) AND GPL-3.0-only\n", ["MIT", "Apache-2.0", "GPL-3.0-only"]),
         (f"# {tag} Apache-2.0 WITH MIT\n", ["Apache-2.0"]),
-        (f"# {tag} Zlib\n# MIT", []),
-        (f"# {tag} Zlib and MIT", ["MIT"]),
-        (f"# {tag} Zlib or so MIT", []),
+        (f"# {tag} Ruby\n# MIT", []),
+        (f"# {tag} Ruby and MIT", ["MIT"]),
+        (f"# {tag} Ruby or so MIT", []),
     ):
         found = licenses.licenses(licenses.sentences(text))
         assert [n for n, _, _ in found] == want, text
