@@ -133,3 +133,8 @@ def score(*parts: tuple[float, Column]) -> Column:
     for weight, c in parts:
         total = total + weight * c
     return F.least(F.greatest(total, F.lit(0.0)), F.lit(1.0))
+
+
+def slope(y: Column, x: Column) -> Column:
+    """Aggregate: regression slope; null if x does not vary, which sums of floating-point parts alone do not tell."""
+    return F.when(F.max(x) > F.min(x), F.regr_slope(y, x))

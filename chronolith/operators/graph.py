@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
@@ -207,11 +209,10 @@ def tuned(edges: DataFrame, a: str, b: str, season: str, gap: str, priors: tuple
     """One row: the prior with the least error on the inner folds, its error and interval on the last season, and whether it is promoted.
 
     radius is the quantile of the inner folds' absolute errors; promotion asks for a smaller error than that of zero and
-    for enough coverage. All folds and priors are solved in the same jobs; a row for each prior is compared.
+    for enough coverage. The folds of a prior are solved in the same jobs; a row for each prior is compared.
     """
-    grid = _folds(edges, a, b, season, gap).withColumn("prior", F.explode(F.array(*[F.lit(float(p)) for p in priors])))
-    rated = ratings(grid, a, b, "_m", prior="prior", weight="_w", by=("fold", "prior")).select("fold", "prior", F.col(a).alias("entity"), "rating")
-    scored = _scored(edges, rated, a, b, season, ("prior",)).withColumn("_e", F.abs(F.col(gap) - F.col("predicted")))
+    parts = [predictions(edges, a, b, season, gap, float(p)).withColumn("prior", F.lit(float(p))) for p in priors]
+    scored = reduce(DataFrame.unionByName, parts).withColumn("_e", F.abs(F.col(gap) - F.col("predicted")))
     last = scored.agg(F.max("fold").alias("_last"))
     scored = scored.crossJoin(F.broadcast(last)).checkpoint()  # one row
     inner = scored.where("fold < _last").groupBy("prior").agg(F.avg("_e").alias("inner_mae"), F.percentile("_e", quantile).alias("radius"))

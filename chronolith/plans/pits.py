@@ -106,7 +106,7 @@ def ca52_stop_timing(spark: S, d: str) -> DataFrame:
 @query(
     "WITH g AS (SELECT season, driver_id, round, stint, lap_number, lap_time_sec, tyre_life, row_number() OVER (PARTITION BY season, round, driver_id, stint ORDER BY lap_number) - 1 AS k, count(*) OVER (PARTITION BY season, round, driver_id, stint) AS n FROM b_laps WHERE track_status = '1'), "
     "z AS (SELECT season, round, driver_id, stint, r, CAST('0x' || substr(md5(concat_ws('|', '7', r, season || '-' || round || '-' || driver_id || '-' || stint, slot)), 1, 8) AS BIGINT) % n AS k FROM (SELECT *, k AS slot, unnest(range(20)) AS r FROM g WHERE n >= 6)), "
-    "f AS (SELECT season, round, driver_id, stint, r, regr_slope(lap_time_sec, tyre_life) AS b FROM z JOIN g USING (season, round, driver_id, stint, k) GROUP BY 1, 2, 3, 4, 5), v AS (SELECT *, row_number() OVER (PARTITION BY season, round, driver_id, stint ORDER BY r) AS i FROM f WHERE b IS NOT NULL) "
+    "f AS (SELECT season, round, driver_id, stint, r, CASE WHEN max(tyre_life) > min(tyre_life) THEN regr_slope(lap_time_sec, tyre_life) END AS b FROM z JOIN g USING (season, round, driver_id, stint, k) GROUP BY 1, 2, 3, 4, 5), v AS (SELECT *, row_number() OVER (PARTITION BY season, round, driver_id, stint ORDER BY r) AS i FROM f WHERE b IS NOT NULL) "
     "SELECT season, round, driver_id, stint, count(*) AS valid, round(quantile_cont(b, 0.25), 9) AS p25, round(quantile_cont(b, 0.75), 9) AS p75, round(avg(CASE WHEN abs(b) <= 1e-9 THEN 0.5 WHEN b > 0 THEN 1.0 ELSE 0.0 END), 6) AS wear_share FROM v WHERE i <= 10 GROUP BY 1, 2, 3, 4"
 )
 def ca53_scenario_bootstrap(spark: S, d: str) -> DataFrame:

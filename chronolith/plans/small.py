@@ -223,7 +223,7 @@ def ag05_having(spark: S, d: str) -> DataFrame:
 @query("SELECT season, driver_id, round(regr_slope(lap_time_sec, lap_number), 6) AS slope, round(regr_slope(speed, CASE WHEN lap_number > 0 THEN 1 END), 6) AS flat FROM b_laps GROUP BY ALL")
 def ag07_slopes(spark: S, d: str) -> DataFrame:
     one = F.when(F.col("lap_number") > 0, F.lit(1))  # no variance: no slope
-    return laps(spark, d).groupBy("season", "driver_id").agg(F.round(F.regr_slope("lap_time_sec", "lap_number"), 6).alias("slope"), F.round(F.regr_slope(F.col("speed"), one), 6).alias("flat"))
+    return laps(spark, d).groupBy("season", "driver_id").agg(F.round(C.slope(F.col("lap_time_sec"), F.col("lap_number")), 6).alias("slope"), F.round(C.slope(F.col("speed"), one), 6).alias("flat"))
 
 
 @query("SELECT season, round, driver_id, round(stddev_samp(lap_time_sec), 6) AS sd FROM b_laps GROUP BY ALL")
