@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from chronolith.llm import chat, decontam, kd_shards, licenses, near_dup, packing, quality, secret_scan, token_counts, token_files
+from chronolith.llm import chat, decontam, kd_shards, licenses, merkle, near_dup, packing, quality, secret_scan, token_counts, token_files
 from chronolith.llm.text import keep
 
 _BYTES, _WORDS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
@@ -61,6 +61,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(_table(spark, sf_dir, "documents"), _BYTES)
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
     own = (
         op1_minhash_near_dedup,
@@ -73,6 +77,7 @@ def queries() -> dict:
         op8_secret_scan,
         op9_license_scan,
         op10_token_counts,
+        op13_merkle_manifest,
     )
     return {f.__name__: f for f in own}
 
@@ -130,6 +135,47 @@ SELECT *, fail_bits & 3 <> 0 AS base_failed, fail_bits = 0 AS kept, 'standard-1'
 """
 
 
+def crc32_sql(text: str) -> str:
+    """The unsigned CRC-32 of a text of ASCII characters, bit by bit."""
+    c = f"CASE WHEN j % 8 = 0 THEN xor(c, CAST(ascii(substr({text}, CAST(j // 8 + 1 AS BIGINT), 1)) AS BIGINT)) ELSE c END"
+    return f"xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], range(0, 8 * length({text}))), lambda c, j: xor(({c}) >> 1, 3988292384 * (({c}) & 1))), 4294967295)"
+
+
+def _levels_sql(name: str, nodes: str) -> str:
+    """CTEs over the query ``nodes`` (g, pos, n, h): the nodes of all levels (name) and what stands beside those that are not their group's last (name_x)."""
+    return f"""
+{name} AS (SELECT CAST(0 AS BIGINT) AS level, g, pos, n, h FROM ({nodes})
+  UNION ALL SELECT level + 1, g, pos // 8, (any_value(n) + 7) // 8, sha256(string_agg(h, '' ORDER BY pos)) FROM {name} WHERE n > 1 GROUP BY level, g, pos // 8),
+{name}_x AS MATERIALIZED (
+  SELECT a.level, a.g, a.pos, coalesce(string_agg(b.h, '' ORDER BY b.pos) FILTER (b.pos < a.pos), '') AS before, coalesce(string_agg(b.h, '' ORDER BY b.pos) FILTER (b.pos > a.pos), '') AS after
+  FROM {name} a JOIN {name} b ON a.level = b.level AND a.g = b.g AND a.pos // 8 = b.pos // 8 WHERE a.n > 1 GROUP BY ALL)"""
+
+
+def _field_sql(value: str) -> str:
+    return f"coalesce(strlen(CAST({value} AS VARCHAR)) || ':' || CAST({value} AS VARCHAR), '-')"
+
+
+def _leaf_sql(text: str) -> str:
+    return f"sha256({' || '.join(_field_sql(c) for c in ('doc_id', 'source', 'lang', 'n_chars', text))})"
+
+
+_OP13 = f"""
+WITH RECURSIVE d AS (SELECT doc_id, lang, {_leaf_sql('text')} AS leaf,
+    CASE WHEN {crc32_sql('CAST(doc_id AS VARCHAR)')} % 3 = 0 THEN {_leaf_sql("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} ELSE {_leaf_sql('text')} END AS tampered FROM documents),
+p AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS g FROM d),
+{_levels_sql('t', 'SELECT g, pos, n, leaf AS h FROM p')},
+{_levels_sql('u', 'SELECT 0 AS g, g AS pos, count(*) OVER () AS n, h FROM t WHERE n = 1')},
+f AS (SELECT CAST(0 AS BIGINT) AS level, g, pos, pos AS row, tampered AS acc, '' AS beside FROM p
+  UNION ALL SELECT f.level + 1, f.g, f.pos // 8, f.row, sha256(before || acc || after), beside || before || after FROM f JOIN t_x x ON x.level = f.level AND x.g = f.g AND x.pos = f.pos),
+fs AS (SELECT g, row, arg_max(acc, level) AS acc, arg_max(beside, level) AS beside FROM f GROUP BY g, row),
+r AS (SELECT CAST(0 AS BIGINT) AS level, g, g AS pos, row, acc, beside FROM fs
+  UNION ALL SELECT r.level + 1, r.g, r.pos // 8, r.row, sha256(before || acc || after), beside || before || after FROM r JOIN u_x x ON x.level = r.level AND x.pos = r.pos),
+rs AS (SELECT g, row, arg_max(acc, level) AS acc, arg_max(beside, level) AS beside FROM r GROUP BY g, row)
+SELECT p.doc_id, p.leaf, t.h AS subroot, u.h AS root, sha256(rs.beside) AS proof_sha256, rs.acc AS folded_root, rs.acc = u.h AS verified
+FROM p JOIN rs ON rs.g = p.g AND rs.row = p.pos JOIN t ON t.g = p.g AND t.n = 1 CROSS JOIN (SELECT h FROM u WHERE n = 1) u
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL for the queries that SQL can express; the others are tested against brute force."""
-    return {"op1_minhash_near_dedup": _OP1, "op2_benchmark_decontamination": _OP2, "op5_quality_ledger": _OP5}
+    return {"op1_minhash_near_dedup": _OP1, "op2_benchmark_decontamination": _OP2, "op5_quality_ledger": _OP5, "op13_merkle_manifest": _OP13}
