@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from chronolith.llm import chat, decontam, kd_shards, licenses, merkle, near_dup, packing, quality, secret_scan, token_counts, token_files
+from chronolith.llm import chat, chat_repair, decontam, kd_shards, licenses, merkle, near_dup, packing, quality, secret_scan, token_counts, token_files
 from chronolith.llm.text import keep
 
 _BYTES, _WORDS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
@@ -61,6 +61,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(_table(spark, sf_dir, "documents"), _BYTES)
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_repair.repaired(_table(spark, sf_dir, "conversations"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(_table(spark, sf_dir, "documents"))
 
@@ -77,6 +81,7 @@ def queries() -> dict:
         op8_secret_scan,
         op9_license_scan,
         op10_token_counts,
+        op11_conversation_repair,
         op13_merkle_manifest,
     )
     return {f.__name__: f for f in own}
@@ -141,6 +146,41 @@ def crc32_sql(text: str) -> str:
     return f"xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], range(0, 8 * length({text}))), lambda c, j: xor(({c}) >> 1, 3988292384 * (({c}) & 1))), 4294967295)"
 
 
+def _edits_sql(state: int, given: str, target: int) -> str:
+    """The cheapest (cost, audit, entries) from a state on by deleting, keeping or giving a role to the row before it; b is what follows."""
+    edit = lambda cost, letter, rest, own: f"{{'c': {cost} + b.x{rest}.c, 'a': '{letter}' || b.x{rest}.a, 'r': list_concat([{own}], b.x{rest}.r)}}"
+    free = "fault NOT IN (1, 2)"
+    out = [f"{{'c': 4 + b.x{state}.c, 'a': 'D' || b.x{state}.a, 'r': b.x{state}.r}}", f"CASE WHEN {free} THEN {edit('3 + late', 'R', target, chr(39) + given + ':' + chr(39) + ' || text')} END"]
+    kept = [(given[0], target)] + [("s", 1)] * (state == 0)
+    out += [f"CASE WHEN {free} AND role[1] = '{initial}' THEN {edit('late', 'K', to, 'role || ' + chr(39) + ':' + chr(39) + ' || text')} END" for initial, to in kept]
+    return f"list_sort(list_filter([{', '.join(out)}], lambda x: x IS NOT NULL))[1]"
+
+
+def _inserted_sql(own: str, role: str, rest: str) -> str:
+    return f"list_sort([{own}, {{'c': 3 + {rest}.c, 'a': 'I' || {rest}.a, 'r': list_concat(['{role}:'], {rest}.r)}}])[1]"
+
+
+_FAULT = r"CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 1 WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY k) > 1 THEN 2 WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 3 ELSE 0 END"
+_OP11 = f"""
+WITH RECURSIVE o AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {crc32_sql("(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '))")} % 20 AS hit FROM conversations),
+m AS (SELECT conv_id, turn, CASE WHEN hit = 4 THEN 'user' ELSE role END AS role, CASE WHEN hit = 1 THEN '' WHEN hit = 2 THEN translate(text, '.!?', '') ELSE text END AS text, unnest(CASE WHEN hit = 3 THEN [0, 1] ELSE [0] END) AS copy FROM o WHERE hit <> 0),
+n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS k, count(*) OVER (PARTITION BY conv_id) AS n FROM m),
+f AS MATERIALIZED (SELECT *, lag(role) OVER (PARTITION BY conv_id ORDER BY k) AS before, {_FAULT} AS fault FROM n),
+v AS MATERIALIZED (SELECT *, CASE WHEN fault = 3 THEN 3 ELSE 0 END AS late FROM f),
+b AS (
+  SELECT conv_id, n + 1 AS k, {{'c': 0, 'a': '', 'r': CAST([] AS VARCHAR[])}} AS x0, {{'c': 6, 'a': 'II', 'r': ['user:', 'assistant:']}} AS x1, {{'c': 3, 'a': 'I', 'r': ['assistant:']}} AS x2, {{'c': 0, 'a': '', 'r': CAST([] AS VARCHAR[])}} AS x3 FROM v WHERE k = n
+  UNION ALL SELECT conv_id, k, {_inserted_sql('y0', 'user', 'x2')}, {_inserted_sql('y1', 'user', 'x2')}, x2, x3 FROM (
+    SELECT conv_id, k, y0, y1, {_inserted_sql('y2', 'assistant', 'y3')} AS x2, {_inserted_sql('y3', 'user', 'y2')} AS x3 FROM (
+      SELECT b.conv_id, b.k - 1 AS k, {_edits_sql(0, 'user', 2)} AS y0, {_edits_sql(1, 'user', 2)} AS y1, {_edits_sql(2, 'assistant', 3)} AS y2, {_edits_sql(3, 'user', 2)} AS y3
+      FROM b JOIN v ON v.conv_id IS NOT DISTINCT FROM b.conv_id AND v.k = b.k - 1))),
+s AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 1) AS blank, count(*) FILTER (fault = 2) AS duplicate, count(*) FILTER (fault = 3) AS truncated,
+    count(*) FILTER (before IS NOT NULL AND before[1] || role[1] NOT IN ('su', 'ua', 'au')) AS illegal FROM v GROUP BY conv_id)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(x0.c, 0) AS BIGINT) AS cost, coalesce(x0.a, '') AS audit, sha256(coalesce(array_to_string(x0.r, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN s ON s.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN b ON b.conv_id IS NOT DISTINCT FROM c.conv_id AND b.k = 1
+"""
+
+
 def _levels_sql(name: str, nodes: str) -> str:
     """CTEs over the query ``nodes`` (g, pos, n, h): the nodes of all levels (name) and what stands beside those that are not their group's last (name_x)."""
     return f"""
@@ -178,4 +218,4 @@ FROM p JOIN rs ON rs.g = p.g AND rs.row = p.pos JOIN t ON t.g = p.g AND t.n = 1
 
 def oracle_sql() -> dict[str, str]:
     """SQL for the queries that SQL can express; the others are tested against brute force."""
-    return {"op1_minhash_near_dedup": _OP1, "op2_benchmark_decontamination": _OP2, "op5_quality_ledger": _OP5, "op13_merkle_manifest": _OP13}
+    return {"op1_minhash_near_dedup": _OP1, "op2_benchmark_decontamination": _OP2, "op5_quality_ledger": _OP5, "op11_conversation_repair": _OP11, "op13_merkle_manifest": _OP13}
