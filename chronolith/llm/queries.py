@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from chronolith.llm import chat, chat_repair, decontam, kd_shards, licenses, merkle, near_dup, packing, quality, secret_scan, token_counts, token_files
+from chronolith.llm import chat, chat_repair, decontam, kd_shards, licenses, merkle, near_dup, packing, quality, secret_scan, suffix_dedup, token_counts, token_files
 from chronolith.llm.text import keep
 
 _BYTES, _WORDS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
@@ -65,6 +65,10 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_repair.repaired(_table(spark, sf_dir, "conversations"))
 
 
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.removed(_table(spark, sf_dir, "documents"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(_table(spark, sf_dir, "documents"))
 
@@ -82,6 +86,7 @@ def queries() -> dict:
         op9_license_scan,
         op10_token_counts,
         op11_conversation_repair,
+        op12_suffix_dedup,
         op13_merkle_manifest,
     )
     return {f.__name__: f for f in own}
@@ -181,6 +186,21 @@ FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN s ON s.conv_id IS
 """
 
 
+_OP12 = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS MATERIALIZED (SELECT doc_id, i, md5_number(h[2 * i + 1:2 * i + 100]) AS g FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 49)) AS i FROM d)),
+m AS (SELECT g, min(doc_id) AS first FROM w GROUP BY g HAVING count(*) > 1),
+r AS (SELECT doc_id, i FROM w JOIN m USING (g) WHERE first < doc_id),
+s AS (SELECT doc_id, i, coalesce(i > lag(i) OVER v + 50, TRUE) AS head FROM r WINDOW v AS (PARTITION BY doc_id ORDER BY i)),
+k AS (SELECT doc_id, i, count(*) FILTER (head) OVER (PARTITION BY doc_id ORDER BY i) AS n FROM s),
+x AS (SELECT doc_id, n, min(i) AS a, max(i) + 50 AS b FROM k GROUP BY doc_id, n),
+t AS (SELECT doc_id, count(*) AS n_spans, sum(b - a) AS n_removed, list(a ORDER BY a) AS low, list(b ORDER BY a) AS high FROM x GROUP BY doc_id)
+SELECT d.doc_id, length(h) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(CASE WHEN n_spans IS NULL THEN h ELSE array_to_string(list_transform(list_zip(list_concat([0], high), list_append(low, length(h) // 2)), lambda z: h[2 * z[1] + 1:2 * z[2]]), '') END)) AS kept_sha256
+FROM d LEFT JOIN t ON t.doc_id = d.doc_id
+"""
+
+
 def _levels_sql(name: str, nodes: str) -> str:
     """CTEs over the query ``nodes`` (g, pos, n, h): the nodes of all levels (name) and what stands beside those that are not their group's last (name_x)."""
     return f"""
@@ -218,4 +238,4 @@ FROM p JOIN rs ON rs.g = p.g AND rs.row = p.pos JOIN t ON t.g = p.g AND t.n = 1
 
 def oracle_sql() -> dict[str, str]:
     """SQL for the queries that SQL can express; the others are tested against brute force."""
-    return {"op1_minhash_near_dedup": _OP1, "op2_benchmark_decontamination": _OP2, "op5_quality_ledger": _OP5, "op11_conversation_repair": _OP11, "op13_merkle_manifest": _OP13}
+    return {"op1_minhash_near_dedup": _OP1, "op2_benchmark_decontamination": _OP2, "op5_quality_ledger": _OP5, "op11_conversation_repair": _OP11, "op12_suffix_dedup": _OP12, "op13_merkle_manifest": _OP13}
