@@ -188,7 +188,8 @@ FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN s ON s.conv_id IS
 
 _OP12 = """
 WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
-w AS MATERIALIZED (SELECT doc_id, i, md5_number(h[2 * i + 1:2 * i + 100]) AS g FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 49)) AS i FROM d)),
+p AS (SELECT doc_id, k, h[1024 * k + 1:1024 * k + 1122] AS h FROM (SELECT doc_id, h, unnest(range(0, (length(h) // 2 - 50) // 512 + 1)) AS k FROM d WHERE length(h) >= 100)),
+w AS MATERIALIZED (SELECT doc_id, 512 * k + i AS i, md5_number(h[2 * i + 1:2 * i + 100]) AS g FROM (SELECT *, unnest(range(0, least(512, length(h) // 2 - 49))) AS i FROM p)),
 m AS (SELECT g, min(doc_id) AS first FROM w GROUP BY g HAVING count(*) > 1),
 r AS (SELECT doc_id, i FROM w JOIN m USING (g) WHERE first < doc_id),
 s AS (SELECT doc_id, i, coalesce(i > lag(i) OVER v + 50, TRUE) AS head FROM r WINDOW v AS (PARTITION BY doc_id ORDER BY i)),
