@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.window import Window
 
-from chronolith.operators import bootstrap as B, graph as G, windows as W
+from chronolith.operators import bootstrap as B, graph as G, replicates as M, windows as W
 from chronolith.plans.bindings import table, view
 from chronolith.plans.registry import query
 
@@ -128,52 +128,61 @@ _UNDIRECTED = "u AS (SELECT a, b, g, n, row_number() OVER (ORDER BY a, b) - 1 AS
 _INTERVAL = "count(*) AS present, CASE WHEN count(*) >= {least} THEN round(quantile_cont(d, 0.05), 5) END AS low, CASE WHEN count(*) >= {least} THEN round(quantile_cont(d, 0.95), 5) END AS high"
 
 
+#: Replicates of the bootstraps: of edges, and of weekends.
+EDGE_DRAWS, WEEKEND_DRAWS = 300, 100
+
+
 @query(
-    f"WITH RECURSIVE {_UNDIRECTED}, z AS (SELECT r, {_DRAW.format(stratum=chr(39) + 'edges' + chr(39)).replace('% n', '% m')} AS k FROM (SELECT k AS slot, m, unnest(range(8)) AS r FROM u)), q AS (SELECT r, a, b, g, count(*) AS w FROM z JOIN u USING (k) GROUP BY ALL), "
+    f"WITH RECURSIVE {_UNDIRECTED}, z AS (SELECT r, {_DRAW.format(stratum=chr(39) + 'edges' + chr(39)).replace('% n', '% m')} AS k FROM (SELECT k AS slot, m, unnest(range({EDGE_DRAWS})) AS r FROM u)), q AS (SELECT r, a, b, g, count(*) AS w FROM z JOIN u USING (k) GROUP BY ALL), "
     + solved_sql("SELECT r, a AS i, b AS j, g, w FROM q UNION ALL SELECT r, b, a, -g, w FROM q", ("r",))
-    + f" SELECT i AS driver_id, {_INTERVAL.format(least=4)} FROM s GROUP BY i"
+    + f" SELECT i AS driver_id, {_INTERVAL.format(least=EDGE_DRAWS / 2)} FROM s GROUP BY i"
 )
 def nr06_edge_bootstrap(spark: S, d: str) -> DataFrame:
     e = view(spark, d, "b_edges")
     up = F.col("driver_id") < F.col("teammate_id")
     u = e.groupBy(F.least("driver_id", "teammate_id").alias("a"), F.greatest("driver_id", "teammate_id").alias("b")).agg(F.avg(F.when(up, F.col("pace_gap")).otherwise(-F.col("pace_gap"))).alias("g"))
-    drawn = B.resampled(u, [], ["a", "b"], 8, name="edges")
+    drawn = M.copies(u, [], ["a", "b"], EDGE_DRAWS, name="edges")
     ways = F.explode(F.array(F.struct(F.col("a").alias("i"), F.col("b").alias("j"), F.col("g")), F.struct(F.col("b").alias("i"), F.col("a").alias("j"), (-F.col("g")).alias("g")))).alias("e")
-    t = G.ratings(drawn.select("replicate", "copies", ways).select("replicate", F.col("copies").cast("double").alias("w"), "e.*"), "i", "j", "g", weight="w", by=("replicate",))
-    return B.intervals(t, "i", "rating", 8, 0.5).select(F.col("i").alias("driver_id"), "present", F.round("low", 5).alias("low"), F.round("high", 5).alias("high"))
+    edges = drawn.select("copies", ways).select("e.i", "e.j", "copies", F.transform("copies", lambda c: c * F.col("e.g")).alias("sums"))
+    t = M.solved(edges, "i", "j", "copies", "sums", EDGE_DRAWS)
+    return M.intervals(t, "i", "ratings", 0.5).select(F.col("i").alias("driver_id"), "present", F.round("low", 5).alias("low"), F.round("high", 5).alias("high"))
 
 
-_CLUSTERS = "u AS (SELECT season, round, row_number() OVER (PARTITION BY season ORDER BY round) - 1 AS k, count(*) OVER (PARTITION BY season) AS n FROM (SELECT DISTINCT season, round FROM b_season_edges)), z AS (SELECT season, r, " + _DRAW.format(stratum="season") + " AS k FROM (SELECT season, k AS slot, n, unnest(range(8)) AS r FROM u)), q AS (SELECT season, round, r, count(*) AS copies FROM z JOIN u USING (season, k) GROUP BY ALL)"
+_CLUSTERS = "u AS (SELECT season, round, row_number() OVER (PARTITION BY season ORDER BY round) - 1 AS k, count(*) OVER (PARTITION BY season) AS n FROM (SELECT DISTINCT season, round FROM b_season_edges)), z AS (SELECT season, r, " + _DRAW.format(stratum="season") + " AS k FROM (SELECT season, k AS slot, n, unnest(range(" + str(WEEKEND_DRAWS) + ")) AS r FROM u)), q AS (SELECT season, round, r, count(*) AS copies FROM z JOIN u USING (season, k) GROUP BY ALL)"
 
 
-def weekends(spark: S, d: str, edges: DataFrame, replicates: int) -> DataFrame:
-    """Edges of whole drawn weekends, drawn inside each season; w is how often a weekend was drawn."""
+def weekends(spark: S, d: str, edges: DataFrame) -> DataFrame:
+    """Edges (season, round and further columns) with the copies of their weekend in each replicate; weekends are drawn whole, inside each season."""
     clusters = view(spark, d, "b_season_edges").select("season", "round").distinct()
-    drawn = B.resampled(clusters, ["season"], ["round"], replicates)
-    return edges.join(F.broadcast(drawn.select("season", "round", "replicate", F.col("copies").cast("double").alias("w"))), ["season", "round"])  # weekends times replicates
+    return edges.join(M.copies(clusters, ["season"], ["round"], WEEKEND_DRAWS), ["season", "round"])
+
+
+def _times(c: str) -> Column:
+    return F.transform("copies", lambda x: x * F.col(c))
 
 
 @query(
-    f"WITH RECURSIVE {_CLUSTERS}, " + solved_sql("SELECT r, driver_id AS i, teammate_id AS j, pace_gap AS g, CAST(copies AS DOUBLE) AS w FROM b_season_edges JOIN q USING (season, round)", ("r",)) + f" SELECT i AS driver_id, {_INTERVAL.format(least=4)} FROM s GROUP BY i"
+    f"WITH RECURSIVE {_CLUSTERS}, " + solved_sql("SELECT r, driver_id AS i, teammate_id AS j, pace_gap AS g, CAST(copies AS DOUBLE) AS w FROM b_season_edges JOIN q USING (season, round)", ("r",)) + f" SELECT i AS driver_id, {_INTERVAL.format(least=WEEKEND_DRAWS / 2)} FROM s GROUP BY i"
 )
 def nr07_weekend_bootstrap(spark: S, d: str) -> DataFrame:
-    e = view(spark, d, "b_season_edges").groupBy("season", "round", "driver_id", "teammate_id").agg(F.sum("pace_gap").alias("_s"), F.count("*").alias("_n"))  # before rows are repeated
-    drawn = weekends(spark, d, e, 8).select("replicate", "driver_id", "teammate_id", (F.col("_s") / F.col("_n")).alias("gap"), (F.col("w") * F.col("_n")).alias("w"))
-    t = G.ratings(drawn, "driver_id", "teammate_id", "gap", weight="w", by=("replicate",))
-    return B.intervals(t, "driver_id", "rating", 8, 0.5).select("driver_id", "present", F.round("low", 5).alias("low"), F.round("high", 5).alias("high"))
+    e = view(spark, d, "b_season_edges").groupBy("season", "round", "driver_id", "teammate_id").agg(F.sum("pace_gap").alias("_s"), F.count("*").alias("_n"))  # before rows get arrays
+    drawn = weekends(spark, d, e).select("driver_id", "teammate_id", _times("_n").alias("w"), _times("_s").alias("s"))
+    t = M.solved(drawn, "driver_id", "teammate_id", "w", "s", WEEKEND_DRAWS)
+    return M.intervals(t, "driver_id", "ratings", 0.5).select("driver_id", "present", F.round("low", 5).alias("low"), F.round("high", 5).alias("high"))
 
 
 @query(
     f"WITH RECURSIVE {_CLUSTERS}, "
     + solved_sql("SELECT r, 'race' AS kind, driver_id AS i, teammate_id AS j, pace_gap AS g, CAST(copies AS DOUBLE) AS w FROM b_season_edges JOIN q USING (season, round) UNION ALL SELECT r, 'quali', driver_id, teammate_id, quali_gap, copies FROM b_season_edges JOIN q USING (season, round)", ("r", "kind"))
-    + f", v AS (SELECT a.i, a.d - b.d AS d FROM s a JOIN s b ON a.i = b.i AND a.r = b.r AND a.kind = 'race' AND b.kind = 'quali') SELECT i AS driver_id, {_INTERVAL.format(least=7.2)} FROM v GROUP BY i"
+    + f", v AS (SELECT a.i, a.d - b.d AS d FROM s a JOIN s b ON a.i = b.i AND a.r = b.r AND a.kind = 'race' AND b.kind = 'quali') SELECT i AS driver_id, {_INTERVAL.format(least=0.9 * WEEKEND_DRAWS)} FROM v GROUP BY i"
 )
 def nr08_paired_bootstrap(spark: S, d: str) -> DataFrame:
-    e = two_kinds(spark, d).groupBy("season", "round", "kind", "driver_id", "teammate_id").agg(F.sum("gap").alias("_s"), F.count("*").alias("_n"))
-    drawn = weekends(spark, d, e, 8).select("replicate", "kind", "driver_id", "teammate_id", (F.col("_s") / F.col("_n")).alias("gap"), (F.col("w") * F.col("_n")).alias("w"))
-    t = G.ratings(drawn, "driver_id", "teammate_id", "gap", weight="w", by=("replicate", "kind"))
-    pair = t.groupBy("replicate", "driver_id").pivot("kind", ["race", "quali"]).agg(F.max("rating")).where("race is not null and quali is not null")
-    return B.intervals(pair.withColumn("difference", F.col("race") - F.col("quali")), "driver_id", "difference", 8, 0.9).select("driver_id", "present", F.round("low", 5).alias("low"), F.round("high", 5).alias("high"))
+    sums = [x for c in ("pace_gap", "quali_gap") for x in (F.sum(c).alias(f"_s_{c}"), F.count(c).alias(f"_n_{c}"))]
+    e = view(spark, d, "b_season_edges").groupBy("season", "round", "driver_id", "teammate_id").agg(*sums)
+    two = lambda x: F.concat(_times(f"_{x}_pace_gap"), _times(f"_{x}_quali_gap"))  # noqa: E731  both kinds of a draw, side by side
+    t = M.solved(weekends(spark, d, e).select("driver_id", "teammate_id", two("n").alias("w"), two("s").alias("s")), "driver_id", "teammate_id", "w", "s", 2 * WEEKEND_DRAWS)
+    pair = F.zip_with(F.slice("ratings", 1, WEEKEND_DRAWS), F.slice("ratings", WEEKEND_DRAWS + 1, WEEKEND_DRAWS), lambda a, b: a - b)
+    return M.intervals(t.select("driver_id", pair.alias("difference")), "driver_id", "difference", 0.9).select("driver_id", "present", F.round("low", 5).alias("low"), F.round("high", 5).alias("high"))
 
 
 _ROWS = "r AS (SELECT l_returnflag, l_extendedprice, row_number() OVER (PARTITION BY l_returnflag ORDER BY l_orderkey, l_linenumber, l_suppkey, l_shipdate, l_partkey) - 1 AS k, count(*) OVER (PARTITION BY l_returnflag) AS n FROM lineitem)"
