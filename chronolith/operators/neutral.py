@@ -17,13 +17,13 @@ def neutralisations(markers: DataFrame, by: list[str], order: list[str], t: str,
     or the start of a kind that ``interrupts`` it (interrupted); else it is unclosed. An end at the start's own time drops both.
     """
     w = Window.partitionBy(*by).orderBy(*order)
-    after, own = w.rowsBetween(1, Window.unboundedFollowing), Window.partitionBy(*by, kind).orderBy(*order)
+    after, own = Window.partitionBy(*by).orderBy(F.desc("_i")).rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy(*by, kind).orderBy(*order)
     rows = markers.withColumns({"_i": F.row_number().over(w)})
     here = F.struct("_i", t, edge)
     rows = rows.withColumn("_own", F.lead(here).over(own))
     stops = sorted({k for ks in interrupts.values() for k in ks})
     for k in stops:
-        rows = rows.withColumn(f"_by_{k}", F.first(F.when((F.col(kind) == k) & (F.col(edge) == "start"), F.struct("_i", t)), ignorenulls=True).over(after))
+        rows = rows.withColumn(f"_by_{k}", F.last(F.when((F.col(kind) == k) & (F.col(edge) == "start"), F.struct("_i", t)), ignorenulls=True).over(after))
     first = reduce(lambda c, x: c.when(F.col(kind) == x[0], F.least(*[F.col(f"_by_{k}") for k in x[1]], F.lit(None)) if len(x[1]) > 1 else F.col(f"_by_{x[1][0]}")), interrupts.items(), F.when(F.lit(False), F.lit(None)))
     starts = rows.where(F.col(edge) == "start").withColumn("_stop", first)
     ended = F.col("_own").isNotNull() & (F.col("_stop").isNull() | (F.col("_own._i") < F.col("_stop._i")))
@@ -38,8 +38,8 @@ def first_later(left: DataFrame, right: DataFrame, by: list[str], t: str, within
     names = left.columns
     mine = left.select(*by, F.col(t).alias("_t"), F.struct(*names).alias("_l"), F.lit(None).cast(right.schema[t].dataType).alias("_r"), F.lit(1).alias("_o"))
     theirs = right.select(*by, F.col(t).alias("_t"), F.lit(None).cast(mine.schema["_l"].dataType).alias("_l"), F.col(t).alias("_r"), F.lit(0).alias("_o"))
-    w = Window.partitionBy(*by).orderBy("_t", "_o").rowsBetween(1, Window.unboundedFollowing)  # rows of the same time sort before
-    near = mine.unionByName(theirs).withColumn("_next", F.first("_r", ignorenulls=True).over(w)).where("_l is not null")
+    w = Window.partitionBy(*by).orderBy(F.desc("_t"), F.desc("_o")).rowsBetween(Window.unboundedPreceding, -1)  # from the last row back; right rows of the same time come after
+    near = mine.unionByName(theirs).withColumn("_next", F.last("_r", ignorenulls=True).over(w)).where("_l is not null")
     return near.select("_l.*", F.when(F.col("_next") - F.col("_t") <= within, F.col("_next")).alias(out))
 
 
@@ -82,8 +82,8 @@ def recovered(laps: DataFrame, events: DataFrame, race: list[str], end: str, cle
     names = events.columns
     mine = events.select(*race, F.col(end), F.struct(*names).alias("_l"), F.lit(None).cast("long").alias("_until"), F.lit(0).alias("_o"))
     theirs = starts.select(*race, end, F.lit(None).cast(mine.schema["_l"].dataType).alias("_l"), "_until", F.lit(1).alias("_o"))
-    order = Window.partitionBy(*race).orderBy(end, "_o").rowsBetween(0, Window.unboundedFollowing)
-    return mine.unionByName(theirs).withColumn("recovery", F.first("_until", ignorenulls=True).over(order)).where("_l is not null").select("_l.*", "recovery")
+    order = Window.partitionBy(*race).orderBy(F.desc(end), F.desc("_o")).rowsBetween(Window.unboundedPreceding, 0)
+    return mine.unionByName(theirs).withColumn("recovery", F.last("_until", ignorenulls=True).over(order)).where("_l is not null").select("_l.*", "recovery")
 
 
 def effects(rows: DataFrame, ident: list[str], columns: dict[str, float]) -> DataFrame:

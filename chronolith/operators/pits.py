@@ -28,7 +28,7 @@ def visits(marks: DataFrame, turns: DataFrame, by: list[str], order: list[str],
     begins = seen.select(*by, F.coalesce("entered", "left").alias("_a"), F.coalesce("left", "entered").alias("_z"))
     events = begins.select(*by, F.col("_a").alias("_t"), "_a", "_z", F.lit(0).alias("_o"), F.lit(None).cast("long").alias(at))
     asks = turns.select(*by, F.col(at).alias("_t"), F.lit(None).cast("long").alias("_a"), F.lit(None).cast("long").alias("_z"), F.lit(1).alias("_o"), F.col(at))
-    up, down = Window.partitionBy(*by).orderBy("_t", "_o").rowsBetween(Window.unboundedPreceding, 0), Window.partitionBy(*by).orderBy("_t", "_o").rowsBetween(0, Window.unboundedFollowing)
+    up, down = Window.partitionBy(*by).orderBy("_t", "_o").rowsBetween(Window.unboundedPreceding, 0), Window.partitionBy(*by).orderBy(F.desc("_t"), F.desc("_o")).rowsBetween(Window.unboundedPreceding, 0)
     both = events.unionByName(asks).withColumns({"_last": F.max("_z").over(up), "_next": F.min("_a").over(down)})
     alone = both.where((F.col("_o") == 1) & F.coalesce(F.col("_last") + near < F.col(at), F.lit(True)) & F.coalesce(F.col("_next") - near > F.col(at), F.lit(True)))
     kind = F.when(F.col("entered").isNotNull() & F.col("left").isNotNull(), "recorded").otherwise("partial")
