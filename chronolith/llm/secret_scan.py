@@ -22,47 +22,61 @@ from chronolith.llm.text import map_rows, map_texts
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A | re.I)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{16,}")  # leftmost maximal runs, as [0-9a-f]+ with the short ones dropped
-_PEM_MARK = re.compile(r"-----(BEGIN|END) ([A-Z0-9 ]{0,40}PRIVATE KEY)-----")
+_PEM_MARK = re.compile(r"-----(BEGIN|END) ([A-Z0-9 ]*PRIVATE KEY)-----")
 _PEM_HEADER = re.compile(r"^([A-Za-z-]+):[ \t]*(.*)$", re.M)
 #: Block sizes of the ciphers that an encrypted PEM body may name.
 _BLOCKS = {"DES-CBC": 8, "DES-EDE3-CBC": 8, "BF-CBC": 8, "RC2-CBC": 8, "IDEA-CBC": 8, "AES-128-CBC": 16, "AES-192-CBC": 16, "AES-256-CBC": 16, "CAMELLIA-256-CBC": 16, "SEED-CBC": 16}
 _TOKEN = re.compile(r"[A-Za-z0-9_.-]{20,}")
-_BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])M[A-Za-z0-9+/_-]{39,}={0,2}")  # DER of a key starts with 0x30, so its text starts with M
+#: What base64 of a key can start with: DER's 0x30 gives an M, then there are an OpenSSH container's name and a PEM mark.
+_BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])(?:M|b3BlbnNzaC1rZXkt|LS0tLS1CRUdJTi)[A-Za-z0-9+/_-]{39,}={0,2}")
 _HEX_ANY = re.compile(r"(?<![0-9A-Fa-f])30[0-9A-Fa-f]{62,}")
 #: Base kinds, then those that need confirmation; ties at one start are listed in this order.
 KINDS = ("assign", "access", "hex", "pem", "openssh", "jwt", "der", "der_hex")
 
 
-def der_key(data: bytes) -> bool:
-    """True if ``data`` is one DER SEQUENCE whose nested lengths add up and that holds an INTEGER version and key material."""
-
-    def parts(at: int, end: int, deep: int) -> list[tuple[int, int, int]] | None:
-        out = []
-        while at < end:
-            if at + 2 > end:
-                return None
-            tag, size, at = data[at], data[at + 1], at + 2
-            if size & 0x80:
-                n = size & 0x7F
-                if not 1 <= n <= 4 or at + n > end or data[at] == 0:
-                    return None
-                size, at = int.from_bytes(data[at : at + n], "big"), at + n
-                if size < 0x80:  # DER takes the shortest form
-                    return None
-            if at + size > end:
+def _level(data: bytes, at: int, end: int) -> list[tuple[int, int, int]] | None:
+    """(tag, start, size) of each DER element in data[at:end]; None if their lengths don't add up."""
+    out = []
+    while at < end:
+        if at + 2 > end:
+            return None
+        tag, size, at = data[at], data[at + 1], at + 2
+        if size & 0x80:
+            n = size & 0x7F
+            if not 1 <= n <= 4 or at + n > end or data[at] == 0:
                 return None
-            if tag & 0x20 and deep < 8 and parts(at, at + size, deep + 1) is None:
+            size, at = int.from_bytes(data[at : at + n], "big"), at + n
+            if size < 0x80:  # DER takes the shortest form
                 return None
-            out.append((tag, at, size))
-            at += size
-        return out
+        if at + size > end:
+            return None
+        out.append((tag, at, size))
+        at += size
+    return out
+
 
+def _inside(data: bytes) -> list[tuple[int, int, int]] | None:
+    """The elements of the one DER SEQUENCE that ``data`` is, if the lengths at every depth add up."""
     if len(data) < 24 or data[0] != 0x30:
-        return False
-    top = parts(0, len(data), 0)
+        return None
+    top = _level(data, 0, len(data))
     if not top or len(top) != 1:
-        return False
-    inner = parts(top[0][1], top[0][1] + top[0][2], 1) or []
+        return None
+    inner = _level(data, top[0][1], top[0][1] + top[0][2])
+    open_ = list(inner or ())
+    while open_:
+        tag, at, size = open_.pop()
+        if tag & 0x20:
+            below = _level(data, at, at + size)
+            if below is None:
+                return None
+            open_ += below
+    return inner
+
+
+def der_key(data: bytes) -> bool:
+    """True if ``data`` is one DER SEQUENCE whose nested lengths add up and that holds an INTEGER version and key material."""
+    inner = _inside(data) or []
     tags = [t for t, _, _ in inner]
     if tags[:3] == [0x02, 0x30, 0x04]:  # version, algorithm, key octets
         return inner[0][2] == 1
@@ -73,6 +87,12 @@ def der_key(data: bytes) -> bool:
     return len(tags) >= 6 and set(tags) == {0x02} and inner[0][2] == 1  # RSA and DSA: version and integers
 
 
+def encrypted_key(data: bytes) -> bool:
+    """True if ``data`` is a DER SEQUENCE of an algorithm, which begins with its identifier, and the octets of a key."""
+    inner = _inside(data) or []
+    return [t for t, _, _ in inner] == [0x30, 0x04] and inner[0][2] > 2 and data[inner[0][1]] == 0x06 and inner[1][2] >= 8
+
+
 def _ssh_key(data: bytes) -> bool:
     head = b"openssh-key-v1\x00"
     if not data.startswith(head):
@@ -113,7 +133,7 @@ def _pem_spans(text: str) -> list[tuple[int, int, int]]:
             data = _decoded(_PEM_HEADER.sub("", body))
             if data and _ssh_key(data):
                 out.append((open_.start(), 4, m.end()))
-            elif data and (der_key(data) or "ENCRYPTED" in m[2] and data[0] == 0x30 or _enciphered(headers, data)):
+            elif data and (der_key(data) or "ENCRYPTED" in m[2] and encrypted_key(data) or _enciphered(headers, data)):
                 out.append((open_.start(), 3, m.end()))
         open_ = m if m[1] == "BEGIN" else None
     return out
@@ -149,6 +169,17 @@ def _jwt_spans(text: str) -> list[tuple[int, int, int]]:
     return out
 
 
+def _held(data: bytes, kind: int) -> int | None:
+    """The kind of key that decoded bytes hold: a DER key is of the candidate's own kind."""
+    if der_key(data):
+        return kind
+    if _ssh_key(data):
+        return 4
+    if data.startswith(b"-----BEGIN ") and (inner := _pem_spans(data.decode("latin-1"))):
+        return inner[0][1]
+    return None
+
+
 def spans(text: str | None) -> list[tuple[int, int, int]]:
     """(start, kind's place in ``KINDS``, end) of each secret, in code points, by start, then kind. Base spans always stay."""
     text = text or ""
@@ -162,8 +193,8 @@ def spans(text: str | None) -> list[tuple[int, int, int]]:
     for kind, pattern, decode in ((6, _BASE64, _decoded), (7, _HEX_ANY, lambda s: bytes.fromhex(s[: len(s) // 2 * 2]))):
         for m in pattern.finditer(text):
             near = bisect_right(starts, m.start()) - 1
-            if not (near >= 0 and m.start() < pem[near][2]) and (data := decode(m[0])) and der_key(data):
-                out.append((m.start(), kind, m.end()))
+            if not (near >= 0 and m.start() < pem[near][2]) and (data := decode(m[0])) and (held := _held(data, kind)) is not None:
+                out.append((m.start(), held, m.end()))
     return sorted(out)
 
 
@@ -181,8 +212,9 @@ def _row(doc_id, text: str | None) -> tuple:
 def scanned(docs: DataFrame) -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, n_confirmed, base_sha256 and spans (kind:start:end) for each row of ``docs``.
 
-    Null or empty text: no spans and the digest of the empty string. Ids may be null or repeated; columns other than
-    doc_id and text are not read; an empty table gives no rows.
+    Null or empty text: no spans and the digest of the empty string. Long texts are scanned whole, in linear time. Ids may be
+    null or repeated; spans of one start are listed by kind; columns other than doc_id and text are not read; an empty
+    table gives no rows.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_assign long, n_access long, n_hex long, n_confirmed long, base_sha256 string, spans string"
