@@ -101,8 +101,6 @@ RULES = (
     (("epl-2.0-notice",), "EPL-2.0"),
     *(((f"{x.lower()}-spdx",), x) for x in SPDX),
 )
-#: Code points that may stand between two sentences of one rule.
-GAP = 2000
 _WORD = re.compile(r"[a-z0-9]+(?:\.[0-9]+)*")
 #: Two ways to cut a text: sentences end at a stop, colon or semicolon before white space (but for an SPDX tag's colon and comment marks), or at a line without words; or also at each line's end.
 _STOP = r"(?<!(?i:spdx-license-identifier:))(?<!\n[;:!])(?<!\n[;:!]{2})(?<=[.:;!?])(?=\s)"
@@ -174,8 +172,8 @@ def sentences(text: str | None) -> list[tuple[str, int, int]]:
     return out
 
 
-def licenses(found: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
-    """(license, start, end): rules are tried in order; each takes its sentences where they follow in order within ``GAP``.
+def licenses(found: list[tuple[str, int, int]], gap: int | None = None) -> list[tuple[str, int, int]]:
+    """(license, start, end): rules are tried in order; each takes its sentences where they follow in order, at most ``gap`` code points apart if it is given.
 
     One pass over the places of a rule's sentences: each takes the first unused one after the sentence before it, and a
     first sentence whose next one is too far leaves its place to the next first one.
@@ -195,7 +193,7 @@ def licenses(found: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
                 own = places[rule[k]]
                 while at[k] < len(own) and own[at[k]] <= taken[-1]:
                     at[k] += 1
-                if at[k] == len(own) or found[own[at[k]]][1] - found[taken[-1]][2] > GAP:
+                if at[k] == len(own) or gap is not None and found[own[at[k]]][1] - found[taken[-1]][2] > gap:
                     break
                 taken.append(own[at[k]])
             if len(taken) == len(rule):
@@ -212,18 +210,19 @@ def licenses(found: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
     return sorted(out, key=lambda x: (x[1], x[2], x[0]))
 
 
-def _row(doc_id, text: str | None) -> tuple:
+def _row(doc_id, text: str | None, gap: int | None = None) -> tuple:
     found = sentences(text)
-    named = licenses(found)
+    named = licenses(found, gap)
     return doc_id, len(found), len(named), ",".join(sorted({n for n, _, _ in named})), ",".join(f"{n}:{a}:{b}" for n, a, b in named)
 
 
-def license_scan(docs: DataFrame) -> DataFrame:
+def license_scan(docs: DataFrame, gap: int | None = None) -> DataFrame:
     """doc_id, n_sentences, n_licenses, licenses (distinct, sorted), spans (license:start:end) for each row of ``docs``.
 
-    Null or empty text: nothing found. Ids may be null or repeated; columns other than doc_id and text are not read; an
+    Whatever stands between two sentences of a rule, it matches; with ``gap`` at most so many code points may. Null or empty
+    text: nothing found. Long texts are read whole, in linear time. Ids may be null or repeated; columns other than doc_id and text are not read; an
     empty table gives no rows.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_sentences long, n_licenses long, licenses string, spans string"
-    return map_texts(docs.select("doc_id", F.col("text").cast("string").alias("text")), _row, schema, "doc_id", "text")
+    return map_texts(docs.select("doc_id", F.col("text").cast("string").alias("text")), lambda doc_id, text: _row(doc_id, text, gap), schema, "doc_id", "text")

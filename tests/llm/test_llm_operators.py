@@ -502,7 +502,7 @@ def test_every_license_rule_fires():
         assert [n for n, _, _ in licenses.licenses(licenses.sentences(text))] == [name], rule
 
 
-def brute_licenses(found):
+def brute_licenses(found, gap=None):
     """Rules in order, each as often as it matches; every choice of sentences is tried from the front."""
     left, out = list(enumerate(found)), []
     for rule, name in licenses.RULES:
@@ -513,7 +513,7 @@ def brute_licenses(found):
                 taken = [first]
                 for want in rule[1:]:
                     later = [x for x in left if x[1][0] == want and x[0] > taken[-1][0]]
-                    if not later or later[0][1][1] - taken[-1][1][2] > licenses.GAP:
+                    if not later or gap is not None and later[0][1][1] - taken[-1][1][2] > gap:
                         break
                     taken.append(later[0])
                 if len(taken) == len(rule):
@@ -533,7 +533,8 @@ def test_license_rules_against_brute_force():
             at += int(rng.choice([1, 40, 1500, 2500]))
             found.append((str(x), at, at + 60))
             at += 60
-        assert licenses.licenses(found) == brute_licenses(found), found
+        for gap in (None, 2000):
+            assert licenses.licenses(found, gap) == brute_licenses(found, gap), found
 
 
 def test_license_frame_and_long_texts(docs):
@@ -545,7 +546,8 @@ def test_license_frame_and_long_texts(docs):
     for line in (licenses.SENTENCES["mit-grant"] + "\n", "Licensed under the MIT License. ", "SPDX-License-Identifier: MIT OR ", "licen. ", "license" * 5, "\n;;"):
         licenses.licenses(licenses.sentences(line * (1_000_000 // len(line))))
     assert time.process_time() - began < 60
-    assert licenses.licenses([("mit-grant", 0, 9), ("mit-keep", 9_000, 9_009), ("mit-as-is", 9_010, 9_020)]) == [("MIT", 0, 9)]
+    apart = [("mit-grant", 0, 9), ("mit-keep", 9_000, 9_009), ("mit-as-is", 9_010, 9_020)]
+    assert licenses.licenses(apart, 2000) == [("MIT", 0, 9)] and licenses.licenses(apart) == [("MIT", 0, 9_020)]
 
 
 def test_spdx_tags():
