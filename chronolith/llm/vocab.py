@@ -7,6 +7,7 @@ characters for which it is exact (below); any other text goes through the librar
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import sys
@@ -51,6 +52,17 @@ def byte_alphabet() -> dict[int, str]:
     return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+def _lowers(library) -> bool:
+    """Whether a vocabulary lower-cases words that white space parts, or takes bytes as they are; other layouts are an error."""
+    if library.normalizer is None:
+        return False
+    steps = json.loads(library.normalizer.__getstate__())
+    kinds = [x["type"] for x in steps.get("normalizers", [steps])]
+    if kinds != ["NFC", "Replace", "Lowercase"]:
+        raise ValueError(f"no encoder for a vocabulary with the normalizers {kinds}")
+    return True
+
+
 class Encoder:
     """ids(text) as little-endian uint16 bytes and count(text), without added special tokens; special strings inside texts as the library takes them."""
 
@@ -61,7 +73,7 @@ class Encoder:
         self.library = Tokenizer.from_file(path)
         if self.library.get_vocab_size() > 1 << 16 or sys.byteorder != "little":
             raise ValueError("ids of more than 16 bits, or a big-endian machine")
-        self.lower = "word" in os.path.basename(path)
+        self.lower = _lowers(self.library)
         self.alphabet = byte_alphabet()
         tokens = self.library.get_added_tokens_decoder()
         self.special = {t.content: np.array([i], "<u2").tobytes() for i, t in tokens.items()}
