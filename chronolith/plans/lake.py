@@ -10,7 +10,7 @@ from chronolith.operators import quality as Q
 from chronolith.plans.basics import laps
 from chronolith.plans.bindings import table
 from chronolith.plans.registry import query
-from chronolith.sources import partitions as P
+from chronolith.sources import bundles as B, partitions as P
 
 S = SparkSession
 
@@ -76,11 +76,22 @@ def io06_replace_partition(spark: S, d: str) -> DataFrame:
 
 @query(f"SELECT season, n, revenue FROM (SELECT season, count(*) AS n FROM ({_ORDERS}) GROUP BY season) JOIN (SELECT season, round(sum(o_totalprice), 2) AS revenue FROM ({_ORDERS}) WHERE o_orderstatus = 'F' GROUP BY season) USING (season)")
 def io07_bundle(spark: S, d: str) -> DataFrame:
+    tables = B.read(spark, _published(spark, d))
+    return tables["counts"].join(tables["revenue"], "season")
+
+
+def _published(spark: S, d: str) -> str:
+    """A bundle of two marts in its second version, which replaces both at once."""
     root, rows = place(spark, "bundle"), orders(spark, d)
-    for part in (rows.where("o_orderstatus = 'O'"), rows):  # the second version replaces both tables at once
+    for base, part in enumerate((rows.where("o_orderstatus = 'O'"), rows)):
         done = part.where("o_orderstatus = 'F'").groupBy("season").agg(F.round(F.sum("o_totalprice"), 2).alias("revenue"))
-        P.write_bundle({"counts": part.groupBy("season").agg(F.count("*").alias("n")), "revenue": done}, root)
-    return P.read_bundle(spark, root, "counts").join(P.read_bundle(spark, root, "revenue"), "season")
+        B.write({"counts": part.groupBy("season").agg(F.count("*").alias("n")), "revenue": done}, root, base)
+    return root
+
+
+@query(f"SELECT 'counts' AS name, count(DISTINCT season) AS rows, TRUE AS valid FROM ({_ORDERS}) UNION ALL SELECT 'revenue', count(DISTINCT season), TRUE FROM ({_ORDERS}) WHERE o_orderstatus = 'F'")
+def io07_receipts(spark: S, d: str) -> DataFrame:
+    return B.checked(spark, _published(spark, d)).select("name", "rows", "valid")
 
 
 @query("SELECT s_suppkey, s_name FROM supplier")

@@ -103,14 +103,14 @@ def ca14_telemetry_mart(spark: S, d: str) -> DataFrame:
 
 
 @query(
-    "WITH s AS (SELECT *, lap_time_sec - median(lap_time_sec) OVER (PARTITION BY season, round) AS loss FROM b_laps WHERE tyre_life = 8), c AS (SELECT DISTINCT season, round, lap_number FROM b_laps WHERE track_status = '4' AND driver_id % 10 = 0) "
+    "WITH s AS (SELECT *, lap_time_sec - median(lap_time_sec) OVER (PARTITION BY season, round) AS loss FROM b_laps WHERE tyre_life = 8), c AS (SELECT DISTINCT season, round, lap_number FROM b_laps WHERE track_status = '4') "
     "SELECT s.season, s.round, s.driver_id, s.lap_number, round(s.loss, 6) AS loss, EXISTS (SELECT 1 FROM c WHERE c.season = s.season AND c.round = s.round AND c.lap_number BETWEEN s.lap_number - 2 AND s.lap_number + 2) AS near FROM s"
 )
 def ca15_strategy_impact(spark: S, d: str) -> DataFrame:
     rows = laps(spark, d)
     stops = rows.where("tyre_life = 8")
     middle = stops.groupBy(*RACE).agg(F.percentile("lap_time_sec", 0.5).alias("m"))
-    near = rows.where("track_status = '4' and driver_id % 10 = 0").select(*RACE, F.explode(F.sequence(F.col("lap_number") - 2, F.col("lap_number") + 2)).alias("lap_number")).distinct().withColumn("near", F.lit(True))
+    near = rows.where("track_status = '4'").select(*RACE, F.explode(F.sequence(F.col("lap_number") - 2, F.col("lap_number") + 2)).alias("lap_number")).distinct().withColumn("near", F.lit(True))
     out = stops.join(middle, RACE).join(near, [*RACE, "lap_number"], "left")
     return out.select(*LAP, r6(F.col("lap_time_sec") - F.col("m")).alias("loss"), F.coalesce("near", F.lit(False)).alias("near"))
 
@@ -332,12 +332,12 @@ def ca76_stop_summary(spark: S, d: str) -> DataFrame:
 
 
 @query(
-    "WITH x AS (SELECT season, round, driver_id, start_ms AS at FROM b_timed WHERE tyre_life = 1 AND stint > 1 AND driver_id % 5 = 0), s AS (SELECT x.season, x.round, x.driver_id, l.driver_id AS other, l.end_ms - x.at AS since, CASE WHEN l.track_status = '4' THEN 'stale' WHEN l.speed < 10 THEN 'missing' ELSE 'fresh' END AS status FROM x JOIN b_timed l ON x.season = l.season AND x.round = l.round AND l.end_ms BETWEEN x.at - 1000 AND x.at + 6000) "
+    "WITH x AS (SELECT season, round, driver_id, start_ms AS at FROM b_timed WHERE tyre_life = 1 AND stint > 1), s AS (SELECT x.season, x.round, x.driver_id, l.driver_id AS other, l.end_ms - x.at AS since, CASE WHEN l.track_status = '4' THEN 'stale' WHEN l.speed < 10 THEN 'missing' ELSE 'fresh' END AS status FROM x JOIN b_timed l ON x.season = l.season AND x.round = l.round AND l.end_ms BETWEEN x.at - 1000 AND x.at + 6000) "
     "SELECT season, round, status, count(*) AS samples, count(*) FILTER (since < 0) AS before, count(DISTINCT driver_id) AS transitions FROM s GROUP BY ALL"
 )
 def ca77_order_audit(spark: S, d: str) -> DataFrame:
     t = timed(spark, d)
-    spans = t.where("tyre_life = 1 and stint > 1 and driver_id % 5 = 0").select(*DRIVER, F.col("start_ms").alias("at"), (F.col("start_ms") - 1000).alias("a"), (F.col("start_ms") + 6000).alias("z"))  # the declared roster
+    spans = t.where("tyre_life = 1 and stint > 1").select(*DRIVER, F.col("start_ms").alias("at"), (F.col("start_ms") - 1000).alias("a"), (F.col("start_ms") + 6000).alias("z"))
     status = F.when(F.col("track_status") == "4", "stale").when(F.col("speed") < 10, "missing").otherwise("fresh")
     s = J.interval(t.select(*RACE, "end_ms", status.alias("status")), spans, RACE, "end_ms", "a", "z", 10000, closed=True)
     return s.groupBy(*RACE, "status").agg(F.count("*").alias("samples"), F.count_if(F.col("end_ms") < F.col("at")).alias("before"), F.count_distinct("driver_id").alias("transitions"))

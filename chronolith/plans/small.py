@@ -568,10 +568,10 @@ def sc16_rms(spark: S, d: str) -> DataFrame:
     return laps(spark, d).groupBy("driver_id").agg(F.round(C.rms(F.avg("speed") - 25, F.avg("lap_time_sec") - 83, F.avg("tyre_life") - 4), 6).alias("distance"))
 
 
-@query("SELECT s_suppkey, round(least(greatest(0.5 * s_acctbal / 10000 + 0.3 * (s_nationkey / 25) + 0.2 * CASE WHEN s_acctbal > 0 THEN 1 ELSE 0 END, 0), 1), 6) AS confidence FROM supplier")
+@query("SELECT s_suppkey, round(least(greatest(0.5 * s_acctbal / 10000 + 0.3 * (s_nationkey / 25) + 0.2 * CASE WHEN s_acctbal > 0 THEN 1 ELSE 0 END, 0), 1), 9) AS confidence FROM supplier")
 def sc18_score(spark: S, d: str) -> DataFrame:
     score = C.score((0.5, F.col("s_acctbal") / 10000), (0.3, F.col("s_nationkey") / 25), (0.2, F.when(F.col("s_acctbal") > 0, 1).otherwise(0)))
-    return table(spark, d, "supplier").select("s_suppkey", F.round(score, 6).alias("confidence"))
+    return table(spark, d, "supplier").select("s_suppkey", F.round(score, 9).alias("confidence"))
 
 
 @query("SELECT l_orderkey, l_linenumber, l_suppkey, l_partkey, round(100 * (ln(l_extendedprice) - ln(l_quantity)), 6) AS gap FROM lineitem")

@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 from datetime import date
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 
@@ -63,31 +61,6 @@ def replaced_partition(existing: DataFrame, incoming: DataFrame, **key) -> DataF
     return existing.where(~inside).unionByName(incoming.where(F.assert_true(inside, F.lit("row outside the partition")).isNull()), allowMissingColumns=True)
 
 
-def write_bundle(frames: dict[str, DataFrame], root: str) -> str:
-    """Write frames to a new version; one pointer row, added last, publishes them all. Readers take the newest pointer, so none is ever missing."""
-    version, spark = uuid.uuid4().hex, next(iter(frames.values())).sparkSession
-    for name, df in frames.items():
-        df.write.parquet(f"{root}/{version}/{name}")
-    last = _pointers(spark, root).agg(F.coalesce(F.max("turn"), F.lit(0))).first()[0]
-    spark.createDataFrame([(version, last + 1)], _POINTER).coalesce(1).write.mode("append").parquet(f"{root}/pointers")
-    return version
-
-
-_POINTER = "version string, turn long"
-
-
-def _pointers(spark: SparkSession, root: str) -> DataFrame:
-    try:
-        return spark.read.schema(_POINTER).parquet(f"{root}/pointers")
-    except AnalysisException:  # nothing published yet
-        return spark.createDataFrame([], _POINTER)
-
-
-def read_bundle(spark: SparkSession, root: str, name: str) -> DataFrame:
-    version = _pointers(spark, root).orderBy(F.desc("turn"), "version").first()["version"]
-    return spark.read.parquet(f"{root}/{version}/{name}")
-
-
 def ledger(df: DataFrame, resource: str, keys: list[str], load_id: str) -> DataFrame:
     """One audit row for each partition: rows, load and time."""
     return df.groupBy(*keys).agg(F.count("*").alias("row_count")).withColumns({"resource": F.lit(resource), "load_id": F.lit(load_id), "loaded_at": F.current_timestamp()})
