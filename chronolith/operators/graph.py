@@ -111,6 +111,9 @@ def _solved(e: DataFrame, d: DataFrame, by: tuple[str, ...], shrink: Column, dam
             k, steps = k + 1, {}
             for r in found:
                 one = tuple(r[c] for c in by)
+                if r["change"] is None or r["change"] < tolerance / 2:  # done: its rounding must not build up while others go on
+                    steps[one] = (0.0, 0.0, 0.0)
+                    continue
                 before = last.get(one, (0.0, 0.0))
                 beta = r["ru"] / before[0] if before[0] > 0 else 0.0
                 down = r["uv"] - (beta * r["ru"] / before[1] if before[1] else 0.0)
@@ -220,3 +223,28 @@ def tuned(edges: DataFrame, a: str, b: str, season: str, gap: str, priors: tuple
     held = scored.where("fold = _last").join(F.broadcast(best), "prior")
     out = held.groupBy("prior", "inner_mae", "radius").agg(F.avg("_e").alias("holdout_mae"), F.avg(F.when(F.col("_e") <= F.col("radius"), 1.0).otherwise(0.0)).alias("covered"), F.avg(F.abs(gap)).alias("_zero"))
     return out.withColumn("promoted", (F.col("holdout_mae") < F.col("_zero")) & (F.col("covered") >= least_covered)).drop("_zero")
+
+
+def ablated(edges: DataFrame, a: str, b: str, season: str, kind: str, gap: str, target: str, priors: tuple[float, ...], quantile: float, least_covered: float) -> DataFrame:
+    """A row for each kind of evidence that is left out (``none`` first): its prior of least inner error, errors, interval, coverage, and gain, what leaving the kind out costs.
+
+    Edges are tagged by ``kind``; a model pools the kinds that it keeps. Folds, priors and what is left out are keys of one solve: an
+    edge's sums are repeated for each key that keeps it. Models are scored on the edges of the ``target`` kind; the last season
+    is held out. The whole model is promoted if its held-out error is below that of zero and not above that of any
+    model that lacks a kind, and enough of the held-out gaps lie in its interval.
+    """
+    kinds = [r[0] for r in edges.select(kind).distinct().orderBy(kind).collect()]  # the kinds of evidence
+    sums = edges.groupBy(season, kind, a, b).agg(F.sum(gap).alias("_g"), F.count(gap).cast("double").alias("_w"))  # before rows are repeated
+    folds = sums.agg(F.collect_set(season).alias("_f"))  # one row with the seasons
+    keyed = sums.crossJoin(F.broadcast(folds)).withColumn("fold", F.explode(F.filter("_f", lambda x: x > F.col(season)))).withColumn("ablated", F.explode(F.filter(F.array(*[F.lit(x) for x in ("none", *kinds)]), lambda x: x != F.col(kind))))
+    pooled = keyed.groupBy("fold", "ablated", a, b).agg(F.sum("_g").alias("_g"), F.sum("_w").alias("_w")).withColumns({"_m": F.col("_g") / F.col("_w"), "prior": F.explode(F.array(*[F.lit(float(p)) for p in priors]))})
+    rated = ratings(pooled.where("_w > 0"), a, b, "_m", prior="prior", weight="_w", by=("fold", "ablated", "prior"))
+    scored = _scored(edges.where(F.col(kind) == target), rated.select("fold", "ablated", "prior", F.col(a).alias("entity"), "rating"), a, b, season, ("ablated", "prior")).withColumn("_e", F.abs(F.col(gap) - F.col("predicted")))
+    scored = scored.crossJoin(F.broadcast(scored.agg(F.max("fold").alias("_last")))).checkpoint()  # one row
+    inner = scored.where("fold < _last").groupBy("ablated", "prior").agg(F.avg("_e").alias("inner_mae"), F.percentile("_e", quantile).alias("radius"))
+    best = inner.groupBy("ablated").agg(F.min_by(F.struct("prior", "inner_mae", "radius"), F.struct(F.round("inner_mae", 9), "prior")).alias("_b")).select("ablated", "_b.*")
+    held = scored.where("fold = _last").join(best, ["ablated", "prior"]).groupBy("ablated", "prior", "inner_mae", "radius").agg(F.avg("_e").alias("holdout_mae"), F.avg(F.when(F.col("_e") <= F.col("radius"), 1.0).otherwise(0.0)).alias("covered"), F.avg(F.abs(gap)).alias("_zero"))
+    whole = held.agg(F.min(F.when(F.col("ablated") == "none", F.col("holdout_mae"))).alias("_own"), F.min(F.when(F.col("ablated") != "none", F.col("holdout_mae"))).alias("_others"))  # one row
+    x = held.crossJoin(F.broadcast(whole))
+    good = (F.col("holdout_mae") < F.col("_zero")) & (F.round(F.col("holdout_mae") - F.col("_others"), 9) <= 0) & (F.col("covered") >= least_covered)
+    return x.select("ablated", "prior", "inner_mae", "radius", "holdout_mae", "covered", (F.col("holdout_mae") - F.col("_own")).alias("gain"), F.when(F.col("ablated") == "none", good).alias("promoted"))

@@ -263,3 +263,20 @@ _GRID = "SELECT fold, prior, i, j, g, w FROM (" + _FOLDS + "), (SELECT CAST(unne
 def nr13_nested_tuning(spark: S, d: str) -> DataFrame:
     out = G.tuned(view(spark, d, "b_season_edges"), "driver_id", "teammate_id", "season", "pace_gap", (2.0, 8.0, 32.0), quantile=0.9, least_covered=0.8)
     return out.select("prior", *[r6(c).alias(c) for c in ("inner_mae", "holdout_mae", "radius", "covered")], "promoted")
+
+
+_KINDS = "k AS (SELECT 'race' AS kind, driver_id, teammate_id, season, pace_gap AS g FROM b_season_edges UNION ALL SELECT 'quali', driver_id, teammate_id, season, quali_gap FROM b_season_edges)"
+_KEYED = "SELECT fold, ablated, prior, driver_id AS i, teammate_id AS j, g, CAST(1 AS DOUBLE) AS w FROM k JOIN (SELECT DISTINCT season AS fold FROM b_season_edges) ON season < fold JOIN (SELECT unnest(['none', 'quali', 'race']) AS ablated) ON ablated <> kind, (SELECT CAST(unnest([2, 8, 32]) AS DOUBLE) AS prior)"
+
+
+@query(
+    f"WITH RECURSIVE {_KINDS}, {solved_sql(_KEYED, ('fold', 'ablated', 'prior'), 'prior')}, p AS MATERIALIZED (SELECT a.fold, a.ablated, a.prior, pace_gap AS y, a.d - b.d AS p FROM b_season_edges JOIN s a ON a.fold = season AND a.i = driver_id JOIN s b ON b.fold = season AND b.i = teammate_id AND b.prior = a.prior AND b.ablated = a.ablated), "
+    "h AS (SELECT max(fold) AS h FROM p), q AS (SELECT ablated, prior, avg(abs(y - p)) AS mae, quantile_cont(abs(y - p), 0.9) AS radius FROM p, h WHERE fold < h GROUP BY ablated, prior), best AS (SELECT * FROM q QUALIFY row_number() OVER (PARTITION BY ablated ORDER BY round(mae, 9), prior) = 1), "
+    "z AS (SELECT ablated, prior, any_value(mae) AS inner_mae, any_value(radius) AS radius, avg(abs(y - p)) AS holdout, avg(CASE WHEN abs(y - p) <= radius THEN 1.0 ELSE 0.0 END) AS covered, avg(abs(y)) AS zero FROM p JOIN best USING (ablated, prior), h WHERE fold = h GROUP BY ablated, prior) "
+    "SELECT ablated, prior, round(inner_mae, 6) AS inner_mae, round(radius, 6) AS radius, round(holdout, 6) AS holdout_mae, round(covered, 6) AS covered, round(holdout - (SELECT holdout FROM z WHERE ablated = 'none'), 6) + 0.0 AS gain, "
+    "CASE WHEN ablated = 'none' THEN holdout < zero AND round(holdout - (SELECT min(holdout) FROM z WHERE ablated <> 'none'), 9) <= 0 AND covered >= 0.8 END AS promoted FROM z"
+)
+def nr13_ablation(spark: S, d: str) -> DataFrame:
+    edges = two_kinds(spark, d)
+    out = G.ablated(edges, "driver_id", "teammate_id", "season", "kind", "gap", "race", (2.0, 8.0, 32.0), quantile=0.9, least_covered=0.8)
+    return out.select("ablated", "prior", *[(r6(c) + F.lit(0.0)).alias(c) for c in ("inner_mae", "radius", "holdout_mae", "covered", "gain")], "promoted")
