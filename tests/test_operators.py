@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from chronolith.functions import columns as C
 from chronolith.operators import bootstrap as B, evidence as E, graph as G, joins as J, neutral as NE, quality as Q, replay as RP, resample as RS, robust as R, windows as W
-from chronolith.sources import bundles as B, partitions as P
+from chronolith.sources import bundles as BU, partitions as P
 from chronolith.streaming import twins
 
 
@@ -238,9 +238,9 @@ def test_partitions(spark, tmp_path):
         P.replaced_partition(df, df, season=2024).collect()
     assert P.replaced_partition(df, df.limit(0), season=2024).count() == 1
     root = f"file://{tmp_path}/b"
-    B.write({"x": df}, root)
-    B.write({"x": df.limit(1)}, root)
-    assert B.read(spark, root)["x"].count() == 1
+    BU.write({"x": df}, root)
+    BU.write({"x": df.limit(1)}, root)
+    assert BU.read(spark, root)["x"].count() == 1
     assert P.fill_partitions(df.where("season = 2024"), df.withColumn("v", F.lit(0)), ["season"]).agg(F.sum("v")).first()[0] == 3
 
 
