@@ -6,7 +6,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "embeddings")
 
 _LAPS0 = """
 SELECT CAST(year(l_shipdate) AS BIGINT) AS season, CAST(quarter(l_shipdate) AS BIGINT) AS round, l_suppkey AS driver_id,
@@ -34,8 +34,14 @@ SELECT a.l_suppkey AS driver_id, b.l_suppkey AS teammate_id, CAST(year(a.l_shipd
   100 * (ln(a.l_extendedprice / a.l_quantity) - ln(b.l_extendedprice / b.l_quantity)) AS pace_gap, 100 * (ln(a.l_quantity) - ln(b.l_quantity)) AS quali_gap
 FROM lineitem a JOIN lineitem b ON a.l_orderkey = b.l_orderkey AND a.l_suppkey <> b.l_suppkey AND year(a.l_shipdate) = year(b.l_shipdate) AND quarter(a.l_shipdate) = quarter(b.l_shipdate)"""
 
-VIEWS = {"b_laps0": _LAPS0, "b_laps1": _LAPS1, "b_laps": LAPS, "b_timed": TIMED, "b_ticks": TICKS, "b_edges": EDGES, "b_season_edges": SEASON_EDGES}
-_NEEDS = {"b_laps": ("b_laps0", "b_laps1", "b_laps"), "b_timed": ("b_laps0", "b_laps1", "b_laps", "b_timed"), "b_ticks": ("b_ticks",), "b_edges": ("b_edges",), "b_season_edges": ("b_season_edges",)}
+#: An embedding stands for a channel along a lap; 500 ids are a season, so groups stay as they are when the table grows.
+TRACES = """
+SELECT CAST(floor(vec_id / 500) AS BIGINT) AS season, CAST(label AS BIGINT) AS round, CAST(floor((vec_id % 20) / 2) AS BIGINT) AS team, vec_id % 20 AS driver_id, CAST(floor((vec_id % 500) / 20) + 1 AS BIGINT) AS lap_number,
+  CAST(floor((vec_id % 500) / 20) % 8 + 1 AS BIGINT) AS tyre_life, CASE WHEN vec_id % 7 = 0 THEN 'HARD' ELSE 'SOFT' END AS compound, CASE WHEN vec_id % 11 = 0 THEN '4' ELSE '1' END AS track_status, 80 + (vec_id * 37) % 101 / 10.0 AS lap_time_sec, embedding
+FROM embeddings"""
+
+VIEWS = {"b_laps0": _LAPS0, "b_laps1": _LAPS1, "b_laps": LAPS, "b_timed": TIMED, "b_ticks": TICKS, "b_edges": EDGES, "b_season_edges": SEASON_EDGES, "b_traces": TRACES}
+_NEEDS = {"b_laps": ("b_laps0", "b_laps1", "b_laps"), "b_timed": ("b_laps0", "b_laps1", "b_laps", "b_timed"), "b_ticks": ("b_ticks",), "b_edges": ("b_edges",), "b_season_edges": ("b_season_edges",), "b_traces": ("b_traces",)}
 
 
 def with_views(sql: str) -> str:
