@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
@@ -196,26 +194,3 @@ def evidence_summary(parts: dict[str, tuple[DataFrame, Column]], race: list[str]
         one = rows.agg(F.count("*").alias("candidates"), F.count_if(eligible).alias("eligible"), F.count_distinct(F.struct(*race)).alias("races")).select(F.lit(name).alias("name"), "*")
         out = one if out is None else out.unionByName(one)
     return out
-
-
-def sequence_matches(truth: DataFrame, found: DataFrame, group: list[str], label: str, at: str, within: int) -> DataFrame:
-    """matched, truth and found of each group: the most pairs of equal labels, at most ``within`` apart, that keep both orders.
-
-    Alignment is sequential, so a group (a window of one race) is one task: it has to be bounded by nature.
-    """
-    both = truth.select(*group, F.col(label).alias("_l"), F.col(at).cast("double").alias("_at"), F.lit(True).alias("_truth")).unionByName(found.select(*group, F.col(label).alias("_l"), F.col(at).cast("double").alias("_at"), F.lit(False).alias("_truth")))
-    schema = ", ".join([*(f"`{g}` {both.schema[g].dataType.simpleString()}" for g in group), "matched long, truth long, found long"])
-
-    def run(key: tuple, g: pa.Table) -> pa.Table:
-        side = g.column("_truth").to_numpy()
-        label_, place = np.array(g.column("_l").to_pylist()), g.column("_at").to_numpy()
-        a, b = np.flatnonzero(side), np.flatnonzero(~side)
-        a, b = a[np.lexsort((label_[a], place[a]))], b[np.lexsort((label_[b], place[b]))]
-        best = np.zeros(len(b) + 1, np.int64)  # the most pairs with the first j found ones
-        for i in a:
-            ok = (label_[b] == label_[i]) & (np.abs(place[b] - place[i]) <= within)
-            best = np.maximum.accumulate(np.maximum(best, np.concatenate([[0], np.where(ok, best[:-1] + 1, 0)])))
-        row = {n: [k.as_py()] for n, k in zip(group, key, strict=True)} | {"matched": [int(best[-1])], "truth": [len(a)], "found": [len(b)]}
-        return pa.table(row).cast(pa.schema([*(g.schema.field(n) for n in group), *(pa.field(n, pa.int64()) for n in ("matched", "truth", "found"))]))
-
-    return both.groupBy(*group).applyInArrow(run, schema)

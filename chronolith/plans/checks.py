@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.window import Window
 
 from chronolith.functions import columns as C
-from chronolith.operators import evidence as E, joins as J, quality as Q, robust as R, windows as W
+from chronolith.operators import evidence as E, joins as J, quality as Q, robust as R, sequences as SQ, windows as W
 from chronolith.plans.basics import laps
 from chronolith.plans.bindings import table, view
 from chronolith.plans.registry import query
@@ -129,20 +129,32 @@ def dq17_reference_cases(spark: S, d: str) -> DataFrame:
     return Q.validated(cases, rows.select(*DRIVER).distinct(), rows.where("track_status = '4'").select(*DRIVER, "lap_number"), DRIVER, "lap", "lap_number", 1).select("driver_id", "round", "covered", "matched")
 
 
-@query(None)
+def _matching_sql(by: list[str], truth: str, found: str) -> str:
+    """Counts by levels: the pairs that can be the k-th of a chain; the last level that has one is the most."""
+    keys, same = ", ".join(by), lambda a, b: " AND ".join(f"{a}.{c} = {b}.{c}" for c in by)
+    return (
+        f"WITH RECURSIVE tr AS (SELECT {keys}, driver_id AS label, lap_number AS at FROM b_laps WHERE {truth}), fo AS (SELECT {keys}, driver_id AS label, lap_number AS at FROM b_laps WHERE {found}), "
+        f"ca AS MATERIALIZED (SELECT {', '.join('tr.' + c for c in by)}, tr.at * 1000000 + tr.label AS i, fo.at * 1000000 + fo.label AS j FROM tr JOIN fo ON {same('tr', 'fo')} AND tr.label = fo.label AND abs(tr.at - fo.at) <= 1), "
+        f"lv AS (SELECT *, 1 AS k FROM ca UNION ALL SELECT DISTINCT c.*, lv.k + 1 FROM lv JOIN ca c ON {same('c', 'lv')} AND c.i > lv.i AND c.j > lv.j), "
+        f"m AS (SELECT {keys}, max(k) AS matched FROM lv GROUP BY ALL), n AS (SELECT {keys}, count(*) FILTER (s = 0) AS truth, count(*) FILTER (s = 1) AS found FROM (SELECT *, 0 AS s FROM tr UNION ALL SELECT *, 1 FROM fo) GROUP BY ALL), "
+        f"r AS (SELECT n.*, CAST(coalesce(matched, 0) AS BIGINT) AS matched FROM n LEFT JOIN m USING ({keys})) "
+    )
+
+
+@query(_matching_sql(RACE, "speed >= 45", "lap_time_sec >= 86") + "SELECT season, CAST(sum(matched) AS BIGINT) AS matched, CAST(sum(truth) AS BIGINT) AS truth, CAST(sum(found) AS BIGINT) AS found FROM r GROUP BY 1")
 def dq18_pass_windows(spark: S, d: str) -> DataFrame:
     rows = laps(spark, d)
     truth = rows.where("speed >= 45").select(*RACE, "driver_id", F.col("lap_number").alias("at"))
     found = rows.where("lap_time_sec >= 86").select(*RACE, "driver_id", F.col("lap_number").alias("at"))
-    return E.sequence_matches(truth, found, [*RACE], "driver_id", "at", 1).groupBy("season").agg(F.sum("matched").alias("matched"), F.sum("truth").alias("truth"), F.sum("found").alias("found"))
+    return SQ.sequence_matches(truth, found, [*RACE], "driver_id", "at", 1).groupBy("season").agg(F.sum("matched").alias("matched"), F.sum("truth").alias("truth"), F.sum("found").alias("found"))
 
 
-@query(None)
+@query(_matching_sql([*RACE, "team"], "track_status = '4'", "lap_time_sec >= 85") + "SELECT season, round, team, matched, truth, found FROM r")
 def jn28_sequence_matching(spark: S, d: str) -> DataFrame:
     rows = laps(spark, d)
     truth = rows.where("track_status = '4'").select(*RACE, "team", "driver_id", F.col("lap_number").alias("at"))
     found = rows.where("lap_time_sec >= 85").select(*RACE, "team", "driver_id", F.col("lap_number").alias("at"))
-    return E.sequence_matches(truth, found, [*RACE, "team"], "driver_id", "at", 1)
+    return SQ.sequence_matches(truth, found, [*RACE, "team"], "driver_id", "at", 1)
 
 
 @query(

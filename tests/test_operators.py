@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from chronolith.functions import columns as C
-from chronolith.operators import bootstrap as B, evidence as E, graph as G, joins as J, neutral as NE, quality as Q, replay as RP, resample as RS, robust as R, windows as W
+from chronolith.operators import bootstrap as B, evidence as E, graph as G, joins as J, neutral as NE, quality as Q, replay as RP, resample as RS, robust as R, sequences as SQ, windows as W
 from chronolith.sources import bundles as BU, partitions as P
 from chronolith.streaming import twins
 
@@ -121,7 +121,7 @@ def test_sequence_matches_are_the_most(spark):
                 fits = p[1] == q[1] and abs(p[2] - q[2]) <= 2
                 best[i + 1][j + 1] = max(best[i][j + 1], best[i + 1][j], best[i][j] + 1 if fits else 0)
         frames = [spark.createDataFrame(r, "g long, l string, at long") for r in (a, b)]
-        got = [tuple(r) for r in E.sequence_matches(*frames, ["g"], "l", "at", 2).collect()]
+        got = [tuple(r) for r in SQ.sequence_matches(*frames, ["g"], "l", "at", 2).collect()]
         assert got == ([(1, best[-1][-1], len(a), len(b))] if a or b else [])
 
 
