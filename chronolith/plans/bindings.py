@@ -39,9 +39,14 @@ TRACES = """
 SELECT CAST(floor(vec_id / 500) AS BIGINT) AS season, CAST(label AS BIGINT) AS round, CAST(floor((vec_id % 20) / 2) AS BIGINT) AS team, vec_id % 20 AS driver_id, CAST(floor((vec_id % 500) / 20) + 1 AS BIGINT) AS lap_number,
   CAST(floor((vec_id % 500) / 20) % 8 + 1 AS BIGINT) AS tyre_life, CASE WHEN vec_id % 7 = 0 THEN 'HARD' ELSE 'SOFT' END AS compound, CASE WHEN vec_id % 11 = 0 THEN '4' ELSE '1' END AS track_status, 80 + (vec_id * 37) % 101 / 10.0 AS lap_time_sec, embedding
 FROM embeddings"""
+#: Four fixes a lap on a square; some repeat the one before, some are lost, and so are whole laps of them.
+FIXES = """
+SELECT season, round, driver_id, start_ms + CAST(floor(k * lap_ms / 4) AS BIGINT) AS t, CASE q WHEN 0 THEN 1000.0 WHEN 2 THEN -1000.0 ELSE 0.0 END AS x, CASE q WHEN 1 THEN 1000.0 WHEN 3 THEN -1000.0 ELSE 0.0 END AS y
+FROM (SELECT season, round, driver_id, lap_number, start_ms, lap_ms, k, CASE WHEN k = 1 AND (driver_id + lap_number) % 5 = 0 THEN 0 ELSE k END AS q FROM b_timed CROSS JOIN (VALUES (0), (1), (2), (3)) AS v(k))
+WHERE (driver_id * 13 + lap_number * 4 + k) % 9 <> 0 AND (driver_id + lap_number) % 11 <> 0"""
 
-VIEWS = {"b_laps0": _LAPS0, "b_laps1": _LAPS1, "b_laps": LAPS, "b_timed": TIMED, "b_ticks": TICKS, "b_edges": EDGES, "b_season_edges": SEASON_EDGES, "b_traces": TRACES}
-_NEEDS = {"b_laps": ("b_laps0", "b_laps1", "b_laps"), "b_timed": ("b_laps0", "b_laps1", "b_laps", "b_timed"), "b_ticks": ("b_ticks",), "b_edges": ("b_edges",), "b_season_edges": ("b_season_edges",), "b_traces": ("b_traces",)}
+VIEWS = {"b_laps0": _LAPS0, "b_laps1": _LAPS1, "b_laps": LAPS, "b_timed": TIMED, "b_ticks": TICKS, "b_edges": EDGES, "b_season_edges": SEASON_EDGES, "b_traces": TRACES, "b_fixes": FIXES}
+_NEEDS = {"b_laps": ("b_laps0", "b_laps1", "b_laps"), "b_timed": ("b_laps0", "b_laps1", "b_laps", "b_timed"), "b_ticks": ("b_ticks",), "b_edges": ("b_edges",), "b_season_edges": ("b_season_edges",), "b_traces": ("b_traces",), "b_fixes": ("b_laps0", "b_laps1", "b_laps", "b_timed", "b_fixes")}
 
 
 def with_views(sql: str) -> str:

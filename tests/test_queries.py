@@ -6,7 +6,7 @@ import os
 import duckdb
 import pytest
 
-from chronolith.plans import basics, checks, contests, lake, marts, neutral, pass_windows, pits, ratings, replays, reports, serving, small, stop_timing, streams, technique, traces  # noqa: F401
+from chronolith.plans import basics, checks, contests, lake, marts, neutral, pass_windows, pits, ratings, replay_frames, replays, reports, serving, small, stop_timing, streams, technique, traces  # noqa: F401
 from chronolith.plans.registry import ORACLE, QUERIES
 
 SF = "/root/testdata/sf0.001"
