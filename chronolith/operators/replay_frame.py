@@ -139,12 +139,16 @@ def overlaid(ticks: DataFrame, recorded: DataFrame, intervals: DataFrame, roster
 
 
 def frame(samples: DataFrame, laps: DataFrame, recorded: DataFrame, intervals: DataFrame, race: list[str], entity: str, step: int, state: list[str], *, least: float = 0.9, eps: float = 1.0, max_gap: float = 10_000, buffer: int = 30_000, linger: int = 60_000, max_age: int = 10_000) -> DataFrame:
-    """A row a car and tick of the races that pass the gate: x, y, lap, inside, ``state``, place, gap, ahead, and source and time of observation of place and gap."""
-    good = gate(samples, laps, race, entity, least)
+    """A row a car and tick of the races that pass the gate: x, y, lap, inside, ``state``, place, gap, ahead, and source and time of observation of place and gap.
+
+    Ticks and the estimate are read several times, so they are checkpointed; inputs are read several times too, so what
+    is dear to derive should be checkpointed before.
+    """
+    good = gate(samples, laps, race, entity, least).checkpoint()
     laps, samples = laps.join(good, race, "left_semi"), samples.join(good, race, "left_semi")
     by = [*race, entity]
     ends = laps.groupBy(*by).agg(F.max("end_ms").alias("finish"))
     at = on_ticks(anchored(samples, by, eps), ends, by, step, buffer, linger, max_gap)
-    ticks = at.join(lap_state(laps, race, entity, step, state), [*by, "t"], "left")
-    out = overlaid(estimated(ticks, race, entity), recorded, intervals, samples, race, entity, max_age)
+    ticks = at.join(lap_state(laps, race, entity, step, state), [*by, "t"], "left").checkpoint()
+    out = overlaid(estimated(ticks, race, entity).checkpoint(), recorded, intervals, samples, race, entity, max_age)
     return out.select(*by, "t", "x", "y", "lap", "inside", *state, "place", "gap", "ahead", "place_source", "place_seen", "gap_source", "gap_seen")

@@ -64,12 +64,12 @@ _RECORDED = (
 )
 def ca37_replay_frame(spark: S, d: str) -> DataFrame:
     """Gate, supported positions, lap state, estimated order and gaps, recorded order and gaps with their sources."""
-    laps, fixes = timed(spark, d), view(spark, d, "b_fixes")
+    laps, fixes = timed(spark, d).checkpoint(), view(spark, d, "b_fixes").checkpoint()
     state = RF.lap_state(laps, RACE, "driver_id", STEP, []).join(RF.gate(fixes, laps, RACE, "driver_id", LEAST), RACE, "left_semi").join(fixes.select(*CAR).distinct(), CAR, "left_semi")
     tick = Window.partitionBy(*RACE, "t")
     order = tick.orderBy(F.round("progress", 9).desc(), "finish", "driver_id")
     to = lambda c: F.round(c * 90, 3) * 1000
-    feed = state.select(*CAR, "t", F.row_number().over(order).cast("long").alias("position"), to(F.max("progress").over(tick) - F.col("progress")).alias("gap_leader"), to(F.coalesce(F.lag("progress").over(order) - F.col("progress"), F.lit(0.0))).alias("gap_ahead"))
+    feed = state.select(*CAR, "t", F.row_number().over(order).cast("long").alias("position"), to(F.max("progress").over(tick) - F.col("progress")).alias("gap_leader"), to(F.coalesce(F.lag("progress").over(order) - F.col("progress"), F.lit(0.0))).alias("gap_ahead")).checkpoint()
     out = RF.frame(fixes, laps, feed.where(F.expr(_ORDER)).select(*CAR, "t", "position"), feed.where(F.expr(_GAP)).select(*CAR, "t", "gap_leader", "gap_ahead"), RACE, "driver_id", STEP, ["stint", "compound", "tyre_life"], least=LEAST, max_gap=MAX_GAP, buffer=BUFFER, linger=LINGER, max_age=MAX_AGE)
     second = lambda c: F.round(F.col(c) / 1000, 3).alias(c)
     return out.select(*CAR, "t", F.round("x", 3).alias("x"), F.round("y", 3).alias("y"), "lap", r6("inside").alias("inside"), "stint", "compound", "tyre_life", "place", second("gap"), second("ahead"), "place_source", "place_seen", "gap_source", "gap_seen")
