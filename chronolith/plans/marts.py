@@ -8,7 +8,7 @@ from chronolith.functions import columns as C
 from chronolith.operators import joins as J, quality as Q, resample as RS, robust as R, windows as W
 from chronolith.plans.basics import laps, mid_stint
 from chronolith.plans.bindings import table, view
-from chronolith.plans.registry import query
+from chronolith.plans.registry import ORACLE, query
 from chronolith.sources import partitions as P
 
 S = SparkSession
@@ -108,12 +108,17 @@ def dq01_rules(spark: S, d: str) -> DataFrame:
     )
 
 
-@query("SELECT 'antisymmetric' AS rule, CAST(0 AS BIGINT) AS violations")
+@query(
+    "SELECT 'antisymmetric' AS rule, count(*) AS violations FROM (SELECT season, round, team, least(driver_id, other_driver_id) AS x, greatest(driver_id, other_driver_id) AS y, sum(pace_gap) AS s, count(DISTINCT driver_id) AS n "
+    f"FROM ({ORACLE['ca02_race_gaps']}) GROUP BY ALL) WHERE abs(s) > 1e-5 OR n <> 2"
+)
 def dq02_antisymmetry(spark: S, d: str) -> DataFrame:
     return Q.antisymmetric(ca02_race_gaps(spark, d), ["season", "round", "team"], "driver_id", "other_driver_id", "pace_gap", 1e-5)
 
 
-@query("SELECT count(*) FILTER (o_orderstatus = 'P') AS removed, CAST(0 AS BIGINT) AS added FROM orders")
+@query(
+    "WITH r AS (SELECT * FROM orders WHERE o_orderstatus <> 'P') SELECT (SELECT count(*) FROM (SELECT * FROM orders EXCEPT ALL SELECT * FROM r)) AS removed, (SELECT count(*) FROM (SELECT * FROM r EXCEPT ALL SELECT * FROM orders)) AS added"
+)
 def dq08_table_diff(spark: S, d: str) -> DataFrame:
     o = table(spark, d, "orders")
     return Q.table_diff(o, o.where("o_orderstatus <> 'P'"))

@@ -518,7 +518,7 @@ def sc07_iso_time(spark: S, d: str) -> DataFrame:
 
 @query(
     "WITH m AS (SELECT max(CAST(o_orderdate AS DATE)) AS now FROM orders) SELECT o_custkey, CAST(date_diff('day', max(CAST(o_orderdate AS DATE)), max(now)) AS INTEGER) AS age, CASE WHEN date_diff('day', max(CAST(o_orderdate AS DATE)), max(now)) <= 30 THEN 'fresh' WHEN date_diff('day', max(CAST(o_orderdate AS DATE)), max(now)) <= 180 THEN 'ageing' ELSE 'stale' END AS label, "
-    "true AS in_the_past FROM orders, m GROUP BY o_custkey"
+    "max(CAST(o_orderdate AS DATE)) < current_date AS in_the_past FROM orders, m GROUP BY o_custkey"
 )
 def sc08_freshness(spark: S, d: str) -> DataFrame:
     o = table(spark, d, "orders").select("o_custkey", F.to_date("o_orderdate").alias("day"))
