@@ -110,3 +110,19 @@ def elapsed(points: DataFrame, lap: list[str], x: str, speed: str, out: str) ->
     w = Window.partitionBy(*lap).orderBy(x)
     t = F.coalesce(interval_time(F.col(x), F.lag(x).over(w), F.col(speed), F.lag(speed).over(w)), F.lit(0.0))
     return points.withColumn("_t", t).withColumn(out, F.sum("_t").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_t")
+
+
+def best_loop(points: DataFrame, race: list[str], lap: list[str], order: str, x: str, y: str, full: int) -> DataFrame:
+    """Points of each race's best lap with step and length: the least widest step plus closure (first to last point) plus the share of ``full`` points that is missing.
+
+    ``lap`` are the columns that name a lap inside a race; ties go to the first of them. Laps of one point are none.
+    """
+    w = Window.partitionBy(*race, *lap).orderBy(order)
+    s = points.where(F.col(x).isNotNull() & F.col(y).isNotNull()).withColumn("step", F.hypot(F.col(x) - F.lag(x).over(w), F.col(y) - F.lag(y).over(w)))
+    first, last = F.min_by(F.struct(x, y), order), F.max_by(F.struct(x, y), order)
+    q = s.groupBy(*race, *lap).agg(F.max("step").alias("_w"), first.alias("_f"), last.alias("_l"), F.count("*").alias("_n")).where("_n > 1")
+    closure = F.hypot(F.col(f"_l.{x}") - F.col(f"_f.{x}"), F.col(f"_l.{y}") - F.col(f"_f.{y}"))
+    score = F.round(F.col("_w") + closure + 1 - F.least(F.lit(1.0), F.col("_n") / full), 9)
+    best = q.groupBy(*race).agg(F.min(F.struct(score.alias("s"), *lap)).alias("_b")).select(*race, *[F.col(f"_b.{c}").alias(c) for c in lap])
+    out = s.join(best, [*race, *lap]).withColumn("step", F.coalesce("step", F.lit(0.0)))
+    return out.withColumn("length", F.sum("step").over(w.rowsBetween(Window.unboundedPreceding, 0)))

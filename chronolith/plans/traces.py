@@ -135,3 +135,18 @@ def ca18_distance_delta(spark: S, d: str) -> DataFrame:
     run = T.elapsed(points(spark, d).where("ok"), LAP, "x", "speed", "t")
     both = T.common(pairs(spark, d), run, KEY, "driver_id", "lap_number", "x", ["t"])
     return both.select(*KEY, "x", r6(F.col("b_t") - F.col("a_t")).alias("delta"))
+
+
+@query(
+    "WITH p AS (SELECT season, round, driver_id, lap_number, i, embedding[2 * i + 1]::DOUBLE AS x, embedding[2 * i + 2]::DOUBLE AS y FROM (SELECT *, unnest(range(0, len(embedding) // 2)) AS i FROM b_traces)), "
+    "s AS (SELECT *, sqrt((x - lag(x) OVER k) ** 2 + (y - lag(y) OVER k) ** 2) AS step FROM p WINDOW k AS (PARTITION BY season, round, driver_id, lap_number ORDER BY i)), "
+    "q AS (SELECT season, round, driver_id, lap_number, round(max(step) + sqrt((arg_max(x, i) - arg_min(x, i)) ** 2 + (arg_max(y, i) - arg_min(y, i)) ** 2) + 1 - least(1, count(*) / 32), 9) AS score FROM s GROUP BY season, round, driver_id, lap_number HAVING count(*) > 1), b AS (SELECT * FROM q QUALIFY row_number() OVER (PARTITION BY season, round ORDER BY score, driver_id, lap_number) = 1) "
+    "SELECT season, round, driver_id, lap_number, i, round(coalesce(step, 0), 6) AS step, round(sum(coalesce(step, 0)) OVER (PARTITION BY season, round ORDER BY i ROWS UNBOUNDED PRECEDING), 6) AS length FROM s SEMI JOIN b USING (season, round, driver_id, lap_number)"
+)
+def ca71_loop(spark: S, d: str) -> DataFrame:
+    """Neighbouring elements of an embedding stand for the x and y of a point."""
+    rows = T.opened(traces(spark, d), LAP, "embedding", 1, "x", {"v": F.col("_v")}).withColumn("i", F.floor(F.col("seq") / 2))
+    side = lambda k: F.max(F.when(F.col("seq") % 2 == k, F.col("v")))
+    points = rows.groupBy("season", "round", "driver_id", "lap_number", "i").agg(side(0).alias("x"), side(1).alias("y"))
+    best = T.best_loop(points, ["season", "round"], ["driver_id", "lap_number"], "i", "x", "y", 32)
+    return best.select("season", "round", "driver_id", "lap_number", "i", r6("step").alias("step"), r6("length").alias("length"))

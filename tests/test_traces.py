@@ -127,3 +127,11 @@ def test_both_ways_and_opened(spark):
     assert sorted(tuple(r) for r in out.collect()) == [(1, 5, 2.0, 6, 3.0), (1, 6, 3.0, 5, 2.0)] and out.columns == ["k", "d", "v", "other_d", "other_v"]
     rows = spark.createDataFrame([(1, [0.5, None]), (2, []), (3, None)], "k long, s array<float>")
     assert [tuple(r) for r in T.opened(rows, ["k"], "s", 25, "x", {"v": 2 * F.col("_v")}).orderBy("x").collect()] == [(1, 0.0, 0, 1.0), (1, 25.0, 1, None)]
+
+
+def test_best_loop_is_closed_complete_and_smooth(spark):
+    square = [(0.0, 0.0), (0.0, 3.0), (4.0, 3.0), (4.0, 0.0), (0.0, 0.5)]
+    rows = [(1, 1, i, x, y) for i, (x, y) in enumerate(square)] + [(1, 2, i, x, y) for i, (x, y) in enumerate(square[:4])] + [(1, 3, i, x, y) for i, (x, y) in enumerate(square)] + [(1, 0, 0, 0.0, 0.0), (1, 0, 1, None, 0.0), (2, 1, 0, 1.0, 1.0)]
+    out = T.best_loop(spark.createDataFrame(rows, "g long, lap long, i long, x double, y double"), ["g"], ["lap"], "i", "x", "y", 5).orderBy("i").collect()
+    assert [(r["g"], r["lap"], r["i"]) for r in out] == [(1, 1, i) for i in range(5)]
+    assert close(out[-1]["length"], 10 + math.hypot(4, 0.5)) and out[0]["step"] == 0
