@@ -140,7 +140,7 @@ _SNAP = "FROM (SELECT event_id, day, t_s AS at FROM b_ticks WHERE event_type = '
 
 
 @query(
-    f"SELECT e.event_id, s.user_id, arg_max(s.value, s.t_s) FILTER (s.t_s <= e.at) AS before, arg_min(s.value, s.t_s) FILTER (s.t_s >= e.at) AS after {_SNAP} GROUP BY e.event_id, s.user_id"
+    f"SELECT e.event_id, s.user_id, last(s.value ORDER BY s.t_s, s.value NULLS FIRST) FILTER (s.t_s <= e.at) AS before, first(s.value ORDER BY s.t_s, s.value NULLS FIRST) FILTER (s.t_s >= e.at) AS after {_SNAP} GROUP BY e.event_id, s.user_id"
 )
 def jn17_snapshot(spark: S, d: str) -> DataFrame:
     t = view(spark, d, "b_ticks")
