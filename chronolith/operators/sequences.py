@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
+from chronolith.operators import runs
+
 
 def _numbered(events: DataFrame, group: list[str], label: str, at: str, ties: list[str]) -> DataFrame:
     """group, _l, _at and _k: an event's number among those of its group and place."""
@@ -38,20 +40,40 @@ def pieces(pairs: DataFrame, group: list[str]) -> DataFrame:
     return pairs.withColumns({"_lo": lo, "_hi": hi}).join(spans, [*group, "_lo", "_hi"]).drop("_lo", "_hi")
 
 
-def _longest(rows: np.ndarray, cols: np.ndarray) -> list[int]:
-    """Indices of the pairs of a longest chain that rises in both; the earliest column and then the earliest row at each step."""
+def _longest(group: np.ndarray, rows: np.ndarray, cols: np.ndarray) -> np.ndarray:
+    """Indices of the pairs of a longest chain of each group that rises in both; the earliest column and then the earliest row at each step."""
+    g, r, c = group.tolist(), rows.tolist(), cols.tolist()
+    rest = [1] * len(g)  # pairs of the longest chain that starts at a pair
+    most: dict[int, int] = {}
     tails: list[int] = []
-    rest = np.empty(len(rows), np.int64)  # pairs of the longest chain that starts at a pair
-    for c in np.lexsort((cols, -rows)).tolist():
-        at = bisect_left(tails, -cols[c])
-        tails[at : at + 1] = [-cols[c]]
-        rest[c] = at + 1
+    last = None
+    for i in np.lexsort((cols, -rows, group)).tolist():
+        if g[i] != last:
+            tails, last = [], g[i]
+        at = bisect_left(tails, -c[i])
+        tails[at : at + 1] = [-c[i]]
+        rest[i] = at + 1
+        most[last] = len(tails)
     out: list[int] = []
-    left, row, col = len(tails), -1, -1
-    for c in np.lexsort((rows, cols)).tolist():
-        if rest[c] == left and rows[c] > row and cols[c] > col:
-            out.append(c)
-            left, row, col = left - 1, rows[c], cols[c]
+    left, row, col, last = 0, -1, -1, None
+    for i in np.lexsort((rows, cols, group)).tolist():
+        if g[i] != last:
+            last = g[i]
+            left, row, col = most[last], -1, -1
+        if rest[i] == left and r[i] > row and c[i] > col:
+            out.append(i)
+            left, row, col = left - 1, r[i], c[i]
+    return np.array(out, np.int64)
+
+
+def _places(group: np.ndarray, at: np.ndarray, k: np.ndarray) -> np.ndarray:
+    """Numbers that rise with group, at and k, and are equal only where all of these are."""
+    order = np.lexsort((k, at, group))
+    new = np.zeros(len(order), bool)
+    for x in (group[order], at[order], k[order]):
+        new[1:] |= x[1:] != x[:-1]
+    out = np.empty(len(order), np.int64)
+    out[order] = np.cumsum(new)
     return out
 
 
@@ -60,15 +82,20 @@ def matched(truth: DataFrame, found: DataFrame, group: list[str], label: str, at
 
     Both sides are ordered by ``at`` and then ``ties`` (the label, unless given). Of several largest sets the one with the
     earliest found event, then the earliest true event, at each pair is taken. Events without a group, label or place match
-    nothing. A task holds the pairs of one piece (events between two places that no pair crosses), in time n log n.
+    nothing. A task holds the pairs of one piece (events between two places that no pair crosses), in time n log n; small
+    pieces, most of which are one pair, are settled a batch at a time.
     """
     pairs = pieces(candidates(truth, found, group, label, at, within, ties), group)
-    order = lambda g, a, k: np.unique(np.stack([g.column(a).to_numpy(), g.column(k).to_numpy().astype(float)], 1), axis=0, return_inverse=True)[1].ravel()
 
-    def run(g: pa.Table) -> pa.Table:
-        return g.take(pa.array(_longest(order(g, "_at", "_k"), order(g, "_found_at", "_found_k")), pa.int64()))
+    def run(batch: pa.RecordBatch, starts: np.ndarray) -> np.ndarray:
+        size = np.diff(np.append(starts, batch.num_rows))
+        piece = np.repeat(np.arange(len(starts)), size)
+        many = np.flatnonzero(np.repeat(size > 1, size))
+        values = lambda name: batch.column(name).to_numpy(zero_copy_only=False)[many]
+        picked = _longest(piece[many], _places(piece[many], values("_at"), values("_k")), _places(piece[many], values("_found_at"), values("_found_k")))
+        return np.concatenate([starts[size == 1], many[picked]])
 
-    out = pairs.groupBy(*group, "_piece").applyInArrow(run, pairs.schema)
+    out = runs.applied(pairs, [*group, "_piece"], run)
     return out.select(*group, F.col("_l").alias(label), F.col("_at").cast(truth.schema[at].dataType).alias(at), F.col("_found_at").cast(found.schema[at].dataType).alias("found_at"))
 
 
