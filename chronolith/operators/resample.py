@@ -7,6 +7,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
+from chronolith.operators import runs
+
 
 def grid(samples: DataFrame, by: list[str], t: str, values: list[str], step: int, max_gap: float | None = None) -> DataFrame:
     """Values on the grid of multiples of ``step`` between each entity's first and last sample, linear between neighbours.
@@ -37,28 +39,30 @@ def coverage(samples: DataFrame, by: list[str], t: str, window: float, least: fl
 def drop_jumps(samples: DataFrame, by: list[str], t: str, x: str, y: str, max_speed: float) -> DataFrame:
     """Without (0, 0) sentinels and points that are too fast from the last point kept; a point whose time does not advance stays.
 
-    The comparison with the last *kept* point is sequential, so each group (an entity's session) is one task: it has to be
-    bounded by nature. Points that are near enough to the point before them need no search, so only jumps are walked.
+    The comparison with the last *kept* point is sequential, so each group (an entity's session) is in one task: it has to be
+    bounded by nature. Small groups share a batch. Points that are near enough to the point before them need no search, so only
+    jumps are walked.
     """
 
-    def run(g: pa.Table) -> pa.Table:
-        px, py, at = (g.column(c).to_numpy().astype(float) for c in (x, y, t))
+    def run(batch: pa.RecordBatch, starts: np.ndarray) -> np.ndarray:
+        px, py, at = (batch.column(c).to_numpy(zero_copy_only=False).astype(float) for c in (x, y, t))
+        group = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, batch.num_rows)))
         rows = np.flatnonzero(~((px == 0) & (py == 0)))
-        rows = rows[np.argsort(at[rows], kind="stable")]
-        px, py, at = px[rows], py[rows], at[rows]
+        rows = rows[np.lexsort((at[rows], group[rows]))]
+        px, py, at, group = px[rows], py[rows], at[rows], group[rows]
         stay = np.ones(len(rows), bool)
         fast = lambda i, j: at[j] > at[i] and np.hypot(px[j] - px[i], py[j] - py[i]) > max_speed * (at[j] - at[i])
         with np.errstate(invalid="ignore"):
-            jumps = np.flatnonzero((np.diff(at) > 0) & (np.hypot(np.diff(px), np.diff(py)) > max_speed * np.diff(at))) + 1
+            jumps = np.flatnonzero((np.diff(group) == 0) & (np.diff(at) > 0) & (np.hypot(np.diff(px), np.diff(py)) > max_speed * np.diff(at))) + 1
         done = 0
         for j in jumps.tolist():
             if j < done:
                 continue
             last = j - 1  # kept: the points since the jump before it are near to one another
-            while j < len(rows) and fast(last, j):
+            while j < len(rows) and group[j] == group[last] and fast(last, j):
                 stay[j] = False
                 j += 1
             done = j + 1
-        return g.take(pa.array(rows[stay]))
+        return rows[stay]
 
-    return samples.groupBy(*by).applyInArrow(run, samples.schema)
+    return runs.applied(samples, by, run)
