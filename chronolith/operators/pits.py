@@ -47,12 +47,13 @@ def warm_up(rows: DataFrame, lines: DataFrame, group: list[str], order: str, age
 def undercuts(stops: DataFrame, race: list[str], entity: str, number: str, t: str, within: int, ranks: int) -> DataFrame:
     """Pairs of stops of one number at most ``within`` apart of entities at most ``ranks`` places apart before them: first, second, lead, lead_after, outcome.
 
-    Stops meet in buckets of ``within``.
+    Stops meet by the places they may have, in buckets of ``within``: as an entity has its place alone, a stop meets a few others.
     """
     bucket = F.floor(F.col(t) / within)
-    a, b = stops.withColumn("_b", F.explode(F.array(bucket, bucket + 1))).alias("a"), stops.withColumn("_b", bucket).alias("b")
+    a = stops.withColumn("_b", F.explode(F.array(bucket, bucket + 1))).withColumn("_p", F.explode(F.sequence(F.col("before") - ranks, F.col("before") + ranks))).alias("a")
+    b = stops.withColumns({"_b": bucket, "_p": F.col("before")}).alias("b")
     wait = F.col(f"b.{t}") - F.col(f"a.{t}")
-    on = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in (*race, number, "_b")] + [F.col(f"a.{entity}") != F.col(f"b.{entity}"), wait > 0, wait <= within, F.abs(F.col("a.before") - F.col("b.before")) <= ranks]
+    on = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in (*race, number, "_b", "_p")] + [F.col(f"a.{entity}") != F.col(f"b.{entity}"), wait > 0, wait <= within]
     before, after = F.col("b.before") - F.col("a.before"), F.col("b.after") - F.col("a.after")
     outcome = F.when((before < 0) & (after > 0), "undercut").when((before > 0) & (after < 0), "overcut").otherwise("unchanged")
     return a.join(b, on).select(*[F.col(f"a.{c}") for c in (*race, number)], F.col(f"a.{entity}").alias("first"), F.col(f"b.{entity}").alias("second"), before.alias("lead"), after.alias("lead_after"), outcome.alias("outcome"))
