@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.window import Window
 
 from chronolith.functions import columns as C
-from chronolith.operators import joins as J, resample as RS, windows as W
+from chronolith.operators import evidence as E, joins as J, resample as RS, windows as W
 from chronolith.plans.basics import laps
 from chronolith.plans.bindings import table, view
 from chronolith.plans.registry import query
@@ -45,7 +45,7 @@ def ca07_weather_slope(spark: S, d: str) -> DataFrame:
     t = timed(spark, d)
     samples = t.where("driver_id = 0").select(*RACE, F.col("start_ms").alias("at"), (F.col("track_status") == "4").alias("rain"), (F.col("lap_ms") >= 84000).alias("hot"))
     spans = t.where("track_status = '1'").select(*LAP, "compound", "tyre_life", "lap_ms", "start_ms", "end_ms")
-    met = J.interval(samples, spans, RACE, "at", "start_ms", "end_ms", 90000)
+    met = J.interval(F.broadcast(samples), spans, RACE, "at", "start_ms", "end_ms", 90000)  # one driver's laps, whatever the field
     seen = met.groupBy(*LAP, "compound", "tyre_life", (F.col("lap_ms") / 1000).alias("y")).agg(F.bool_or("rain").alias("rain"), F.bool_or("hot").alias("hot"))
     bucket = F.when(F.col("rain"), "wet").when(F.col("hot"), "hot").otherwise("cool")
     return seen.groupBy("season", "compound", bucket.alias("bucket")).agg(F.count("*").alias("n"), r6(F.regr_slope("y", "tyre_life")).alias("slope")).where("n >= 8")
@@ -337,7 +337,7 @@ def ca76_stop_summary(spark: S, d: str) -> DataFrame:
 )
 def ca77_order_audit(spark: S, d: str) -> DataFrame:
     t = timed(spark, d)
-    spans = t.where("tyre_life = 1 and stint > 1").select(*DRIVER, F.col("start_ms").alias("at"), (F.col("start_ms") - 1000).alias("a"), (F.col("start_ms") + 6000).alias("z"))
+    stops = t.where("tyre_life = 1 and stint > 1").select(*DRIVER, F.col("start_ms").alias("at"))
     status = F.when(F.col("track_status") == "4", "stale").when(F.col("speed") < 10, "missing").otherwise("fresh")
-    s = J.interval(t.select(*RACE, "end_ms", status.alias("status")), spans, RACE, "end_ms", "a", "z", 10000, closed=True)
-    return s.groupBy(*RACE, "status").agg(F.count("*").alias("samples"), F.count_if(F.col("end_ms") < F.col("at")).alias("before"), F.count_distinct("driver_id").alias("transitions"))
+    s = E.counted_near(t.select(*RACE, "end_ms", status.alias("status")), stops, RACE, "end_ms", "status", "at", 1000, 6000, ["fresh", "stale", "missing"])
+    return s.groupBy(*RACE, "status").agg(F.sum("samples").alias("samples"), F.sum("before").alias("before"), F.count_distinct("driver_id").alias("transitions"))
