@@ -5,6 +5,8 @@ Laps carry ``lap_number``, ``lap_ms``, ``start_ms``, ``end_ms``; ``race`` are th
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
@@ -42,42 +44,48 @@ def activity(laps: DataFrame, race: list[str], entity: str, buffer: int, linger:
 
 
 def leader_gap(ticks: DataFrame, race: list[str], t: str = "t", progress: str = "progress") -> DataFrame:
-    """Adds gap: time since the leading edge of the field first reached the row's progress, linear between the edge's ticks."""
-    edge = ticks.groupBy(*race, t).agg(F.max(progress).alias("_p"))
-    edge = edge.withColumn(progress, F.max("_p").over(Window.partitionBy(*race).orderBy(t).rowsBetween(Window.unboundedPreceding, 0)))
-    levels = edge.groupBy(*race, progress).agg(F.min(t).alias("_first"))
-    return J.bracketed(ticks, levels, race, progress, ["_first"]).withColumn("gap", F.col(t) - F.col("_first")).drop("_first")
+    """Adds gap: time since the leading edge of the field first reached the row's progress, linear between the edge's ticks.
+
+    The edge has at most a row a tick of a race, whatever the field: it is broadcast, as its stretches between levels, to
+    the laps that a stretch meets. So no race is sorted, and rows stay where they are.
+    """
+    edge = ticks.groupBy(*race, t).agg(F.max(progress).cast("double").alias("_p"))
+    clock = Window.partitionBy(*race).orderBy(t).rowsBetween(Window.unboundedPreceding, 0)
+    levels = edge.withColumn("_a", F.max("_p").over(clock)).where("_a is not null").groupBy(*race, "_a").agg(F.min(t).cast("double").alias("_first"))
+    by_level = Window.partitionBy(*race).orderBy("_a")
+    spans = levels.withColumns({"_b": F.lead("_a").over(by_level), "_next": F.lead("_first").over(by_level)})
+    spans = spans.withColumn("_bucket", F.explode(F.sequence(F.floor("_a"), F.floor(F.coalesce("_b", "_a")))))
+    x = F.col(f"l.{progress}").cast("double")
+    on = [F.col(f"l.{c}") == F.col(f"r.{c}") for c in race] + [F.floor(x) == F.col("r._bucket"), (x == F.col("r._a")) | ((x > F.col("r._a")) & (x < F.col("r._b")))]
+    met = ticks.alias("l").join(F.broadcast(spans).alias("r"), on, "left")
+    reached = F.when(x == F.col("r._a"), F.col("r._first")).otherwise(F.col("r._first") + F.try_divide(x - F.col("r._a"), F.col("r._b") - F.col("r._a")) * (F.col("r._next") - F.col("r._first")))
+    return met.select("l.*", (F.col(f"l.{t}") - reached).alias("gap"))
 
 
 def overlaid(ticks: DataFrame, recorded: DataFrame, race: list[str], entity: str, t: str, estimate: str, position: str, age: float) -> DataFrame:
     """Adds place and source: the recorded positions where every car of a tick has one that is fresh and they are 1..N, else the estimate."""
     held = J.asof(ticks, recorded.select(*race, entity, t, position), [*race, entity], t, [position], max_age=age)
-    tick = Window.partitionBy(*race, t)
-    whole = (F.count(position).over(tick) == F.count(F.lit(1)).over(tick)) & (F.size(F.collect_set(position).over(tick)) == F.count(F.lit(1)).over(tick)) & (F.max(position).over(tick) == F.count(F.lit(1)).over(tick))
-    return held.withColumns({"place": F.when(whole, F.col(position)).otherwise(F.col(estimate)), "source": F.when(whole, "recorded").otherwise("estimate")})
+    # positions are counted by tick and position first, so a tick's set is never held, in its rows or anywhere
+    counts = held.groupBy(*race, t, position).agg(F.count("*").alias("_n")).groupBy(*race, t).agg(F.sum("_n").alias("_n"), F.count(position).alias("_kinds"), F.max(position).alias("_most"))
+    wholes = counts.where((F.col("_kinds") == F.col("_n")) & (F.col("_most") == F.col("_n"))).select(*race, t, F.lit(True).alias("_whole"))  # at most a row a tick
+    out = held.join(F.broadcast(wholes), [*race, t], "left")
+    whole = F.col("_whole").isNotNull()
+    return out.withColumns({"place": F.when(whole, F.col(position)).otherwise(F.col(estimate)), "source": F.when(whole, "recorded").otherwise("estimate")}).select(*held.columns, "place", "source")
 
 
-def passes(ticks: DataFrame, race: list[str], entity: str, place: str, step: int, near: float, boundary: str) -> DataFrame:
+def passes(ticks: DataFrame, race: list[str], entity: str, place: str, step: int, near: float, boundary: str, deal: Callable[..., DataFrame] = lambda rows, *_: rows) -> DataFrame:
     """race, t, attacker, defender: the car right behind another at t and nearer than ``near`` laps is ahead of it at the next tick and at the one after.
 
-    Neither may change its ``boundary`` (stint) meanwhile. Ticks are joined by equal keys only.
+    Neither may change its ``boundary`` (stint) meanwhile. A car's ticks lie ``step`` apart, or farther where some are lost. Its
+    next two are read in a window of the car, and the car ahead in one of the tick, so nothing is joined. ``deal`` may deal rows
+    by the keys of a window before it.
     """
-    w = Window.partitionBy(*race, "t").orderBy(place)
-    behind = ticks.withColumns({"_d": F.lag(entity).over(w), "_g": F.lag("progress").over(w) - F.col("progress")})
-    tries = behind.where(F.col("_d").isNotNull() & (F.col("_g") < near)).select(*race, "t", F.col(entity).alias("attacker"), F.col("_d").alias("defender"))
-
-    def at(shift: int, who: str) -> DataFrame:
-        return ticks.select(*race, (F.col("t") - shift * step).alias("t"), F.col(entity).alias(who), F.col(place).alias(f"_{who}{shift}"), F.col(boundary).alias(f"_b_{who}{shift}"))
-
-    out = tries
-    for shift in (0, 1, 2):
-        for who in ("attacker", "defender"):
-            out = out.join(at(shift, who), [*race, "t", who])
-    ahead = (F.col("_attacker1") < F.col("_defender1")) & (F.col("_attacker2") < F.col("_defender2"))
-    steady = F.lit(True)
-    for who in ("attacker", "defender"):
-        steady = steady & (F.col(f"_b_{who}0") == F.col(f"_b_{who}1")) & (F.col(f"_b_{who}1") == F.col(f"_b_{who}2"))
-    return out.where(ahead & steady).select(*race, "t", "attacker", "defender")
+    mine, field = Window.partitionBy(*race, entity).orderBy("t"), Window.partitionBy(*race, "t").orderBy(place)
+    after = lambda k, c: F.when(F.lead("t", k).over(mine) == F.col("t") + k * step, F.lead(c, k).over(mine))
+    rows = deal(ticks, *race, entity).select(*race, entity, "t", place, "progress", after(1, place).alias("_p1"), after(2, place).alias("_p2"), ((F.col(boundary) == after(1, boundary)) & (after(1, boundary) == after(2, boundary))).alias("_steady"))
+    pairs = deal(rows, *race, "t").withColumn("_d", F.lag(F.struct(F.col(entity).alias("who"), "progress", "_p1", "_p2", "_steady")).over(field)).where(F.col("_d._steady") & F.col("_steady"))
+    found = pairs.where((F.col("_d.progress") - F.col("progress") < near) & (F.col("_p1") < F.col("_d._p1")) & (F.col("_p2") < F.col("_d._p2")))
+    return found.select(*race, "t", F.col(entity).alias("attacker"), F.col("_d.who").alias("defender"))
 
 
 def battles(rows: DataFrame, race: list[str], entity: str, rival: str, t: str, gap: str, tick: int, contact: float, release: float, patience: int) -> DataFrame:

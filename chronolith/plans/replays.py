@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.window import Window
 
 from chronolith.operators import evidence as E, joins as J, replay as R, resample as RS
-from chronolith.plans.bindings import view
+from chronolith.plans.bindings import dealt, view
 from chronolith.plans.registry import query
 from chronolith.plans.serving import _PLACED, placed, timed
 
@@ -69,8 +71,9 @@ def ca34_leader_gap(spark: S, d: str) -> DataFrame:
 _ORDER = "o AS (SELECT *, CAST(row_number() OVER (PARTITION BY season, round, t ORDER BY round(progress, 9) DESC, driver_id) AS BIGINT) AS place FROM g)"
 
 
-def ordered(ticks: DataFrame) -> DataFrame:
-    return E.dense_order(ticks.withColumn("_p", F.round("progress", 9)), [*RACE, "t"], "_p", ["driver_id"]).drop("_p")
+def ordered(spark: S, d: str) -> DataFrame:
+    """The grid with places; a tick's field is dealt as laps are, to tasks that do not grow with the table."""
+    return E.dense_order(dealt(spark, d, grid(spark, d), *RACE, "t").withColumn("_p", F.round("progress", 9)), [*RACE, "t"], "_p", ["driver_id"]).drop("_p")
 
 
 @query(
@@ -79,7 +82,7 @@ def ordered(ticks: DataFrame) -> DataFrame:
 )
 def ca36_overlay(spark: S, d: str) -> DataFrame:
     recorded = placed(spark, d).select(*RACE, "driver_id", F.col("end_ms").alias("t"), "position")
-    out = R.overlaid(ordered(grid(spark, d)).withColumnRenamed("place", "estimate"), recorded, RACE, "driver_id", "t", "estimate", "position", 100_000)
+    out = R.overlaid(ordered(spark, d).withColumnRenamed("place", "estimate"), recorded, RACE, "driver_id", "t", "estimate", "position", 100_000)
     return out.select(*RACE, "driver_id", "t", "place", "source")
 
 
@@ -90,7 +93,7 @@ def ca36_overlay(spark: S, d: str) -> DataFrame:
 )
 def ca37_replay(spark: S, d: str) -> DataFrame:
     t = timed(spark, d)
-    ticks = R.leader_gap(ordered(grid(spark, d)), RACE)
+    ticks = R.leader_gap(ordered(spark, d), RACE)
     active = ticks.join(R.activity(t, RACE, "driver_id", 30_000, 60_000), [*RACE, "driver_id"]).where("t <= until")
     return active.select(*RACE, "driver_id", "t", "lap", "stint", "compound", r6("progress").alias("progress"), F.round("gap", 3).alias("gap"), "place")
 
@@ -104,7 +107,7 @@ _PASSES = (
 
 
 def passes(spark: S, d: str) -> DataFrame:
-    return R.passes(ordered(grid(spark, d)), RACE, "driver_id", "place", STEP, 0.05, "stint")
+    return R.passes(ordered(spark, d), RACE, "driver_id", "place", STEP, 0.05, "stint", partial(dealt, spark, d))
 
 
 @query(f"WITH {_PASSES} SELECT * FROM p")
@@ -127,8 +130,8 @@ _BATTLES = (
 
 def battles(spark: S, d: str) -> DataFrame:
     w = Window.partitionBy(*RACE, "t").orderBy("place")
-    rows = ordered(grid(spark, d)).withColumns({"rival": F.lag("driver_id").over(w), "near": F.lag("progress").over(w) - F.col("progress")}).where("rival is not null and track_status = '1'")
-    return R.battles(rows.select(*RACE, "driver_id", "rival", "t", "near"), RACE, "driver_id", "rival", "t", "near", STEP, 0.03, 0.06, STEP)
+    rows = ordered(spark, d).withColumns({"rival": F.lag("driver_id").over(w), "near": F.lag("progress").over(w) - F.col("progress")}).where("rival is not null and track_status = '1'")
+    return R.battles(dealt(spark, d, rows.select(*RACE, "driver_id", "rival", "t", "near"), *RACE, "driver_id"), RACE, "driver_id", "rival", "t", "near", STEP, 0.03, 0.06, STEP)
 
 
 @query(f"WITH {_BATTLES} SELECT * FROM e")
