@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
@@ -91,10 +93,11 @@ def either(left: DataFrame, right: DataFrame, keys: list[str], sides: list[tuple
     return rows.join(right, [*keys, *match])
 
 
-def bracketed(left: DataFrame, right: DataFrame, keys: list[str], x: str, values: list[str], widest: float | None = None) -> DataFrame:
+def bracketed(left: DataFrame, right: DataFrame, keys: list[str], x: str, values: list[str], widest: float | None = None, deal: Callable[..., DataFrame] = lambda rows, *_: rows) -> DataFrame:
     """Left rows with ``values`` at ``x``, linear between the right rows (unique by keys and x) before and after; null outside them.
 
-    With ``widest`` a gap that is longer gives null; at a right row's own x its value is taken. One shuffle and two sorts.
+    With ``widest`` a gap that is longer gives null; at a right row's own x its value is taken. One shuffle, which
+    ``deal`` may do, and two sorts.
     """
     names = left.columns
     mine = left.select(*keys, F.col(x).cast("double").alias("_x"), F.struct(*[F.col(c) for c in names]).alias("_l"), *[F.lit(None).cast("double").alias(f"_v_{v}") for v in values])
@@ -102,7 +105,7 @@ def bracketed(left: DataFrame, right: DataFrame, keys: list[str], x: str, values
     knot = F.when(F.col("_l").isNull(), F.struct("_x", *[f"_v_{v}" for v in values]))
     # both frames end at the row and grow with it; one that began there would be read anew for each row
     up, down = (Window.partitionBy(*keys).orderBy(x).rangeBetween(Window.unboundedPreceding, 0) for x in (F.col("_x").asc_nulls_first(), F.col("_x").desc_nulls_last()))
-    near = mine.unionByName(theirs).withColumns({"_a": F.last(knot, ignorenulls=True).over(up), "_b": F.last(knot, ignorenulls=True).over(down)})
+    near = deal(mine.unionByName(theirs), *keys).withColumns({"_a": F.last(knot, ignorenulls=True).over(up), "_b": F.last(knot, ignorenulls=True).over(down)})
     wide = F.col("_b._x") - F.col("_a._x")
     between = F.lit(True) if widest is None else wide <= widest
     out = lambda v: F.when(F.col("_a._x") == F.col("_x"), F.col(f"_a._v_{v}")).when(between, F.col(f"_a._v_{v}") + F.try_divide(F.col("_x") - F.col("_a._x"), wide) * (F.col(f"_b._v_{v}") - F.col(f"_a._v_{v}")))

@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import uuid
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.window import Window
 
 from chronolith.functions import columns as C
-from chronolith.operators import evidence as E, joins as J, quality as Q, robust as R, sequences as SQ, windows as W
+from chronolith.operators import evidence as E, joins as J, quality as Q, replicates as M, robust as R, sequences as SQ, windows as W
 from chronolith.plans.basics import laps
-from chronolith.plans.bindings import table, view
+from chronolith.plans.bindings import dealt, table, view
 from chronolith.plans.registry import query
 from chronolith.plans.replays import _BATTLES, _GRID, battles, grid
 from chronolith.plans.serving import timed
@@ -178,9 +179,10 @@ def dq19_timeline(spark: S, d: str) -> DataFrame:
 )
 def dq20_progress_difference(spark: S, d: str) -> DataFrame:
     t = timed(spark, d)
-    knots = grid(spark, d).select(*DRIVER, "t").union(t.where("lap_number % 3 = 0").select(*DRIVER, F.col("end_ms").alias("t"))).distinct()
+    deal = partial(dealt, spark, d)
+    knots = deal(grid(spark, d).select(*DRIVER, "t").union(t.where("lap_number % 3 = 0").select(*DRIVER, F.col("end_ms").alias("t"))), *DRIVER).distinct()
     curve = t.where("lap_number = 1").select(*DRIVER, F.lit(0).cast("long").alias("t"), F.lit(0.0).alias("p")).unionByName(t.select(*DRIVER, F.col("end_ms").alias("t"), F.col("lap_number").cast("double").alias("p")))
-    x = J.bracketed(J.bracketed(knots, curve, DRIVER, "t", ["p"]), curve.where("p % 2 = 0").withColumnRenamed("p", "q"), DRIVER, "t", ["q"])
+    x = J.bracketed(J.bracketed(knots, curve, DRIVER, "t", ["p"], deal=deal), curve.where("p % 2 = 0").withColumnRenamed("p", "q"), DRIVER, "t", ["q"], deal=deal)
     apart = F.abs(F.col("p") - F.col("q"))
     return x.groupBy(*DRIVER).agg(F.count("*").alias("knots"), F.count("q").alias("compared"), F.round(F.max(apart), 5).alias("worst"), F.round(F.avg(apart), 5).alias("mean"))
 
@@ -206,7 +208,7 @@ def dq22_proved_correction(spark: S, d: str) -> DataFrame:
     "UNION ALL SELECT 'single sample', count(*) FROM e WHERE samples = 1"
 )
 def dq23_episode_invariants(spark: S, d: str) -> DataFrame:
-    e = battles(spark, d)
+    e = M.kept(battles(spark, d), "battles")  # read by every rule
     twice = e.groupBy(*DRIVER, "start").agg(F.count("*").alias("n")).where("n > 1")
     return rules(spark, ("duplicate", twice), ("pressure within length", e.where(F.col("pressure") > F.col("end") - F.col("start"))), ("contacts within samples", e.where("contacts > samples or contacts < 1")), ("owner", e.where("driver_id = rival")), ("single sample", e.where("samples = 1")))
 
