@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from chronolith.operators import sequences as SQ
+from chronolith.operators import joins as J, replay as R, replicates as M, sequences as SQ
+from chronolith.plans.bindings import dealt
 from chronolith.plans.registry import query
-from chronolith.plans.replays import _GRID, STEP, grid
+from chronolith.plans.replays import _GRID, RACE, STEP
 from chronolith.plans.serving import timed
 
 S = SparkSession
@@ -43,18 +44,21 @@ _MISSING = f"CASE WHEN sp.season IS NULL THEN {LAPS} ELSE missing END"
 )
 def dq18_scored_windows(spark: S, d: str) -> DataFrame:
     """A row a window: laps that the anchor's ticks lack, whether both cars' ticks cover it, expected and observed passes, and the matched ones where it is covered."""
-    laps = timed(spark, d)
+    # laps are made once and dealt by their pair, which all windows and groups below keep to
+    laps = dealt(spark, d, M.kept(timed(spark, d).select(*PAIR, "driver_id", "lap_number", "stint", "lap_ms", "start_ms", "end_ms"), "laps"), *PAIR)
     stint = lambda lap: (F.floor((F.col(lap) - 1) / LAPS) + 1).alias("stint")
-    ticks = grid(spark, d).withColumn("team", F.floor(F.col("driver_id") / 2)).where(F.expr(_KEPT)).select(*PAIR, "driver_id", "t", "lap", "progress", stint("lap"))
+    ticks = R.grid(laps, RACE, "driver_id", STEP, ["team"]).where(F.expr(_KEPT)).select(*PAIR, "driver_id", "t", "lap", "progress", stint("lap"))
     anchor, other = F.col("driver_id") % 2 == 0, F.col("driver_id") % 2 == 1
     windows = laps.where(anchor).select(*WINDOW).distinct()
     spans = ticks.where(anchor).groupBy(*WINDOW).agg(F.min("t").alias("start"), F.max("t").alias("stop"), (LAPS - F.count_distinct("lap")).alias("missing_laps"))
-    pair = ticks.select(*PAIR, "driver_id", "t").join(spans.drop("missing_laps"), PAIR)
+    # an anchor's stints follow each other, so a tick lies in the last one that has begun, or in none
+    pair = J.asof(ticks.select(*PAIR, "driver_id", "t"), spans.select(*WINDOW, F.col("start").alias("t"), "start", "stop"), PAIR, "t", ["stint", "start", "stop"])
     cars = SQ.covered(pair, [*WINDOW, "driver_id"], "t", "start", "stop", STEP, 2 * STEP).groupBy(*WINDOW).agg(F.count_if("covered").alias("_cars"))
 
-    ends = laps.where(anchor).select(*PAIR, F.col("lap_number").alias("at"), F.col("end_ms").alias("_a")).join(laps.where(other).select(*PAIR, F.col("lap_number").alias("at"), F.col("end_ms").alias("_b")), [*PAIR, "at"])
+    side = lambda mine, c: F.max(F.when(mine, F.col(c)))  # noqa: E731  a pair has one car of each side
+    ends = laps.groupBy(*PAIR, F.col("lap_number").alias("at")).agg(side(anchor, "end_ms").alias("_a"), side(other, "end_ms").alias("_b")).where("_a is not null and _b is not null")
     truth = SQ.exchanges(ends, PAIR, "at", F.col("_a") < F.col("_b"), "label").select(*PAIR, stint("at"), "label", "at", F.col("at").alias("t"))
-    both = ticks.where(anchor).select(*PAIR, "t", F.col("lap").alias("at"), F.col("progress").alias("_a")).join(ticks.where(other).select(*PAIR, "t", F.col("progress").alias("_b")), [*PAIR, "t"])
+    both = ticks.groupBy(*PAIR, "t").agg(side(anchor, "lap").alias("at"), side(anchor, "progress").alias("_a"), side(other, "progress").alias("_b")).where("_a is not null and _b is not null")
     found = SQ.exchanges(both, PAIR, "t", F.col("_a") > F.col("_b"), "label").select(*PAIR, stint("at"), "label", "at", "t")
     scored = SQ.sequence_matches(truth, found, WINDOW, "label", "at", 1, ties=["t"])
 

@@ -1,8 +1,14 @@
 """Steps that were mended for size: the same rows as the plain way, without its cost."""
 
+import os
 import random
 
+import pytest
+
 from chronolith.operators import stop_timing as T
+from chronolith.plans import pass_windows
+
+SF = "/root/testdata/sf0.001"
 
 
 def test_bootstrapped_equals_decided_refits(spark):
@@ -16,3 +22,9 @@ def test_bootstrapped_equals_decided_refits(spark):
     got = T.bootstrapped(stops, by, samples=40, least=10)
     plain = lambda df: sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in df.select(want.columns).collect())
     assert plain(got) == plain(want) and any(r["eligible"] for r in got.collect())
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no tables")
+def test_scored_windows_make_laps_once(spark):
+    """Laps are numbered and timed once, then read; not once for each of their seven uses."""
+    assert not any("lineitem" in f for f in pass_windows.dq18_scored_windows(spark, SF).inputFiles())
