@@ -70,12 +70,22 @@ def reconcile(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def snapshot(events: DataFrame, samples: DataFrame, keys: list[str], entity: str, t: str, value: str, within: float) -> DataFrame:
-    """Per event (keys, event_id, at) and entity: last value at or before ``at`` and first at or after it, at most ``within`` away; values of one time are ordered, nulls first."""
-    s = samples.select(*keys, entity, F.col(t).alias("_t"), F.col(value).alias("_v")).withColumn("_b", F.explode(F.array(*[F.floor(F.col("_t") / within) + d for d in (-1, 0, 1)])))
-    both = events.withColumn("_b", F.floor(F.col("at") / within)).join(s, [*keys, "_b"]).where(F.abs(F.col("_t") - F.col("at")) <= within)
-    before, after = F.when(F.col("_t") <= F.col("at"), F.struct("_t", "_v")), F.when(F.col("_t") >= F.col("at"), F.struct("_t", "_v"))
-    out = both.groupBy(*keys, "event_id", "at", entity).agg(F.max(before).alias("b"), F.min(after).alias("a"))
-    return out.select(*keys, "event_id", "at", entity, F.col("b._v").alias("before"), F.col("a._v").alias("after"))
+    """Per event (keys, event_id, at) and entity: last value at or before ``at`` and first at or after it, at most ``within`` away; values of one time are ordered, nulls first.
+
+    A sample answers for the times from it to the entity's next one, and before it where the one before is out of reach. So an event
+    meets one row of an entity, and what meets is a result: nothing is grouped or sent after the join.
+    """
+    v, own = F.col("_v"), Window.partitionBy(*keys, entity).orderBy("_t")
+    s = samples.select(*keys, entity, F.col(t).alias("_t"), F.col(value).alias("_v")).where(F.col("_t").isNotNull()).repartition(*keys, entity)
+    s = s.groupBy(*keys, entity, "_t").agg(F.max(v).alias("_last"), F.when(F.count(v) == F.count("*"), F.min(v)).alias("_first"))
+    s = s.withColumns({"_t0": F.lag("_t").over(own), "_t1": F.lead("_t").over(own), "_next": F.lead("_first").over(own), "_b": F.floor(F.col("_t") / within)})
+    near = F.explode(F.array(*[F.floor(F.col("at") / within) + d for d in (-1, 0, 1)]))
+    asked = events.select(*keys, "event_id", "at").distinct().withColumn("_b", near)
+    at, here = F.col("at"), F.col("_t")
+    upto, since = at >= here, at - F.col("_t0") <= within
+    mine = (F.abs(here - at) <= within) & F.when(upto, F.col("_t1").isNull() | (at < F.col("_t1"))).otherwise(F.col("_t0").isNull() | ~since)
+    after = F.when(at <= here, F.col("_first")).when(F.col("_t1") - at <= within, F.col("_next"))
+    return asked.join(s, [*keys, "_b"]).where(mine).select(*keys, "event_id", "at", entity, F.when(upto, F.col("_last")).alias("before"), after.alias("after"))
 
 
 def require_unique(df: DataFrame, keys: list[str]) -> DataFrame:
