@@ -1,8 +1,13 @@
 """Steps that were mended for disk and time in round 4: the same rows as the plain way, without its cost."""
 
+import os
 import random
 
-from chronolith.operators import joins as J
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import functions as F
+
+from chronolith.operators import edge_draws as D, joins as J, replicates as M
 
 
 def shown(df) -> str:
@@ -24,3 +29,30 @@ def test_snapshot_sends_nothing_after_its_join(spark):
             if near:
                 want.append((k, i, at, u, max(before, key=low)[1] if before else None, min(after, key=low)[1] if after else None))
     assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+
+
+def kept_tables(spark) -> set[str]:
+    probe = M.kept(spark.range(1), "probe")
+    M.dropped(probe)
+    return set(os.listdir(os.path.dirname(probe.kept_at.removeprefix("file://").removeprefix("file:"))))
+
+
+def test_a_solve_leaves_its_last_state_only(spark):
+    """Edges, lists and the states of earlier steps are deleted when they are used up; the result can still be read."""
+    before = kept_tables(spark)
+    pairs = spark.createDataFrame([(a, b, float(a - b)) for a in range(12) for b in range(a + 1, 12)], "a long, b long, g double")
+    out = D.bootstrapped(pairs, 20)
+    left = sorted(kept_tables(spark) - before)
+    assert [name.split("-")[-1] for name in left] == ["times"] and out.count() == 12
+    both = pairs.union(pairs.selectExpr("b", "a", "-g")).withColumn("w", F.lit(1.0))
+    before = kept_tables(spark)
+    out = M.solved_together(both, "a", "b", "w", "g", np.array([2.0, 8.0]))
+    assert len(kept_tables(spark) - before) == 1 and out.count() == 12
+
+
+def test_drawn_edges_travel_pressed(spark):
+    """An edge's counts are no row of a byte a replicate: what is dealt by ends are lists under zstd."""
+    rng, many = np.random.default_rng(1), 300
+    counts = rng.poisson(1.0, (40, many)).astype(np.uint8)
+    rows = M.drawn_lists(np.repeat([1, 2], 20), np.arange(40), np.ones(40), [counts], pa.int64())
+    assert rows.num_rows == 2 and sum(len(z.as_py()) for z in rows.column("w0")) < counts.size // 3
