@@ -7,7 +7,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from chronolith.operators import edge_draws as D, joins as J, replicates as M
+from chronolith.operators import contests as K, edge_draws as D, joins as J, replicates as M
 
 
 def shown(df) -> str:
@@ -56,3 +56,12 @@ def test_drawn_edges_travel_pressed(spark):
     counts = rng.poisson(1.0, (40, many)).astype(np.uint8)
     rows = M.drawn_lists(np.repeat([1, 2], 20), np.arange(40), np.ones(40), [counts], pa.int64())
     assert rows.num_rows == 2 and sum(len(z.as_py()) for z in rows.column("w0")) < counts.size // 3
+
+
+def test_exchanges_read_samples_once(spark, tmp_path):
+    """Parts are looked through in one pass whose finds are kept; samples were made anew for each of five joins and windows."""
+    rows = [(1, car, t, (car + t // 10) % 2 + 1, 0.5, 0.0, float(t)) for t in range(40) for car in (0, 1)]
+    spark.createDataFrame(rows, "race long, car long, t long, place long, gap double, x double, y double").write.parquet(f"{tmp_path}/samples")
+    out = K.exchanges(spark.read.parquet(f"{tmp_path}/samples"), ["race"], "car", "t", "place", "gap")
+    assert [(r["t"], r["place"], r["passer"], r["passed"]) for r in out.orderBy("t").collect()] == [(10, 1, 1, 0), (20, 1, 0, 1), (30, 1, 1, 0)]
+    assert not any("samples" in f for f in out.inputFiles())
