@@ -65,3 +65,24 @@ def test_exchanges_read_samples_once(spark, tmp_path):
     out = K.exchanges(spark.read.parquet(f"{tmp_path}/samples"), ["race"], "car", "t", "place", "gap")
     assert [(r["t"], r["place"], r["passer"], r["passed"]) for r in out.orderBy("t").collect()] == [(10, 1, 1, 0), (20, 1, 0, 1), (30, 1, 1, 0)]
     assert not any("samples" in f for f in out.inputFiles())
+
+
+def test_contests_meet_passes_by_their_car(spark):
+    """A car's lists of ticks and its passes meet once: the rows are those of episodes and then their contests, and no episode is dealt anew."""
+    rng, rows = random.Random(9), []
+    for race in (1, 2):
+        order, gap = [0, 1, 2, 3], 0.5
+        for t in range(200):
+            if rng.random() < 0.05:
+                k = rng.randrange(3)
+                order[k], order[k + 1] = order[k + 1], order[k]
+            gap = rng.choice([0.4, 0.9, 1.4, 3.0]) if rng.random() < 0.1 else gap
+            rows += [(race, car, car // 2, t, p + 1, gap if p else None, 2, 0.5 - p / 100, rng.random() > 0.01, rng.random() < 0.01, t // 50) for p, car in enumerate(order) if rng.random() > 0.04]
+    ticks = spark.createDataFrame(rows, "race long, car long, team long, t long, place long, gap double, lap long, inside double, green boolean, pit boolean, part long")
+    passes = spark.createDataFrame([(race, t, a, b, 0.9) for race in (1, 2) for t in range(3, 200, 7) for a, b in ((0, 1), (2, 1))], "race long, t long, passer long, passed long, confidence double")
+    sort = lambda df: sorted(map(tuple, df.collect()), key=str)
+    want = sort(K.contests(K.episodes(ticks, ["race"], "car", guard=5), passes, ["race"], "car", least=2))
+    got = K.contested(ticks, passes, ["race"], "car", guard=5, part="part", least=2)
+    assert sort(got) == want and len(want) > 20 and any(r[-1] != "insufficient" for r in want)
+    plan = shown(got)
+    assert "Join" not in plan and plan.count("FlatMapCoGroupsInArrow") == 1 and "Window" not in plan
