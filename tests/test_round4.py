@@ -7,7 +7,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from chronolith.operators import contests as K, edge_draws as D, joins as J, replicates as M
+from chronolith.operators import contests as K, edge_draws as D, graph as G, joins as J, replicates as M
 
 
 def shown(df) -> str:
@@ -86,3 +86,21 @@ def test_contests_meet_passes_by_their_car(spark):
     assert sort(got) == want and len(want) > 20 and any(r[-1] != "insufficient" for r in want)
     plan = shown(got)
     assert "Join" not in plan and plan.count("FlatMapCoGroupsInArrow") == 1 and "Window" not in plan
+
+
+def test_two_totals_are_problems_of_one_solve(spark):
+    """Gaps on the same edges are solved together, each as alone."""
+    rng = random.Random(2)
+    rows = [(a, b, rng.randrange(3), 1.0, rng.random(), rng.random()) for a in range(8) for b in range(a + 1, 8)]
+    both = spark.createDataFrame(rows + [(b, a, c, w, -g, -h) for a, b, c, w, g, h in rows], "a long, b long, c int, w double, g double, h double")
+    shares, priors = np.array([[1.0, 0.0], [2.0, 1.0], [0.0, 3.0]]), np.array([8.0, 2.0])
+    solve = lambda total: {r["a"]: r["ratings"] for r in M.solved_together(both, "a", "b", "w", total, priors, "c", shares).collect()}
+    one, two, got = solve("g"), solve("h"), solve(["g", "h"])
+    assert len(got) == 8 and all(np.allclose(got[a], one[a] + two[a], atol=1e-9) for a in got)
+
+
+def test_components_leave_no_links(spark):
+    before = kept_tables(spark)
+    got = {r["id"]: r["component"] for r in G.components(spark.createDataFrame([(3, 1), (1, 2), (5, 4), (2, 1), (6, 6)], "a long, b long"), "a", "b").collect()}
+    assert got == {1: 1, 2: 1, 3: 1, 4: 4, 5: 4, 6: 6}
+    assert sorted(n.split("-")[-1] for n in kept_tables(spark) - before) == ["ends"]
