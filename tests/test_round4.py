@@ -7,7 +7,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from chronolith.operators import contests as K, edge_draws as D, graph as G, joins as J, replicates as M
+from chronolith.operators import bootstrap as B, contests as K, edge_draws as D, graph as G, joins as J, replicates as M
 
 
 def shown(df) -> str:
@@ -104,3 +104,12 @@ def test_components_leave_no_links(spark):
     got = {r["id"]: r["component"] for r in G.components(spark.createDataFrame([(3, 1), (1, 2), (5, 4), (2, 1), (6, 6)], "a long, b long"), "a", "b").collect()}
     assert got == {1: 1, 2: 1, 3: 1, 4: 4, 5: 4, 6: 6}
     assert sorted(n.split("-")[-1] for n in kept_tables(spark) - before) == ["ends"]
+
+
+def test_median_draws_are_no_rows(spark):
+    """Only the last range table of a bootstrap of medians stays, and its counts are short numbers."""
+    before = kept_tables(spark)
+    df = spark.range(3000).selectExpr("id % 2 as g", "id as i", "cast(id % 97 as double) as v")
+    assert B.bootstrap_median(df, "g", "v", ["i"], 5).count() == 2
+    left = sorted(n.split("-")[-1] for n in kept_tables(spark) - before)
+    assert left == ["before", "ranged"]
